@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.text import before_mention, clean_word, contains_any, flatten_newlines, tokens
+from rivulet.functions.text import before_mention, clean_words, contains_any, flatten_newlines
 from rivulet.operators.control import pair_generations, threshold_filter
 from rivulet.operators.ordering import first_rows, with_position
 from rivulet.runtime import broadcast_if_small, cut_lineage
@@ -24,9 +24,9 @@ def tweet_words(tweets: DataFrame, stop: DataFrame | list[str], text: str = "tex
     with ``http`` and words without a letter.
     """
     others = [c for c in tweets.columns if c != text]
-    cleaned = F.transform(before_mention(tokens(text)), clean_word)
-    kept = F.filter(cleaned, lambda w: ~F.startswith(w, F.lit("http")) & F.rlike(w, F.lit("[a-z]")))
-    words = tweets.select(*others, F.explode(kept).alias("word"))
+    split = tweets.select(*others, F.explode(clean_words(before_mention(text))).alias("word"))
+    has_letter = F.col("word") != F.upper("word")  # words are lower case by now
+    words = split.where(has_letter & ~F.startswith("word", F.lit("http")))
     if isinstance(stop, list):
         return words.where(~F.col("word").isin(stop)) if stop else words
     return words.join(broadcast_if_small(stop.select("word").distinct()), "word", "left_anti").select(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.functions.text import words_of
+from rivulet.functions.text import WHITESPACE, letters_only, words_of
+from rivulet.runtime import spread_if_narrow
 
 DAY = 86400
 TAG_EVERY = 100_000
@@ -64,9 +65,9 @@ overlap AS (
 
 def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every token of every document, letters only, in lower case."""
-    letters = F.regexp_replace("token", r"[^\p{L}]", "")
-    tokens = table(spark, sf_dir, "documents").select(F.explode(words_of("text")).alias("token"))
-    return tokens.select(F.lower(letters).alias("word")).where("word <> ''")
+    letters = F.lower(letters_only("text"))
+    tokens = documents(spark, sf_dir).select(F.explode(F.split(letters, WHITESPACE)).alias("word"))
+    return tokens.where("word <> ''")
 
 
 SQL_WORDS = rf"""words AS (
@@ -75,8 +76,12 @@ SQL_WORDS = rf"""words AS (
     FROM documents) WHERE word <> '')"""
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_if_narrow(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("value"))
+    return documents(spark, sf_dir).select(F.explode(F.split("text", "\n")).alias("value"))
 
 
 SQL_LINES = "lines AS (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)"
@@ -122,17 +127,17 @@ def span(rows: DataFrame) -> DataFrame:
 
 # --- tweets ----------------------------------------------------------------------------------------
 
-def joined_tweets(events_df: DataFrame, documents: DataFrame) -> DataFrame:
+def joined_tweets(events_df: DataFrame, docs: DataFrame) -> DataFrame:
     """Events that carry the text of document ``event_id % number of documents``; batch or stream."""
-    n_docs = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+    n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     keyed = events_df.withColumn("doc_id", F.col("event_id") % n_docs)
-    return keyed.join(documents.select("doc_id", "text", "lang"), "doc_id").withColumn(
+    return keyed.join(docs.select("doc_id", "text", "lang"), "doc_id").withColumn(
         "friends_count", F.floor("value").cast("int")
     )
 
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joined_tweets(events(spark, sf_dir), table(spark, sf_dir, "documents"))
+    return joined_tweets(events(spark, sf_dir), documents(spark, sf_dir))
 
 
 SQL_TWEETS = f"""{SQL_EVENTS},

@@ -81,7 +81,7 @@ def tag_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tweet_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every kept word of every document, counted per document."""
-    docs = fr.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = fr.documents(spark, sf_dir).select("doc_id", "text")
     kept = words.tweet_words(docs, _stop(spark))
     return kept.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("cnt"))
 

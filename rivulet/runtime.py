@@ -73,6 +73,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def spread_if_narrow(scan: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread a plain ``scan`` whose files split into fewer tasks than there are cores.
+
+    Large inputs have enough splits and are left alone. Only for scans: asking a plan with shuffles
+    for its partitions would run them.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def literal_table(spark: SparkSession, column: str, values: list, sql_type: str) -> DataFrame:
     """A one-column table from a parameter list; one row per item, repeats kept."""
     items = F.array(*[F.lit(v).cast(sql_type) for v in values])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.operators.lists import bounded_lists
-from rivulet.runtime import cut_lineage, shuffle_width
+from rivulet.runtime import bucketed_copy, cut_lineage, shuffle_width
 
 
 def edge_vertices(edges: DataFrame) -> DataFrame:
@@ -53,20 +53,23 @@ def aggregate_messages(
 
 
 class RankEdges:
-    """Edges ready for repeated rank steps: written once, placed by source, with their share.
+    """Edges ready for repeated rank steps: written once, bucketed by source, with their share.
 
     Parallel edges become one row with ``share = times / out_degree``. A source with more than
     ``max_fanout`` edges is spread over several salts and its rank is sent once per salt; without such
     a source the edges lie by ``src`` alone, as the ranks do after their aggregation, so a step
-    shuffles only the summed contributions.
+    shuffles only the partly summed contributions. The ``range`` layout gives the same ranks, but a
+    join cannot reuse it and moves the edges in every step.
     """
 
     def __init__(self, edges: DataFrame, layout: str = "hash", max_fanout: int = 1_000_000):
-        width = shuffle_width(edges.sparkSession)
         degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_out"))
         salts = F.ceil(F.col("_out") / max_fanout).cast("bigint")
-        hot = cut_lineage(degrees.where(F.col("_out") > max_fanout).select("src", salts.alias("_salts")))
-        self.hot = hot if hot.limit(1).count() else None
+        widest = degrees.agg(F.max("_out")).first()[0] or 0
+        self.hot = None
+        if widest > max_fanout:
+            hot = degrees.where(F.col("_out") > max_fanout)
+            self.hot = cut_lineage(hot.select("src", salts.alias("_salts")))
         merged = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_times"))
         shared = merged.join(degrees, "src").select(
             "src",
@@ -77,8 +80,17 @@ class RankEdges:
         if self.hot is None:
             shared = shared.drop("salt")
         self.keys = [c for c in ("src", "salt") if c in shared.columns]
-        place = shared.repartitionByRange if layout == "range" else shared.repartition
-        self.table = cut_lineage(place(width, *self.keys).sortWithinPartitions(*self.keys))
+        self._copy = None
+        if layout == "range":
+            ranged = shared.repartitionByRange(shuffle_width(edges.sparkSession), *self.keys)
+            self.table = cut_lineage(ranged.sortWithinPartitions(*self.keys))
+        else:
+            self._copy = bucketed_copy(shared, *self.keys)
+            self.table = self._copy.table
+
+    def close(self) -> None:
+        if self._copy is not None:
+            self._copy.drop()
 
     def contributions(self, ranks: DataFrame) -> DataFrame:
         """``(dst, amount)`` for every edge whose source is in ``ranks(id, rank)``."""
@@ -124,11 +136,11 @@ def pagerank(
     ranks = prepared.table.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
     for step in range(1, max(iterations, 1) + 1):
         ranks = _damped(prepared.contributions(ranks))
-        if step % checkpoint_every == 0:
+        if step % checkpoint_every == 0 or step >= iterations:
             ranks = cut_lineage(ranks)
     if cache:
-        ranks = cut_lineage(ranks)
         prepared.table.unpersist()
+    prepared.close()
     return _completed(edges, ranks)
 
 
@@ -152,11 +164,12 @@ def pagerank_graph(
     ranks = sources.join(receivers, "id", "left_semi").select("id", one)
     for step in range(1, iterations + 1):
         ranks = _damped(prepared.contributions(ranks).unionByName(constant))
-        if step % checkpoint_every == 0:
+        if step % checkpoint_every == 0 or step == iterations:
             ranks = cut_lineage(ranks)
     if iterations < 1:
         targets_only = receivers.join(sources, "id", "left_anti").select("id", F.lit(0.0).alias("rank"))
-        ranks = ranks.unionByName(targets_only)
+        ranks = cut_lineage(ranks.unionByName(targets_only))
+    prepared.close()
     return _completed(edges, ranks)
 
 

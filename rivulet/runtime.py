@@ -56,7 +56,8 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to reliable storage; later plans start from the copy.
 
-    Partitioning and ordering of ``df`` are kept, so a join on the same keys does not shuffle again.
+    The rows stay in their partitions and order, but with adaptive execution the planner no longer
+    knows the partitioning. Where a join should reuse it, take ``bucketed_copy``.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -64,6 +65,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class bucketed_copy:  # noqa: N801 - used like a function
+    """``df`` as a table in the shared folder, bucketed by ``keys`` into as many buckets as a shuffle has.
+
+    A join or aggregation on ``keys`` reads ``table`` without a shuffle, as often as it is used.
+    ``drop`` removes the catalog entry once nothing reads it any more.
+    """
+
+    def __init__(self, df: DataFrame, *keys: str):
+        self.spark = df.sparkSession
+        self.name = f"rivulet_{uuid.uuid4().hex}"
+        width = shuffle_width(self.spark)
+        (
+            df.repartition(width, *keys)  # the hash of the buckets, so each is one file
+            .write.format("parquet")
+            .bucketBy(width, *keys)
+            .sortBy(*keys)
+            .option("path", fresh_path(self.spark, "buckets"))
+            .saveAsTable(self.name)
+        )
+        self.table = self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -62,7 +62,7 @@ class RankEdges:
     join cannot reuse it and moves the edges in every step.
     """
 
-    def __init__(self, edges: DataFrame, layout: str = "hash", max_fanout: int = 1_000_000):
+    def __init__(self, edges: DataFrame, layout: str = "hash", max_fanout: int = 200_000):
         degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_out"))
         salts = F.ceil(F.col("_out") / max_fanout).cast("bigint")
         widest = degrees.agg(F.max("_out")).first()[0] or 0
@@ -123,7 +123,7 @@ def pagerank(
     layout: str = "hash",
     cache: bool = False,
     checkpoint_every: int = 5,
-    max_fanout: int = 1_000_000,
+    max_fanout: int = 200_000,
 ) -> DataFrame:
     """PageRank in which a vertex that receives nothing drops out of the next iteration.
 
@@ -145,7 +145,7 @@ def pagerank(
 
 
 def pagerank_graph(
-    edges: DataFrame, iterations: int = 20, checkpoint_every: int = 5, max_fanout: int = 1_000_000
+    edges: DataFrame, iterations: int = 20, checkpoint_every: int = 5, max_fanout: int = 200_000
 ) -> DataFrame:
     """PageRank in which a vertex without messages keeps its rank and keeps contributing.
 

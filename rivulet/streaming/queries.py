@@ -67,6 +67,18 @@ def tumbling_bursts(actions: DataFrame, size: str = "60 seconds", delay: str = "
     )
 
 
+def control_join(tweets: DataFrame, control: DataFrame, every_s: int = 30, delay: str = "60 seconds") -> DataFrame:
+    """A stream ``(ts, …)`` joined with a stream of control rows ``(generation_s, …)`` on the tick.
+
+    Ticks lie on multiples of ``every_s``. Both sides carry the tick as a watermarked time, so the join
+    drops its state once a tick is older than ``delay`` on both.
+    """
+    tick = (F.floor(F.unix_seconds("ts") / every_s) * every_s).cast("bigint")
+    left = tweets.withColumn("tick", F.timestamp_seconds(tick)).withWatermark("tick", delay)
+    right = control.withColumn("_tick", F.timestamp_seconds("generation_s")).withWatermark("_tick", delay)
+    return left.join(right, F.col("tick") == F.col("_tick")).drop("_tick", "tick")
+
+
 def generation_counts(
     tweets: DataFrame, stop: DataFrame | list[str], every: str = "30 seconds", delay: str = "0 seconds"
 ) -> DataFrame:

@@ -112,6 +112,22 @@ def test_generations_are_reported_once_and_whole(spark, tmp_path):
     assert got and all(n == 30 and batches == 1 for n, batches in got)
 
 
+def test_stream_of_control_rows_joins_by_tick(spark, tmp_path):
+    tweets, control = tmp_path / "tweets", tmp_path / "control"
+    tweets.mkdir(), control.mkdir()
+    add_file(tweets, "a.csv", 0, 90)
+    first = int(START.replace(tzinfo=dt.timezone.utc).timestamp())
+    ticks = [first + 30 * k for k in range(40)]
+    (control / "c.csv").write_text("\n".join(f"{t},{t % 7}" for t in ticks) + "\n")
+    levels = spark.readStream.schema("generation_s BIGINT, threshold INT").csv(str(control))
+    joined = sq.control_join(actions(spark, tweets).select("user_b", "ts"), levels)
+    joined = joined.select("user_b", "generation_s", "threshold")
+    schema = "user_b BIGINT, generation_s BIGINT, threshold INT"
+    rows = sq.run(joined, "append", BatchTable(fresh_path(spark, "rows"), schema)).rows(spark).drop("batch_id")
+    expected = [(i, first + i * 20 // 30 * 30) for i in range(90) if i * 20 < 40 * 30]
+    assert sorted(map(tuple, rows.collect())) == [(i, g, g % 7) for i, g in expected]
+
+
 def test_stream_stops_after_n_rows(spark, tmp_path):
     for k in range(4):
         add_file(tmp_path, f"{k}.csv", k * 50, 50, seed=k)

@@ -138,17 +138,23 @@ def _row_updates(eta: float, batch_size: int) -> Callable[[Iterator[pd.DataFrame
 
 
 def local_sgd(
-    examples: DataFrame, rounds: int = 1, eta: float = 0.01, init: float = 1.0, batch_size: int = 1
+    examples: DataFrame,
+    rounds: int = 1,
+    eta: float = 0.01,
+    init: float = 1.0,
+    batch_size: int = 1,
+    order_of: Column | None = None,
 ) -> DataFrame:
     """Local SGD: shards update on their own from a shared start, then touched weights are averaged.
 
-    ``examples`` carry ``shard``; give more shards for more data. A task streams its rows and holds
-    only the weights they touch. The start weights come by a join on ``index``, never as a whole model.
+    ``examples`` carry ``shard``; give more shards for more data. Inside a shard rows go by ``order_of``
+    (default: a hash of the id), then id. A task streams its rows and holds only the weights they touch. The start weights come by a join on ``index``, never as a whole model.
     """
     spark = examples.sparkSession
     width = shuffle_width(spark)
     model = empty_model(spark)
     update = _row_updates(eta, batch_size)
+    order = F.xxhash64("example_id") if order_of is None else order_of
     for _ in range(rounds):
         start = F.coalesce("weight", F.lit(init)).alias("start")
         entries = nonzeros(examples, "label", "shard").join(model, "index", "left")
@@ -158,7 +164,7 @@ def local_sgd(
             .agg(F.sort_array(F.collect_list(entry)).alias("_e"))
             .select("shard", "example_id", "label", "_e.index", "_e.value", "_e.start")
             .repartition(width, "shard")
-            .sortWithinPartitions("shard", F.xxhash64("example_id"), "example_id")
+            .sortWithinPartitions("shard", order, "example_id")
         )
         local = rows.mapInPandas(update, "shard BIGINT, index BIGINT, weight DOUBLE")
         touched = local.groupBy("index").agg(F.avg("weight").alias("_new"))

@@ -11,6 +11,7 @@ from rivulet.plans.frames import with_sql
 
 N_BATCHES = 5
 N_CLASSES, N_FEATURES = 10, 64
+EPOCHS, SOFTMAX_LR = 2, 0.5
 
 
 def _batched(examples: DataFrame) -> DataFrame:
@@ -73,12 +74,18 @@ def _sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fr.binary_examples(spark, sf_dir).withColumn("shard", F.col("example_id") % 5)
 
 
+def _local(spark: SparkSession, sf_dir: str, batch_size: int) -> DataFrame:
+    order = F.col("example_id") * 7919 % 1000
+    model = sgd.local_sgd(_sharded(spark, sf_dir), rounds=2, batch_size=batch_size, order_of=order)
+    return _rounded(model, "weight", 5)
+
+
 def logreg_local_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sgd.local_sgd(_sharded(spark, sf_dir), rounds=2)
+    return _local(spark, sf_dir, 1)
 
 
 def logreg_local_sgd_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sgd.local_sgd(_sharded(spark, sf_dir), rounds=2, batch_size=10)
+    return _local(spark, sf_dir, 10)
 
 
 def _fixed_weights(spark: SparkSession) -> DataFrame:
@@ -94,7 +101,8 @@ def softmax_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def softmax_train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     examples = _batched(fr.softmax_examples(spark, sf_dir))
-    return softmax.train_metrics(examples, N_FEATURES, N_CLASSES, N_BATCHES, epochs=2, init_lr=0.5)
+    metrics = softmax.train_metrics(examples, N_FEATURES, N_CLASSES, N_BATCHES, epochs=EPOCHS, init_lr=SOFTMAX_LR)
+    return _rounded(_rounded(metrics, "entropy", 5), "error_rate", 6)
 
 
 QUERIES = {
@@ -131,7 +139,81 @@ _SCORED = f"""(SELECT vec_id % 10 = 0 AS held, CASE WHEN label < 5 THEN 1.0::DOU
 _SPLIT = "CASE WHEN held THEN 'held_out' ELSE 'train' END AS split, count(*) AS n_rows"
 _TRAIN = "example_id % 10 <> 0"
 
+def _local_sql(batch_size: int, eta: float = 0.01) -> str:
+    """Two rounds; in each, a recursion per shard walks its batches with the weights as a list."""
+    move = f"""list_transform(range(1, {N_FEATURES + 1}), lambda d: w[d] - {eta}::DOUBLE * list_sum(
+      list_transform(range(1, len(ys) + 1), lambda r: fs[r] * xs[r][d])))"""
+    factors = """list_transform(range(1, len(ys) + 1),
+      lambda r: ys[r] * (1 / (1 + exp(-ys[r] * list_dot_product(w, xs[r]))) - 1))"""
+    rounds = [f"a0 AS (SELECT idx, 1.0::DOUBLE AS weight FROM range(1, {N_FEATURES + 1}) AS t(idx))"]
+    for k in (1, 2):
+        rounds.append(
+            f"""r{k} AS (
+  SELECT shard, 0::BIGINT AS k, (SELECT list(weight ORDER BY idx) FROM a{k - 1}) AS w FROM batches WHERE k = 0
+  UNION ALL
+  SELECT shard, k + 1 AS k, {move} AS w FROM (
+    SELECT r.shard, r.k, r.w, xs, ys, {factors} AS fs
+    FROM r{k} r JOIN batches b ON b.shard = r.shard AND b.k = r.k)),
+l{k} AS MATERIALIZED (SELECT shard, arg_max(w, k) AS w FROM r{k} GROUP BY shard),
+m{k} AS MATERIALIZED (SELECT idx, avg(w[idx]) AS weight FROM l{k} JOIN touched USING (shard) GROUP BY idx),
+a{k} AS MATERIALIZED (
+  SELECT idx, coalesce(m.weight, o.weight) AS weight FROM a{k - 1} o LEFT JOIN m{k} m USING (idx))"""
+        )
+    return f"""WITH RECURSIVE dense AS MATERIALIZED (
+  SELECT vec_id % 5 AS shard, CASE WHEN label < 5 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS y,
+    list_transform(embedding, lambda v: CASE WHEN abs(v::DOUBLE) > 0.1 THEN v::DOUBLE ELSE 0.0::DOUBLE END) AS x,
+    row_number() OVER (PARTITION BY vec_id % 5 ORDER BY vec_id * 7919 % 1000, vec_id) - 1 AS pos
+  FROM embeddings),
+batches AS MATERIALIZED (
+  SELECT shard, pos // {batch_size} AS k, list(x ORDER BY pos) AS xs, list(y ORDER BY pos) AS ys
+  FROM dense GROUP BY ALL),
+touched AS MATERIALIZED (
+  SELECT DISTINCT shard, idx FROM (SELECT shard, x, unnest(range(1, {N_FEATURES + 1})) AS idx FROM dense)
+  WHERE x[idx] <> 0),
+{', '.join(rounds)}
+SELECT idx - 1 AS index, round(weight, 5) AS weight FROM a2 WHERE idx IN (SELECT idx FROM touched)"""
+
+
+def _softmax_sql() -> str:
+    """Every gradient step as one materialised weight table, and the metrics after each epoch."""
+    logits = """SELECT vec_id, label, class, sum(v * weight) AS logit FROM entries JOIN {w} USING (i)
+    WHERE {rows} GROUP BY vec_id, label, class"""
+    steps = [
+        f"""entries AS MATERIALIZED (
+  SELECT vec_id, label, (vec_id * 7919) % {N_BATCHES} AS batch, unnest(range(0, {N_FEATURES})) AS i,
+    unnest(embedding)::DOUBLE AS v FROM embeddings)""",
+        f"""s0 AS (SELECT i, class, 0.0::DOUBLE AS weight
+  FROM range(0, {N_FEATURES}) AS t(i), range(0, {N_CLASSES}) AS u(class))""",
+    ]
+    selects = []
+    for step in range(EPOCHS * N_BATCHES):
+        lr, batch = SOFTMAX_LR * 0.99 ** (step // N_BATCHES), step % N_BATCHES
+        steps.append(
+            f"""q{step} AS MATERIALIZED (
+  SELECT vec_id, class, exp(logit) / sum(exp(logit)) OVER (PARTITION BY vec_id) - (class = label)::INTEGER AS r
+  FROM ({logits.format(w=f's{step}', rows=f'batch = {batch}')})),
+s{step + 1} AS MATERIALIZED (
+  SELECT i, class, weight - {lr!r}::DOUBLE * coalesce(g, 0) / (SELECT count(DISTINCT vec_id) FROM q{step}) AS weight
+  FROM s{step} LEFT JOIN (
+    SELECT i, class, sum(v * r) AS g FROM entries JOIN q{step} USING (vec_id) GROUP BY i, class) USING (i, class))"""
+        )
+        if batch == N_BATCHES - 1:
+            epoch = step // N_BATCHES + 1
+            scored = f"""SELECT vec_id, label, arg_max(class, (logit, -class)) AS guess,
+      max(logit) FILTER (class = label) AS own, ln(sum(exp(logit))) AS total
+    FROM ({logits.format(w=f's{step + 1}', rows='true')}) GROUP BY vec_id, label"""
+            selects.append(
+                f"""SELECT {epoch}::BIGINT AS epoch, count(*) AS n_rows,
+  round(count(*) FILTER (guess <> label) / count(*), 6) AS error_rate, round(avg(total - own), 5) AS entropy
+FROM ({scored})"""
+            )
+    return with_sql(*steps, select=" UNION ALL ".join(selects))
+
+
 ORACLES = {
+    "logreg_local_sgd": _local_sql(1),
+    "logreg_local_sgd_batch": _local_sql(10),
+    "softmax_train_metrics": _softmax_sql(),
     "matrix_trace": """
       WITH cells AS (
         SELECT l_partkey AS i, l_suppkey * 20 + l_linenumber AS j, sum(l_quantity) AS v FROM lineitem GROUP BY ALL)

@@ -51,15 +51,20 @@ def test_synchronous_steps_equal_numpy(spark, eta, init):
     assert got == pytest.approx({i: w[i] for i in got}) and len(got) == 12
 
 
-def test_one_shard_equals_sequential_updates(spark):
+@pytest.mark.parametrize("batch_size", [1, 7])
+def test_one_shard_equals_sequential_updates(spark, batch_size):
     rows = sparse_rows()
     df = spark.createDataFrame(rows, EXAMPLES)
     ordered = [r[0] for r in df.orderBy(F.xxhash64("example_id"), "example_id").select("example_id").collect()]
-    got = {r["index"]: r.weight for r in sgd.local_sgd(df.withColumn("shard", F.lit(0).cast("bigint"))).collect()}
+    sharded = df.withColumn("shard", F.lit(0).cast("bigint"))
+    got = {r["index"]: r.weight for r in sgd.local_sgd(sharded, batch_size=batch_size).collect()}
     w = np.ones(12)
-    for i in ordered:
-        _, label, index, value = rows[i]
-        w[index] = w[index] - 0.01 * factor(label, w[index] @ value) * np.array(value)
+    for first in range(0, len(ordered), batch_size):
+        g = np.zeros(12)
+        for i in ordered[first:first + batch_size]:
+            _, label, index, value = rows[i]
+            np.add.at(g, index, factor(label, w[index] @ value) * np.array(value))
+        w = w - 0.01 * g
     assert got == pytest.approx({i: w[i] for i in got})
 
 

@@ -36,6 +36,18 @@ def test_matrix_is_the_same_for_any_partitioning(spark):
     assert linalg.trace_of_square(doubled).first().trace == pytest.approx(4 * np.trace(cells @ cells))
 
 
+def test_block_trace_equals_numpy(spark):
+    blocks = linalg.random_blocks(spark, 12, 3)
+    matrix = np.zeros((12, 12))
+    for bi, bj, cells in blocks.collect():
+        matrix[bi * 4:bi * 4 + 4, bj * 4:bj * 4 + 4] = np.reshape(cells, (4, 4))
+    assert linalg.block_trace(blocks).first().trace == pytest.approx(np.trace(matrix @ matrix))
+    assert sorted(blocks.collect()) == sorted(blocks.repartition(5).collect())
+    matrix[8:, :4] = 0
+    sparse = blocks.where("NOT (bi = 2 AND bj = 0)")
+    assert linalg.block_trace(sparse).first().trace == pytest.approx(np.trace(matrix @ matrix))
+
+
 @pytest.mark.parametrize("eta,init", [(0.01, 1.0), (0.1, 0.0)])
 def test_synchronous_steps_equal_numpy(spark, eta, init):
     rows = sparse_rows()

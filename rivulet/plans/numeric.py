@@ -12,6 +12,7 @@ from rivulet.plans.frames import with_sql
 N_BATCHES = 5
 N_CLASSES, N_FEATURES = 10, 64
 EPOCHS, SOFTMAX_LR = 2, 0.5
+SHARD_IDS = 100
 
 
 def _batched(examples: DataFrame) -> DataFrame:
@@ -71,7 +72,9 @@ def logreg_abs_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fr.binary_examples(spark, sf_dir).withColumn("shard", F.col("example_id") % 5)
+    """Shards of a fixed number of ids, so their number grows with the data and their size does not."""
+    shard = F.floor(F.col("example_id") / SHARD_IDS)
+    return fr.binary_examples(spark, sf_dir).withColumn("shard", shard)
 
 
 def _local(spark: SparkSession, sf_dir: str, batch_size: int) -> DataFrame:
@@ -160,9 +163,9 @@ a{k} AS MATERIALIZED (
   SELECT idx, coalesce(m.weight, o.weight) AS weight FROM a{k - 1} o LEFT JOIN m{k} m USING (idx))"""
         )
     return f"""WITH RECURSIVE dense AS MATERIALIZED (
-  SELECT vec_id % 5 AS shard, CASE WHEN label < 5 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS y,
+  SELECT vec_id // {SHARD_IDS} AS shard, CASE WHEN label < 5 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS y,
     list_transform(embedding, lambda v: CASE WHEN abs(v::DOUBLE) > 0.1 THEN v::DOUBLE ELSE 0.0::DOUBLE END) AS x,
-    row_number() OVER (PARTITION BY vec_id % 5 ORDER BY vec_id * 7919 % 1000, vec_id) - 1 AS pos
+    row_number() OVER (PARTITION BY vec_id // {SHARD_IDS} ORDER BY vec_id * 7919 % 1000, vec_id) - 1 AS pos
   FROM embeddings),
 batches AS MATERIALIZED (
   SELECT shard, pos // {batch_size} AS k, list(x ORDER BY pos) AS xs, list(y ORDER BY pos) AS ys

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.operators.lists import bounded_lists
-from rivulet.runtime import bucketed_copy, cut_lineage, shuffle_width
+from rivulet.runtime import BucketedCopy, cut_lineage, shuffle_width
 
 
 def edge_vertices(edges: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ class RankEdges:
             ranged = shared.repartitionByRange(shuffle_width(edges.sparkSession), *self.keys)
             self.table = cut_lineage(ranged.sortWithinPartitions(*self.keys))
         else:
-            self._copy = bucketed_copy(shared, *self.keys)
+            self._copy = BucketedCopy(shared, *self.keys)
             self.table = self._copy.table
 
     def close(self) -> None:

@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def with_sql(*ctes: str, select: str, recursive: bool = False) -> str:
+def with_sql(*ctes: str, select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
 
 

@@ -10,7 +10,7 @@ from rivulet.plans import frames as fr
 from rivulet.plans import tweets as tw
 from rivulet.plans.bursts import BURST_COLUMNS
 from rivulet.plans.frames import DAY, with_sql
-from rivulet.runtime import fresh_path, shuffle_width
+from rivulet.runtime import fresh_path
 from rivulet.sources.files import parquet_stream
 from rivulet.streaming import queries as sq
 from rivulet.streaming.sinks import BatchTable, ReportSink
@@ -80,12 +80,12 @@ def stream_popular_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The pairing of generations with tags comes from the control tables.
     """
-    pairs = control.pair_generations(tw._accepted_without_text(spark, sf_dir), tw._tags(spark, sf_dir))
+    pairs = control.pair_generations(tw.accepted_without_text(spark, sf_dir), tw.tag_control(spark, sf_dir))
     rows = event_stream(spark, sf_dir).withColumn("ts_s", F.unix_seconds("ts"))
     stream = fr.joined_tweets(rows, fr.table(spark, sf_dir, "documents"))
-    accepted = control.threshold_filter(control.asof_regular(stream, tw._thresholds(spark, sf_dir), DAY))
+    accepted = control.threshold_filter(control.asof_regular(stream, tw.threshold_control(spark, sf_dir), DAY))
     tagged = words.tag_filter(accepted.select("generation_s", "ts", "text"), pairs)
-    counts = sq.generation_counts(tagged.select("ts", "text"), tw._stop(spark), "1 day")
+    counts = sq.generation_counts(tagged.select("ts", "text"), tw.stop_list(spark), "1 day")
     sink = BatchTable(
         fresh_path(spark, "stream-rows"),
         "generation_s BIGINT, place BIGINT, word STRING, cnt BIGINT",
@@ -131,8 +131,8 @@ ORACLES = {
         fr.SQL_TAGGED,
         f"days AS (SELECT ts_s // {DAY} * {DAY} AS generation_s, text FROM tagged)",
         fr.sql_tweet_words("days", "generation_s"),
-        tw._TOP_HALF,
-        select=tw._TOP_HALF_SELECT
+        tw.TOP_HALF,
+        select=tw.TOP_HALF_SELECT
         + f" AND (generation_s + {DAY}) * 1000 <= (SELECT max(ts_us) // 1000 FROM tagged)",
     ),
 }

@@ -14,20 +14,20 @@ from rivulet.sources import tweets as src
 COLLECTED = 4000
 
 
-def _thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+def threshold_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.threshold_ticks(fr.span(fr.events(spark, sf_dir)), fr.TEST_THRESHOLDS, DAY)
 
 
-def _tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tag_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.tag_ticks(fr.span(fr.events(spark, sf_dir)), fr.TEST_TAGS, TAG_EVERY, fr.TEST_TAG_DRAWS)
 
 
-def _stop(spark: SparkSession) -> DataFrame:
+def stop_list(spark: SparkSession) -> DataFrame:
     return literal_table(spark, "word", fr.TEST_STOP_WORDS, "string")
 
 
 def _with_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return control.asof_regular(fr.tweets(spark, sf_dir), _thresholds(spark, sf_dir), DAY)
+    return control.asof_regular(fr.tweets(spark, sf_dir), threshold_control(spark, sf_dir), DAY)
 
 
 def _accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,11 +39,11 @@ def tweet_keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def threshold_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _thresholds(spark, sf_dir).select("generation_s", F.array_join("thresholds", ",").alias("thresholds"))
+    return threshold_control(spark, sf_dir).select("generation_s", F.array_join("thresholds", ",").alias("thresholds"))
 
 
 def tag_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tags(spark, sf_dir).select("generation_s", F.array_join("tags", ",").alias("tags"))
+    return tag_control(spark, sf_dir).select("generation_s", F.array_join("tags", ",").alias("tags"))
 
 
 def asof_threshold_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,32 +63,32 @@ def asof_irregular_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def generation_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    accepted = _accepted_without_text(spark, sf_dir)
-    return control.pair_generations(accepted, _tags(spark, sf_dir)).select(
+    accepted = accepted_without_text(spark, sf_dir)
+    return control.pair_generations(accepted, tag_control(spark, sf_dir)).select(
         "generation_s", "tick_s", F.array_join("tags", ",").alias("tags")
     )
 
 
-def _accepted_without_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def accepted_without_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fr.events(spark, sf_dir).withColumn("friends_count", F.floor("value").cast("int"))
-    return control.threshold_filter(control.asof_regular(rows, _thresholds(spark, sf_dir), DAY))
+    return control.threshold_filter(control.asof_regular(rows, threshold_control(spark, sf_dir), DAY))
 
 
 def tag_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = control.pair_generations(_accepted_without_text(spark, sf_dir), _tags(spark, sf_dir))
+    pairs = control.pair_generations(accepted_without_text(spark, sf_dir), tag_control(spark, sf_dir))
     return words.tag_filter(_accepted(spark, sf_dir), pairs).select("event_id", "generation_s")
 
 
 def tweet_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every kept word of every document, counted per document."""
     docs = fr.documents(spark, sf_dir).select("doc_id", "text")
-    kept = words.tweet_words(docs, _stop(spark))
+    kept = words.tweet_words(docs, stop_list(spark))
     return kept.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def _flushed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _accepted(spark, sf_dir).select("generation_s", F.floor(F.col("ts_s") / 21600).alias("flush"), "text")
-    return words.generation_word_counts(words.tweet_words(rows, _stop(spark)), "flush")
+    return words.generation_word_counts(words.tweet_words(rows, stop_list(spark)), "flush")
 
 
 def generation_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,12 +101,12 @@ def generation_word_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def popular_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _accepted(spark, sf_dir).select("generation_s", "text")
-    return words.popular_words(words.generation_word_counts(words.tweet_words(rows, _stop(spark))))
+    return words.popular_words(words.generation_word_counts(words.tweet_words(rows, stop_list(spark))))
 
 
 def popular_words_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     popular, _ = words.popular_words_pipeline(
-        _with_thresholds(spark, sf_dir), _tags(spark, sf_dir), _stop(spark)
+        _with_thresholds(spark, sf_dir), tag_control(spark, sf_dir), stop_list(spark)
     )
     return popular
 
@@ -127,11 +127,11 @@ QUERIES = {
     )
 }
 
-_TOP_HALF = """counted AS (SELECT generation_s, word, count(*) AS cnt FROM tw GROUP BY ALL),
+TOP_HALF = """counted AS (SELECT generation_s, word, count(*) AS cnt FROM tw GROUP BY ALL),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY generation_s ORDER BY cnt DESC, word) AS place,
     count(*) OVER (PARTITION BY generation_s) AS n FROM counted)"""
-_TOP_HALF_SELECT = "SELECT generation_s, place, word, cnt FROM ranked WHERE place <= greatest(n // 2, 1)"
+TOP_HALF_SELECT = "SELECT generation_s, place, word, cnt FROM ranked WHERE place <= greatest(n // 2, 1)"
 _KEYWORD_TEST = " OR ".join(
     "len(list_filter([{}], lambda w: NOT list_contains(found, w))) = 0".format(
         ", ".join(f"'{w}'" for w in phrase.lower().split())
@@ -186,10 +186,10 @@ ORACLES = {
         f"SELECT generation_s, word, sum(cnt)::BIGINT AS cnt FROM ({_FLUSHED}) GROUP BY generation_s, word"
     ),
     "popular_words": with_sql(
-        fr.SQL_ACCEPTED, fr.sql_tweet_words("accepted", "generation_s"), _TOP_HALF, select=_TOP_HALF_SELECT
+        fr.SQL_ACCEPTED, fr.sql_tweet_words("accepted", "generation_s"), TOP_HALF, select=TOP_HALF_SELECT
     ),
     "popular_words_pipeline": with_sql(
-        fr.SQL_TAGGED, fr.sql_tweet_words("tagged", "generation_s"), _TOP_HALF, select=_TOP_HALF_SELECT
+        fr.SQL_TAGGED, fr.sql_tweet_words("tagged", "generation_s"), TOP_HALF, select=TOP_HALF_SELECT
     ),
     "collect_first_n": with_sql(
         fr.SQL_TWEETS,

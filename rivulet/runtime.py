@@ -57,7 +57,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to reliable storage; later plans start from the copy.
 
     The rows stay in their partitions and order, but with adaptive execution the planner no longer
-    knows the partitioning. Where a join should reuse it, take ``bucketed_copy``.
+    knows the partitioning. Where a join should reuse it, take ``BucketedCopy``.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -65,7 +65,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-class bucketed_copy:  # noqa: N801 - used like a function
+class BucketedCopy:
     """``df`` as a table in the shared folder, bucketed by ``keys`` into as many buckets as a shuffle has.
 
     A join or aggregation on ``keys`` reads ``table`` without a shuffle, as often as it is used.

@@ -41,7 +41,7 @@ def test_a_rank_step_shuffles_only_the_contributions(spark, no_broadcast):
 
 def test_scans_read_only_what_a_query_needs(spark):
     assert read_columns(fr.links(spark, SF_DIR)) == {"l_partkey:bigint,l_suppkey:bigint,l_linenumber:int"}
-    accepted = tw._accepted_without_text(spark, SF_DIR).select("generation_s")
+    accepted = tw.accepted_without_text(spark, SF_DIR).select("generation_s")
     assert not any("text" in columns or "props" in columns for columns in read_columns(accepted))
     signups = fr.events(spark, SF_DIR).where("action = 'signup'")
     assert "EqualTo(event_type,signup)" in plan_of(signups)

@@ -12,6 +12,7 @@ Rules of the batch functions: a null text counts as empty, an empty text has no
 from __future__ import annotations
 
 import base64
+import hashlib
 from array import array
 from collections.abc import Iterator
 
@@ -22,8 +23,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of the chunk memo of one Python worker; it is emptied when full, which costs time only.
-MEMO_ENTRIES = 600_000
+#: Entries of each memo of a Python worker; a full memo forgets, which costs time only.
+MEMO_ENTRIES = 400_000
+#: Rows of an Arrow batch that are encoded at a time.
+ROWS = 500
 
 #: A space at an end of the text or beside more white space: such texts are split by the pattern alone.
 _BLANK_BESIDE_SPACE = regex.compile(r"\A\s|\s\Z|\s |\x20\s").search
@@ -60,6 +63,7 @@ class Codec:
         self._shorter: dict[int, int] = {}
         self._beside: dict[tuple[int, int], bool] = {}
         self._memo: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _last_halves(self, token: bytes, rank: int) -> tuple[int, int] | None:
         """The two tokens whose merge is ``token``, or None when lower merges do not lead to two parts."""
@@ -84,8 +88,9 @@ class Codec:
         key = (left, right)
         known = self._beside.get(key)
         if known is None:
-            known = self._never_merges(left, right)
-            self._beside[key] = known
+            if len(self._beside) >= MEMO_ENTRIES:
+                self._beside.clear()
+            known = self._beside[key] = self._never_merges(left, right)
         return known
 
     def _never_merges(self, left: int, right: int) -> bool:
@@ -178,19 +183,23 @@ class Codec:
             return np.empty(0, dtype="<u4")
         if _BLANK_BESIDE_SPACE(text):
             return np.frombuffer(self._encode_chunk(text), dtype="<u4")
-        memo, parts = self._memo, []
-        for at, word in enumerate(text.split(" ")):
-            chunk = " " + word if at else word
-            packed = memo.get(chunk)
-            if packed is None:
-                packed = self._encode_chunk(chunk)
-                if len(memo) >= MEMO_ENTRIES:
-                    memo.clear()
-                if len(chunk) <= 64:
-                    memo[chunk] = packed
-            parts.append(packed)
+        words = text.split(" ")
+        parts = list(map(self._memo.get, words))
+        parts[0] = self._encode_chunk(words[0])  # the only one without a space in front
+        if None in parts:
+            parts = [self._new_word(w) if p is None else p for p, w in zip(parts, words, strict=True)]
         return np.frombuffer(b"".join(parts), dtype="<u4")
 
+    def _new_word(self, word: str) -> bytes:
+        packed = self._older.get(word)
+        if packed is None:
+            packed = self._encode_chunk(" " + word)
+        if len(word) <= 64:
+            if len(self._memo) >= MEMO_ENTRIES // 2:  # words in use move on to the new half
+                self._older, self._memo = self._memo, {}
+            self._memo[word] = packed
+        return packed
+
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
 
@@ -230,8 +239,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path, pattern)
         for part in parts:
-            columns = [part.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*columns, tool.encode_batch(part.column("_text"))], names=[*kept, ids])
+            for at in range(0, part.num_rows, ROWS):
+                some = part.slice(at, ROWS)
+                columns = [some.column(i) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, tool.encode_batch(some.column(len(kept)))], names=[*kept, ids]
+                )
 
     fields = docs.select(*kept).withColumn(ids, F.array().cast("array<int>")).schema
     return source.mapInArrow(batches, fields)
@@ -246,27 +259,35 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", data:
         tool = codec(path, pattern)
         for part in parts:
             columns = [part.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*columns, tool.decode_batch(part.column("_ids"))], names=[*kept, data])
+            yield pa.RecordBatch.from_arrays([*columns, tool.decode_batch(part.column(len(kept)))], names=[*kept, data])
 
     fields = encoded.select(*kept).withColumn(data, F.lit(b"")).schema
     return source.mapInArrow(batches, fields)
 
 
-def id_digest(encoded: DataFrame, ids: str = "ids", name: str = "ids_sha256") -> DataFrame:
-    """``encoded`` with ``ids`` replaced by the hex SHA-256 of the ids as little-endian 32-bit integers."""
-    import hashlib
+def digests(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Encodes and decodes in one pass: ``id, n_tokens, ids_sha256, decoded_sha256``.
 
-    kept = [c for c in encoded.columns if c not in (ids, name)]
+    ``ids_sha256`` is over the ids as little-endian 32-bit integers, both digests are lower-case hex.
+    """
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = codec(path, pattern)
         for part in parts:
-            lists = part.column(ids)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-            ends = np.cumsum(lists.value_lengths().to_pylist())[:-1] if len(lists) else []
-            digests = [hashlib.sha256(row.tobytes()).hexdigest() for row in np.split(flat, ends)] if len(lists) else []
-            yield pa.RecordBatch.from_arrays(
-                [*[part.column(c) for c in kept], pa.array(digests, pa.string())], names=[*kept, name]
-            )
-
-    fields = encoded.select(*kept).withColumn(name, F.lit("")).schema
-    return encoded.select(*kept, ids).mapInArrow(batches, fields)
+            for at in range(0, part.num_rows, ROWS):
+                some = part.slice(at, ROWS)
+                counts, ids_sha, data_sha = [], [], []
+                for value in some.column(1).to_pylist():
+                    ids = tool.encode(value)
+                    counts.append(len(ids))
+                    ids_sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
+                    data_sha.append(hashlib.sha256(tool.decode(ids)).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(data_sha, pa.string())],
+                    names=[id, "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    kind = docs.schema[id].dataType.simpleString()
+    return docs.select(id, text).mapInArrow(
+        batches, f"`{id}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    )

@@ -6,22 +6,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import bpe, linedup
+from rivulet.llm import bpe, fingerprint, jaccard, linedup, warc
+from rivulet.runtime import fresh_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(docs, width=4, percent=85)
+
+
+def op6_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids"
-    )
-    decoded = bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
-    digested = decoded.select("doc_id", "n_tokens", "ids", F.sha2("data", 256).alias("decoded_sha256"))
-    return bpe.id_digest(digested)
+    return bpe.digests(docs, ranks, public_tokenizers.PATTERN)
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +44,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op7_byte_bpe, op8_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_multiset_fingerprint, op5_jaccard_join, op6_dictionary_warc, op7_byte_bpe, op8_line_dedup)}
 
 _SQL_LINES = """SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines
   FROM documents"""

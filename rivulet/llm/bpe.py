@@ -15,6 +15,7 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import ahocorasick
 import numpy as np
@@ -32,16 +33,31 @@ ROWS = 500
 _BLANK_BESIDE_SPACE = regex.compile(r"\A\s|\s\Z|\s |\x20\s").search
 
 
-class Codec:
-    """Ids of texts under a rank file: one line per token, its bytes in base64 and its rank."""
+class Decoder:
+    """Bytes of ids under a rank file: one line per token, its bytes in base64 and its rank."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str):
         with open(path, "rb") as lines:
             pairs = [line.split() for line in lines if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+
+    def decode_batch(self, ids: pa.ListArray) -> pa.Array:
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(ids.value_lengths().to_pylist(), dtype=np.int64)
+        return pa.array(map(self.decode, np.split(flat, ends[:-1])) if len(ids) else [], pa.binary())
+
+
+class Codec(Decoder):
+    """Ids of texts under a rank file and the pattern that cuts texts into pieces."""
+
+    def __init__(self, path: str, pattern: str):
+        super().__init__(path)
         self._pieces = regex.compile(pattern).findall
         self._split: dict[int, tuple[int, int]] = {}
         self._merged: dict[tuple[int, int], int] = {}
@@ -200,9 +216,6 @@ class Codec:
             self._memo[word] = packed
         return packed
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
-
     def encode_batch(self, texts: pa.Array) -> pa.ListArray:
         rows = [self.encode(text) for text in texts.to_pylist()]
         offsets = np.zeros(len(rows) + 1, dtype=np.int64)
@@ -210,21 +223,16 @@ class Codec:
         flat = np.concatenate(rows) if rows else np.empty(0, dtype="<u4")
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.astype(np.int32)))
 
-    def decode_batch(self, ids: pa.ListArray) -> pa.Array:
-        flat = ids.flatten().to_numpy(zero_copy_only=False)
-        ends = np.cumsum([0 if n is None else n for n in ids.value_lengths().to_pylist()])
-        return pa.array(map(self.decode, np.split(flat, ends[:-1])) if len(ids) else [], pa.binary())
-
-
-_codecs: dict[tuple[str, str], Codec] = {}
-
 
+@cache
 def codec(path: str, pattern: str) -> Codec:
     """The codec of this process; a worker builds it once for all its tasks."""
-    key = (path, pattern)
-    if key not in _codecs:
-        _codecs[key] = Codec(path, pattern)
-    return _codecs[key]
+    return Codec(path, pattern)
+
+
+@cache
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -250,16 +258,20 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
     return source.mapInArrow(batches, fields)
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", data: str = "data") -> DataFrame:
+def decode(encoded: DataFrame, path: str, ids: str = "ids", data: str = "data") -> DataFrame:
     """``encoded`` with the bytes of ``ids`` in a new column ``data``; a null list decodes to no bytes."""
     kept = [c for c in encoded.columns if c != data]
     source = encoded.select(*kept, F.coalesce(ids, F.array().cast("array<int>")).alias("_ids"))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = codec(path, pattern)
+        tool = decoder(path)
         for part in parts:
-            columns = [part.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*columns, tool.decode_batch(part.column(len(kept)))], names=[*kept, data])
+            for at in range(0, part.num_rows, ROWS):
+                some = part.slice(at, ROWS)
+                columns = [some.column(i) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, tool.decode_batch(some.column(len(kept)))], names=[*kept, data]
+                )
 
     fields = encoded.select(*kept).withColumn(data, F.lit(b"")).schema
     return source.mapInArrow(batches, fields)

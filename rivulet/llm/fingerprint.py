@@ -17,9 +17,8 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.operators.ordering import SLICE, ordered_slices
@@ -81,46 +80,46 @@ def fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint")
     return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(batches, fields)
 
 
-def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id``, ``text`` and ``next_text``, the text of the row that follows by ``id`` (last: of the first).
+def in_order(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows ``_slice, _turn, _key, _id, _text``, partitioned by slice and sorted, so that each row of turn 0 is
+    directly followed by the one that follows it by ``id`` in the whole table (the last by the first).
 
     Only the ids are sorted to find slices of equal size; texts are shuffled once, to their slice. The
-    row that opens a slice is also sent to the end of the slice before it, the first row of all to the
-    end of the last. A missing id comes first; equal ids follow each other in the order of their texts.
-    A table of one row is its own successor. Ids are integers.
+    row that opens a slice is also sent to the end of the slice before it (turn 1), the first row of all
+    to the end of the last (turn 2). A missing id comes first; equal ids follow each other in the order
+    of their texts. A table of one row is its own successor. Ids are integers.
     """
-    ids = docs.select(_sort_id(id).alias("_key")).distinct()
-    sliced = ordered_slices(ids, "_key", slices=SLICES_PER_PARTITION * shuffle_width(docs.sparkSession))
+    key = F.coalesce(F.col(id), F.lit(-(2**63))).cast("long")
+    width = shuffle_width(docs.sparkSession)
+    sliced = ordered_slices(docs.select(key.alias("_key")).distinct(), "_key", slices=SLICES_PER_PARTITION * width)
     # one number per slice; their count is set by the session, not by the table
     starts = np.array(sorted(row[0] for row in sliced.groupBy(SLICE).agg(F.min("_key")).collect()), dtype=np.int64)
 
-    @F.pandas_udf("long")
-    def place(keys: pd.Series) -> pd.Series:  # twice the slice, plus 1 if the row opens it
-        at = np.searchsorted(starts, keys.to_numpy(), side="right") - 1
-        return pd.Series(2 * at + (starts[at] == keys.to_numpy()))
-
-    rows = docs.select(
-        F.col(id).alias("_id"), _sort_id(id).alias("_key"), F.coalesce(text, F.lit("")).alias("_text")
-    ).withColumn("_place", place("_key"))
-    home = F.struct(F.shiftright("_place", 1).alias("slice"), F.lit(0).alias("turn"))
-    last = F.lit(len(starts) - 1).cast("long")
-    before = F.when(home.slice > 0, home.slice - 1).otherwise(last)
-    guest = F.struct(before.alias("slice"), F.when(home.slice > 0, 1).otherwise(2).alias("turn"))
-    sent = F.when(F.col("_place") % 2 == 1, F.array(home, guest)).otherwise(F.array(home))
-    order = Window.partitionBy("_at.slice").orderBy("_at.turn", "_key", "_text")
-    return (
-        rows.select("_id", "_key", "_text", F.explode(sent).alias("_at"))
-        .withColumn("_next", F.lead("_text").over(order))
-        .where(F.col("_at.turn") == 0)
-        .select(F.col("_id").alias(id), F.col("_text").alias(text), F.col("_next").alias("next_text"))
-    )
+    def place(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            keys = part.column(0).to_numpy()
+            home = np.searchsorted(starts, keys, side="right") - 1
+            yield _with(part, home, np.zeros_like(home))
+            opens = np.flatnonzero(starts[home] == keys)
+            before = home[opens] - 1
+            guests = part.take(pa.array(opens))
+            yield _with(guests, np.where(before < 0, len(starts) - 1, before), np.where(before < 0, 2, 1))
+
+    kind = docs.schema[id].dataType.simpleString()
+    rows = docs.select(key.alias("_key"), F.col(id).alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
+    placed = rows.mapInArrow(place, f"_slice long, _turn long, _key long, _id {kind}, _text string")
+    return placed.repartition(width, "_slice").sortWithinPartitions("_slice", "_turn", "_key", "_text")
 
 
-def _sort_id(id: str) -> Column:
-    return F.coalesce(F.col(id), F.lit(-(2**63))).cast("long")
+def _with(part: pa.RecordBatch, slices: np.ndarray, turns: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(slices, pa.int64()), pa.array(turns, pa.int64()), *part.columns]
+    return pa.RecordBatch.from_arrays(columns, names=["_slice", "_turn", "_key", "_id", "_text"])
 
 
-RESULT = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+RESULT = {
+    "n_chars": pa.int64(), "edited_sha256": pa.string(), "fingerprint": pa.string(), "edited_fingerprint": pa.string(),
+    "near_edited": pa.float64(), "near_next": pa.float64(),
+}
 
 
 def compare_edits(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -131,31 +130,30 @@ def compare_edits(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     """
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_text, known = None, _EMPTY
+        held: tuple | None = None  # slice, turn, id, text and fingerprint of the row before
         for part in parts:
-            out: list[tuple] = []
-            ids, own, following = (part.column(i) for i in range(3))
-            for value, after in zip(own.to_pylist(), following.to_pylist(), strict=True):
-                after = after or ""
-                mine = known if value == known_text else vector(units(value))
-                # rows arrive in order: the next text is the own text of the next row
-                known_text, known = after, (mine if after == value else vector(units(after)))
-                half = len(value) // 2
-                edited = value[: len(value) - half] + after[:half]
-                other = mine if edited == value else vector(units(edited))
-                digest = hashlib.sha256(edited.encode()).hexdigest()
-                out.append(
-                    (len(value), digest, to_text(mine), to_text(other), likeness(mine, other), likeness(mine, known))
-                )
-            columns = list(zip(*out, strict=True)) or [()] * 6
-            kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays(
-                [ids, *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=[id, *RESULT]
-            )
+            ids, out = [], []
+            for slice_, turn, _, own, value in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                mine = vector(units(value))
+                if held is not None and held[:2] == (slice_, 0):
+                    ids.append(held[2])
+                    out.append(_compared(held[3], held[4], value, mine))
+                held = (slice_, turn, own, value, mine)
+            columns = list(zip(*out, strict=True)) or [()] * len(RESULT)
+            made = [pa.array(c, k) for c, k in zip(columns, RESULT.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, part.schema.field(3).type), *made], names=[id, *RESULT])
 
     kind = docs.schema[id].dataType.simpleString()
-    return with_next(docs, id, text).mapInArrow(
+    return in_order(docs, id, text).mapInArrow(
         batches,
         f"`{id}` {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double",
     )
+
+
+def _compared(text: str, own: np.ndarray, after: str, following: np.ndarray) -> tuple:
+    half = len(text) // 2
+    edited = text[: len(text) - half] + after[:half]
+    other = own if edited == text else vector(units(edited))
+    digest = hashlib.sha256(edited.encode()).hexdigest()
+    return len(text), digest, to_text(own), to_text(other), likeness(own, other), likeness(own, following)

@@ -5,7 +5,8 @@
    every triangle-inequality window covers everything. So points first meet only where they can be
    close: the shingle space is cut into more groups than two linked sets can differ in (their symmetric
    difference is bounded by their sizes), hence some group is equal in both. Points that share a group
-   form regions, the connected components of that relation.
+   form regions, the connected components of that relation. Groups that hold little but common shingles
+   say little, and each set may leave a few out; which shingles are common only steers that choice.
 3. Pivots. Inside a region the most central point is the pivot. Points within the radius join it; points
    up to twice the radius away are the boundary and are compared with the ball members in their
    triangle-inequality window; the rest recurses without the ball. A region too large for one task is
@@ -17,7 +18,6 @@ Shingles and sets are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -35,6 +35,9 @@ REGION_SHINGLES = 2_000_000
 PIVOTS, SPLITS = 16, 3
 #: Sets a task remembers so that it describes copies once; forgetting costs time only.
 SEEN_SETS = 200_000
+#: Common shingles: at most so many, in at least so many documents. Any choice of them gives the same result.
+COMMON_SHINGLES, COMMON_DOCUMENTS = 500_000, 10
+_COUNTED = 2_000_000  # shingles a task counts at a time
 _BAND = 1.5
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -116,7 +119,7 @@ def _bands(upto: int) -> tuple[int, ...]:
 def _groups(band: int, last_size: int, percent: int) -> tuple[np.ndarray, int, np.ndarray]:
     """Lower bounds of the groups of a band, how many groups each set may leave out, a tag per group."""
     most = (100 - percent) * 2 * last_size // (100 + percent)  # of shingles in which linked sets differ
-    spare = (most + 1) // 12
+    spare = (most + 1) // 6
     # at least 2 * spare + 1 groups are equal, so one is left when either set leaves out `spare`
     count = most + 1 + 2 * spare
     bounds = np.array([(g << 64) // count for g in range(count)], dtype=np.uint64)
@@ -124,15 +127,20 @@ def _groups(band: int, last_size: int, percent: int) -> tuple[np.ndarray, int, n
     return bounds, spare, tags
 
 
-def signatures(members: np.ndarray, percent: int) -> np.ndarray:
+def signatures(members: np.ndarray, percent: int, common: np.ndarray | None = None) -> np.ndarray:
     """Hashes of groups of shingles: two sets that link have one of them in common.
 
     A pair is looked for in the band of its larger set, so a set answers for its own band and for the
-    next ones that a link can reach. The groups with the fewest shingles say least and are left out.
+    next ones that a link can reach. The groups with the fewest uncommon shingles, and then the fewest
+    shingles, say least and are left out; ``common`` is sorted.
     """
     size = len(members)
     firsts = _bands(2 * size + 2)
     sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mix(members ^ np.uint64(_ODD)), dtype=np.uint64)))
+    told = np.arange(size + 1)
+    if common is not None and len(common):
+        at = np.minimum(np.searchsorted(common, members), len(common) - 1)
+        told = told + size * np.concatenate(([0], np.cumsum(common[at] != members)))
     found = []
     own = int(np.searchsorted(firsts, size, side="right")) - 1
     for band in range(own, len(firsts) - 1):
@@ -143,7 +151,7 @@ def signatures(members: np.ndarray, percent: int) -> np.ndarray:
         ends = np.append(starts[1:], size)
         values = _mix((sums[ends] - sums[starts]) ^ tags)
         if spare:
-            values = values[np.argsort(ends - starts, kind="stable")[spare:]]
+            values = values[np.argsort(told[ends] - told[starts], kind="stable")[spare:]]
         found.append(values)
     return np.concatenate(found).view(np.int64)
 
@@ -195,11 +203,41 @@ def region_roots(sets: list[np.ndarray], percent: int) -> list[int]:
     return [root(x) for x in range(count)]
 
 
+def _common(docs: DataFrame, width: int) -> np.ndarray:
+    """Shingles of many documents, sorted. Every document is counted, in each task and then over all."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def counted() -> pa.RecordBatch:
+            values, times = np.unique(np.concatenate(held), return_counts=True)
+            often = times > 2
+            return pa.RecordBatch.from_arrays(
+                [pa.array(values[often].view(np.int64)), pa.array(times[often])], names=["shingle", "n"]
+            )
+
+        for part in parts:
+            for text in part.column(0).to_pylist():
+                held.append(shingles(text, width))
+                size += len(held[-1])
+                if size >= _COUNTED:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
+
+    counts = docs.select("_text").mapInArrow(batches, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    most = counts.where(F.col("n") >= COMMON_DOCUMENTS).orderBy(F.desc("n"), "shingle").limit(COMMON_SHINGLES)
+    return np.sort(most.select("shingle").toPandas()["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
+
+
 def _describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``_doc, _set, _n, _signs``: per row the hash and size of its set, and its signatures once per task and set."""
+    shared = docs.sparkSession.sparkContext.broadcast(_common(docs, width))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        common = shared.value
         for part in parts:
             hashes, counts, signs = [], [], []
             for text in part.column(1).to_pylist():
@@ -211,7 +249,7 @@ def _describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     if len(seen) >= SEEN_SETS:
                         seen.clear()
                     seen.add(key)
-                    signs.append(signatures(members, percent))
+                    signs.append(signatures(members, percent, common))
                 else:
                     signs.append(_NONE)
             ends = np.concatenate(([0], np.cumsum([len(s) for s in signs]))).astype(np.int32)
@@ -230,21 +268,27 @@ def _describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
 _NONE = np.empty(0, dtype=np.int64)
 
 
-def _stars(described: DataFrame) -> DataFrame:
-    """Edges ``a, b`` from the smallest set of each signature to the others; runs of the sorted rows stream by."""
-    rows = described.select(F.explode("_signs").alias("_sign"), "_set")
-    rows = rows.repartition(shuffle_width(described.sparkSession), "_sign").sortWithinPartitions("_sign", "_set")
+def _stars(described: DataFrame, percent: int) -> DataFrame:
+    """Edges ``a, b`` from the first set of a signature to the others; runs of the sorted rows stream by.
+
+    Within a signature the sets are sorted by size; where the next one is too large for a link with the
+    one before, a new run begins.
+    """
+    rows = described.select(F.explode("_signs").alias("_sign"), "_n", "_set")
+    rows = rows.repartition(shuffle_width(described.sparkSession), "_sign").sortWithinPartitions("_sign", "_n", "_set")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_sign, last_head = None, None
+        last, head = None, 0
         for part in parts:
-            sign, member = (part.column(i).to_numpy() for i in range(2))
+            sign, size, member = (part.column(i).to_numpy() for i in range(3))
             if not len(sign):
                 continue
-            opens = np.concatenate(([last_sign is None or sign[0] != last_sign], sign[1:] != sign[:-1]))
+            before = (sign[:1], size[:1] * 0) if last is None else last
+            signs, sizes = np.concatenate((before[0], sign)), np.concatenate((before[1], size))
+            opens = (signs[1:] != signs[:-1]) | (100 * sizes[:-1] < percent * sizes[1:])
             at = np.maximum.accumulate(np.where(opens, np.arange(len(sign)), -1))
-            heads = np.where(at >= 0, member[at], 0 if last_head is None else last_head)
-            last_sign, last_head = sign[-1], heads[-1]
+            heads = np.where(at >= 0, member[at], head)
+            last, head = (sign[-1:], size[-1:]), heads[-1]
             found = np.unique(np.stack((heads, member), axis=1)[heads != member], axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
@@ -388,7 +432,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     described = spark.read.parquet(path)
     table = described.select("_doc", "_set", "_n")
     labels = None
-    stars = _stars(described)
+    stars = _stars(described, percent)
     stars_path = fresh_path(spark, "shingle-stars")
     stars.write.parquet(stars_path)
     stars = spark.read.parquet(stars_path)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import bpe, fingerprint, jaccard, linedup, warc
+from rivulet.llm import bpe, decontaminate, fingerprint, jaccard, langid, licences, linedup, pii, secrets, warc
 from rivulet.runtime import fresh_path
 
 
@@ -14,10 +14,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_sparse_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", langid.held_out())
+    model = langid.train(docs.where("NOT held_out"))
+    return langid.predict(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", F.inline("leaks"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.near_duplicates(docs, width=4, percent=85)
@@ -44,12 +61,28 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_multiset_fingerprint, op5_jaccard_join, op6_dictionary_warc, op7_byte_bpe, op8_line_dedup)}
+def op9_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return secrets.secret_report(docs, path="source")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_boosted_pii, op2_multiset_fingerprint, op3_sparse_langid, op4_cgk_decontamination, op5_jaccard_join,
+        op6_dictionary_warc, op7_byte_bpe, op8_line_dedup, op9_licence_rules, op10_secret_forest,
+    )
+}
 
 _SQL_LINES = """SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines
   FROM documents"""
 
 ORACLES = {
+    "op9_licence_rules": licences.sql(),
     "op8_line_dedup": f"""WITH docs AS ({_SQL_LINES}),
 cells AS (
   SELECT doc_id, pos, lines[pos] AS line,

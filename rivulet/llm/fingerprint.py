@@ -89,11 +89,11 @@ def in_order(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     to the end of the last (turn 2). A missing id comes first; equal ids follow each other in the order
     of their texts. A table of one row is its own successor. Ids are integers.
     """
-    key = F.coalesce(F.col(id), F.lit(-(2**63))).cast("long")
+    key = F.coalesce(F.col(id), F.lit(-(2**62))).cast("long")
     width = shuffle_width(docs.sparkSession)
     sliced = ordered_slices(docs.select(key.alias("_key")).distinct(), "_key", slices=SLICES_PER_PARTITION * width)
     # one number per slice; their count is set by the session, not by the table
-    starts = np.array(sorted(row[0] for row in sliced.groupBy(SLICE).agg(F.min("_key")).collect()), dtype=np.int64)
+    starts = np.array(sorted(row[1] for row in sliced.groupBy(SLICE).agg(F.min("_key")).collect()), dtype=np.int64)
 
     def place(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:

@@ -33,7 +33,7 @@ SENTENCES = [
     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
-    "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "this source code form is subject to the terms of the mozilla public license v",
 ]
 # Licence, and the sentence identifiers that state it, in order.
 RULES = [
@@ -54,8 +54,8 @@ RULES = [
     ("BSD-2-Clause", [19, 20, 21]),
     ("MPL-2.0", [22]),
 ]
-#: Sentences end at a stop before white space, and at line ends.
-ENDS = r"[.!?]+[\x20\t\r]+|[\r\n]+"
+#: Sentences end at a stop before white space (other signs may follow the stop), and at line ends.
+ENDS = r"[.?][^A-Za-z0-9\x20\t\r\n]*[\x20\t\r]+|[\r\n]+"
 #: Every known sentence contains one of these; other texts are not cut up.
 HINT = r"(?i)licen[sc]e|copyright|redistribut|permission|warranty"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -42,18 +42,22 @@ def candidates(docs: DataFrame, generators: list[Generator], id: str, text: str,
         pieces = F.struct(
             F.when(usable, matches).otherwise(nothing).alias("values"), F.when(usable, between).otherwise(nothing).alias("gaps")
         )
-        cells = F.transform(
-            pieces["values"],
-            lambda value, at: F.struct(
-                F.lit(generator.kind).alias("_kind"),
-                at.alias("_at"),
-                value.alias("_value"),
-                F.length(pieces["gaps"][at]).alias("_gap"),
-                F.right(pieces["gaps"][at], F.lit(CONTEXT)).alias("_before"),
-                F.left(F.coalesce(pieces["gaps"][at + 1], F.lit("")), F.lit(CONTEXT)).alias("_after"),
-            ),
-        )
-        return cells
+
+        def cells(both: Column) -> Column:
+            return F.transform(
+                both["values"],
+                lambda value, at: F.struct(
+                    F.lit(generator.kind).alias("_kind"),
+                    at.alias("_at"),
+                    value.alias("_value"),
+                    F.length(both["gaps"][at]).alias("_gap"),
+                    F.right(both["gaps"][at], F.lit(CONTEXT)).alias("_before"),
+                    F.left(F.coalesce(both["gaps"][at + 1], F.lit("")), F.lit(CONTEXT)).alias("_after"),
+                ),
+            )
+
+        # through an array of one item, else the text would be split again for every match
+        return F.transform(F.array(pieces), cells)[0]
 
     cells = F.concat(*[found(generator) for generator in generators])
     flat = rows.select("_id", "_hash", *extra, F.inline(cells))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from string import ascii_letters, digits
 
 from pyspark.sql import Column
@@ -65,13 +68,18 @@ def clean_words(text: Column | str) -> Column:
 
 
 def matches_any_keyword(text: Column | str, keywords: list[str]) -> Column:
-    """True when, for some keyword, all of its words occur in ``text``; case does not matter."""
-    found = F.split(F.lower(_col(text)), "[^a-z0-9]+")
-    hit = F.lit(False)
-    for phrase in keywords:
-        wanted = F.array(*[F.lit(w) for w in phrase.lower().split()])
-        hit = hit | (F.size(F.array_except(wanted, found)) == 0)
-    return hit
+    """True when, for some keyword, all of its words occur in ``text``; case does not matter.
+
+    Keywords are cut into words as the text is; one without a letter or digit matches nothing.
+    """
+    phrases = [[w for w in re.split("[^a-z0-9]+", phrase.lower()) if w] for phrase in keywords]
+    once = F.array(F.split(F.lower(_col(text)), "[^a-z0-9]+"))  # one item, so the text is cut once per row
+
+    def hit(found: Column) -> Column:
+        tests = [F.size(F.array_except(F.array(*map(F.lit, words)), found)) == 0 for words in phrases if words]
+        return reduce(Column.__or__, tests, F.lit(False))
+
+    return F.exists(once, hit)
 
 
 def contains_any(text: Column | str, tags: Column) -> Column:

@@ -6,28 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import letter_key
-from rivulet.operators.lists import bounded_lists
+from rivulet.operators.lists import counted_values
 from rivulet.operators.ordering import with_position
 
 
-def anagram_groups(words: DataFrame, column: str = "word", max_items: int = 100_000) -> DataFrame:
-    """Groups of at least two distinct words: ``(letter_key, part, n_words, words)``.
+def anagram_groups(words: DataFrame, column: str = "word") -> DataFrame:
+    """Words of groups of at least two: ``(letter_key, word, n_words)``, a row per distinct word.
 
     Words are made distinct before their letters are sorted, so each is sorted once.
     """
     keyed = words.select(F.col(column).alias("word")).distinct().withColumn("letter_key", letter_key("word"))
-    return (
-        bounded_lists(keyed, "letter_key", "word", max_items)
-        .where(F.col("n_values") > 1)
-        .select("letter_key", "part", F.col("n_values").alias("n_words"), F.col("items.word").alias("words"))
-    )
+    grouped = counted_values(keyed, "letter_key", "word").where(F.col("n_values") > 1)
+    return grouped.select("letter_key", "word", F.col("n_values").alias("n_words"))
 
 
 def anagram_ranked(groups: DataFrame) -> DataFrame:
-    """Groups numbered by size, largest first; ties by key and part."""
-    return with_position(groups, [F.desc("n_words"), "letter_key", "part"], name="place")
+    """Groups numbered by size, largest first, ties by key: ``(place, letter_key, n_words)``."""
+    sizes = groups.select("letter_key", "n_words").distinct()
+    return with_position(sizes, [F.desc("n_words"), "letter_key"], name="place")
 
 
-def anagram_lines(ranked: DataFrame) -> DataFrame:
-    """One text line per group, words separated by a space, with its place in the output."""
-    return ranked.select("place", F.array_join("words", " ").alias("line"))
+def anagram_lines(groups: DataFrame) -> DataFrame:
+    """One text line per group, sorted words separated by a space, with its place in the output.
+
+    A line holds its group, so this last step gathers a group's words; nothing before it does.
+    """
+    placed = groups.join(anagram_ranked(groups).select("place", "letter_key"), "letter_key")
+    lines = placed.groupBy("place").agg(F.sort_array(F.collect_list("word")).alias("words"))
+    return lines.select("place", F.array_join("words", " ").alias("line"))

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.operators.lists import bounded_lists
+from rivulet.operators.lists import counted_values
 from rivulet.runtime import BucketedCopy, cut_lineage, shuffle_width
 
 
@@ -18,11 +18,9 @@ def edge_vertices(edges: DataFrame) -> DataFrame:
     return ends.withColumn("rank", F.lit(1.0))
 
 
-def adjacency_lists(edges: DataFrame, max_items: int = 100_000) -> DataFrame:
-    """``(src, part, n_out, neighbors)``: neighbours with the number of parallel edges to each."""
-    return bounded_lists(edges, "src", "dst", max_items).select(
-        "src", "part", F.col("n_rows").alias("n_out"), F.col("items").alias("neighbors")
-    )
+def adjacency_lists(edges: DataFrame) -> DataFrame:
+    """``(src, dst, times, n_out)``: each neighbour with the number of parallel edges to it."""
+    return counted_values(edges, "src", "dst").select("src", "dst", "times", F.col("n_rows").alias("n_out"))
 
 
 def out_degrees(vertices: DataFrame, edges: DataFrame) -> DataFrame:

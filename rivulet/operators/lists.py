@@ -1,4 +1,4 @@
-"""Grouping values into lists whose rows stay bounded."""
+"""Grouping values in long form: one row per key and value, however large a key is."""
 
 from __future__ import annotations
 
@@ -6,28 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_lists(df: DataFrame, key: str, value: str, max_items: int = 100_000) -> DataFrame:
-    """Distinct values per ``key``: ``(key, part, n_rows, n_values, items)``.
+def counted_values(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Distinct values per ``key``: ``(key, value, times, n_rows, n_values)``.
 
-    ``items`` is a sorted array of ``(value, times)``; repeats are counted before the shuffle by key.
-    A key with more than ``max_items`` distinct values is spread over several parts by a hash of the
-    value, so no task or row holds a hot key whole and nothing is dropped. Ordinary keys have the
-    single part 0.
+    Repeats are counted before the shuffle by key, and no task or row ever holds a whole key. A hot key
+    is a skewed join here, which adaptive execution splits.
     """
     counted = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("times"))
-    hot = (
-        counted.groupBy(key)
-        .agg(F.sum("times").alias("_rows"), F.count(F.lit(1)).alias("_values"))
-        .where(F.col("_values") > max_items)
-    )
-    parts = F.coalesce(F.ceil(F.col("_values") / max_items), F.lit(1)).cast("bigint")
-    return (
-        counted.join(hot, key, "left")
-        .withColumn("part", F.pmod(F.xxhash64(value), parts))
-        .groupBy(key, "part")
-        .agg(
-            F.coalesce(F.first("_rows"), F.sum("times")).alias("n_rows"),
-            F.coalesce(F.first("_values"), F.count(F.lit(1))).alias("n_values"),
-            F.sort_array(F.collect_list(F.struct(value, "times"))).alias("items"),
-        )
-    )
+    totals = counted.groupBy(key).agg(F.sum("times").alias("n_rows"), F.count(F.lit(1)).alias("n_values"))
+    return counted.join(totals, key)

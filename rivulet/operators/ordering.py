@@ -144,5 +144,7 @@ def first_rows(
         .agg(F.min("_bucket"))
     )
     cut = F.coalesce(enough.scalar(), F.date_trunc(bucket, time))
-    candidates = df.where(F.date_trunc(bucket, time) <= cut)
+    # rows without a time come first in the order, so they are candidates whatever the cut
+    place = F.date_trunc(bucket, time)
+    candidates = df.where(cut.isNull() | place.isNull() | (place <= cut))
     return with_position(candidates, [time, *tie]).where(F.col("pos") <= n)

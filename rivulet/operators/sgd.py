@@ -98,41 +98,64 @@ def abs_error(examples: DataFrame, model: DataFrame, init: float, by: str) -> Da
     )
 
 
-def _row_updates(eta: float, batch_size: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Updates in row order inside each shard; rows of a shard arrive together."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard, slots, weights, pending = None, {}, [], []
+class _Shard:
+    """The weights that one shard's rows have touched, in a growing array with a slot per index."""
+
+    def __init__(self, shard: int, eta: float):
+        self.shard, self.eta = shard, eta
+        self.slots: dict[int, int] = {}
+        self.weights = np.empty(1024)
+        self.pending: list[tuple[np.ndarray, np.ndarray, float]] = []
+
+    def places(self, index: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """The slots of ``index``; new ones begin with ``start``. Each distinct index is looked up once."""
+        distinct, first, back = np.unique(index, return_index=True, return_inverse=True)
+        found = np.empty(len(distinct), dtype=np.int64)
+        for at, (key, begin) in enumerate(zip(distinct.tolist(), start[first].tolist())):
+            slot = self.slots.get(key)
+            if slot is None:
+                slot = self.slots[key] = len(self.slots)
+                if slot == len(self.weights):
+                    self.weights = np.concatenate((self.weights, np.empty(slot)))
+                self.weights[slot] = begin
+            found[at] = slot
+        return found[back]
+
+    def flush(self) -> None:
+        """One update by the pending rows, all judged by the weights from before it."""
+        moves = []
+        for where, value, label in self.pending:
+            factor = label * (1.0 / (1.0 + np.exp(-label * (self.weights[where] @ value))) - 1.0)
+            moves.append((where, self.eta * factor * value))
+        for where, move in moves:
+            np.subtract.at(self.weights, where, move)
+        self.pending.clear()
+
+    def result(self) -> pd.DataFrame:
+        self.flush()
+        return pd.DataFrame({"shard": self.shard, "index": list(self.slots), "weight": self.weights[: len(self.slots)]})
 
-        def flush() -> None:
-            at = np.array(weights)
-            for where, value, label in pending:
-                factor = label * (1.0 / (1.0 + np.exp(-label * (at[where] @ value))) - 1.0)
-                for slot, v in zip(where, value):
-                    weights[slot] -= eta * factor * v
-            pending.clear()
 
-        def result() -> pd.DataFrame:
-            flush()
-            return pd.DataFrame({"shard": shard, "index": list(slots), "weight": weights})
+def _row_updates(eta: float, batch_size: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Updates in row order inside each shard; rows of a shard arrive together. Linear in the entries."""
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state: _Shard | None = None
         for frame in frames:
-            for row in frame.itertuples(index=False):
-                if row.shard != shard:
-                    if slots:
-                        yield result()
-                    shard, slots, weights = row.shard, {}, []
-                where = []
-                for index, start in zip(row.index, row.start):
-                    if index not in slots:
-                        slots[index] = len(weights)
-                        weights.append(start)
-                    where.append(slots[index])
-                pending.append((np.array(where, dtype=np.int64), np.asarray(row.value, dtype=float), row.label))
-                if len(pending) >= batch_size:
-                    flush()
-        if slots:
-            yield result()
+            for shard, rows in frame.groupby("shard", sort=False):
+                if state is None or state.shard != shard:
+                    if state is not None and state.slots:
+                        yield state.result()
+                    state = _Shard(shard, eta)
+                sizes = rows["index"].map(len).to_numpy()
+                where = state.places(np.concatenate(rows["index"].to_list()), np.concatenate(rows["start"].to_list()))
+                parts = np.split(where, np.cumsum(sizes)[:-1])
+                for slots, value, label in zip(parts, rows["value"], rows["label"]):
+                    state.pending.append((slots, np.asarray(value, dtype=float), label))
+                    if len(state.pending) >= batch_size:
+                        state.flush()
+        if state is not None and state.slots:
+            yield state.result()
 
     return run
 

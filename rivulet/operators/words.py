@@ -55,14 +55,10 @@ def popular_words(counts: DataFrame) -> DataFrame:
     return placed.where(F.col("place") <= keep).select("generation_s", "place", "word", "cnt")
 
 
-def popular_lines(popular: DataFrame, max_items: int = 100_000) -> DataFrame:
-    """Text lines ``generation word word …``, at most ``max_items`` words to a line, in order of place."""
-    line = F.floor((F.col("place") - 1) / max_items)
-    return (
-        popular.groupBy("generation_s", line.alias("part"))
-        .agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("_words"))
-        .select("generation_s", "part", F.concat_ws(" ", F.col("generation_s"), "_words.word").alias("line"))
-    )
+def popular_lines(popular: DataFrame) -> DataFrame:
+    """Text lines ``generation word word …``, one per generation, in order of place."""
+    lines = popular.groupBy("generation_s").agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("_words"))
+    return lines.select("generation_s", F.concat_ws(" ", F.col("generation_s"), "_words.word").alias("line"))
 
 
 def popular_words_pipeline(

@@ -13,9 +13,7 @@ TAG_EVERY = 100_000
 EVENTS_SCHEMA = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 )
-TEST_THRESHOLDS = [30, 60, 120, 15, 240, 90]
-TEST_TAGS = ["Thether", "eauxla", "ionthe", "#", "schund", "cionde", "ndand", "http", "reereau", "OUND"]
-TEST_TAG_DRAWS = 4
+CONTROL_DAYS = 3  # the threshold rows end so many days before the events do
 TEST_KEYWORDS = ["thon", "the thand", "TION", "in of hathe", "with"]
 TEST_STOP_WORDS = ["the", "of", "and", "le", "de", "is", "on", "to", "that", "in", "la", "der", "und", "el"]
 
@@ -121,10 +119,6 @@ seen AS (
     ts_s // {DAY} * {DAY} AS window_s FROM arr)"""
 
 
-def span(rows: DataFrame) -> DataFrame:
-    return rows.agg(F.min("ts_s").alias("first_s"), F.max("ts_s").alias("last_s"))
-
-
 # --- tweets ----------------------------------------------------------------------------------------
 
 def joined_tweets(events_df: DataFrame, docs: DataFrame) -> DataFrame:
@@ -146,23 +140,36 @@ tweets AS (
   FROM ev JOIN documents ON event_id % (SELECT count(*) FROM documents) = doc_id)"""
 
 
-def _sql_pick(values: list, draw: int | str) -> str:
-    listed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
-    return f"([{listed}])[(tick * 7919 + {draw} * 104729) % {len(values)} + 1]"
+def threshold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control rows from the events: per day half of its largest value; they end before the events do."""
+    rows = events(spark, sf_dir).select((F.floor(F.col("ts_s") / DAY) * DAY).alias("generation_s"), F.floor("value").cast("int").alias("v"))
+    per_day = rows.groupBy("generation_s").agg(F.array((F.max("v") / 2).cast("int")).alias("thresholds"))
+    last = rows.agg(F.max("generation_s")).scalar()
+    return per_day.where(F.col("generation_s") <= last - CONTROL_DAYS * DAY)
+
+
+def tag_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control rows from the events: per tick the beginnings of the actions of some of its events."""
+    rows = events(spark, sf_dir).where("event_id % 5 = 0").select(
+        (F.floor(F.col("ts_s") / TAG_EVERY) * TAG_EVERY).alias("generation_s"), F.lower(F.substring("action", 1, 3)).alias("tag")
+    )
+    return rows.groupBy("generation_s").agg(F.sort_array(F.collect_set("tag")).alias("tags"))
 
 
 SQL_THRESHOLDS = f"""threshold_rows AS (
-  SELECT tick * {DAY} AS generation_s, {_sql_pick(TEST_THRESHOLDS, 0)} AS threshold
-  FROM (SELECT unnest(range(min(ts_s) // {DAY}, max(ts_s) // {DAY} + 1)) AS tick FROM ev))"""
+  SELECT day AS generation_s, CAST(max(v) // 2 AS INTEGER) AS threshold
+  FROM (SELECT ts_s // {DAY} * {DAY} AS day, CAST(floor(value) AS INTEGER) AS v FROM ev)
+  WHERE day <= (SELECT max(ts_s) // {DAY} * {DAY} FROM ev) - {CONTROL_DAYS * DAY} GROUP BY day)"""
 SQL_TAGS = f"""tag_rows AS (
-  SELECT tick * {TAG_EVERY} AS generation_s,
-    [{', '.join(f'lower({_sql_pick(TEST_TAGS, d)})' for d in range(TEST_TAG_DRAWS))}] AS tags
-  FROM (SELECT unnest(range(min(ts_s) // {TAG_EVERY}, max(ts_s) // {TAG_EVERY} + 1)) AS tick FROM ev))"""
+  SELECT tick AS generation_s, list_sort(list(DISTINCT tag)) AS tags
+  FROM (SELECT ts_s // {TAG_EVERY} * {TAG_EVERY} AS tick, lower(action[1:3]) AS tag FROM ev WHERE event_id % 5 = 0)
+  GROUP BY tick)"""
 SQL_ACCEPTED = f"""{SQL_TWEETS},
 {SQL_THRESHOLDS},
 accepted AS (
-  SELECT t.*, g.generation_s FROM tweets t JOIN threshold_rows g ON t.ts_s // {DAY} * {DAY} = g.generation_s
-  WHERE friends_count < threshold)"""
+  SELECT t.*, coalesce(g.generation_s, (SELECT min(generation_s) FROM threshold_rows)) AS generation_s
+  FROM tweets t ASOF LEFT JOIN threshold_rows g ON t.ts_s >= g.generation_s
+  WHERE friends_count < coalesce(threshold, (SELECT arg_min(threshold, generation_s) FROM threshold_rows)))"""
 SQL_PAIRS = f"""{SQL_ACCEPTED},
 {SQL_TAGS},
 pairs AS (
@@ -196,11 +203,8 @@ tw AS (
 # --- numbers ---------------------------------------------------------------------------------------
 
 def binary_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as sparse ±1 examples: entries with an absolute value above 0.1."""
-    kept = F.filter(
-        F.transform("embedding", lambda v, i: F.struct(i.cast("bigint").alias("index"), v.cast("double").alias("value"))),
-        lambda e: F.abs(e["value"]) > 0.1,
-    )
+    """Embeddings as ±1 examples of index and value, all entries."""
+    kept = F.transform("embedding", lambda v, i: F.struct(i.cast("bigint").alias("index"), v.cast("double").alias("value")))
     label = F.when(F.col("label") < 5, 1.0).otherwise(-1.0)
     rows = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("example_id"), label.alias("label"), kept.alias("_e")
@@ -212,8 +216,7 @@ SQL_EXAMPLES = """ex AS MATERIALIZED (
   SELECT example_id, label, idx, value FROM (
     SELECT vec_id AS example_id, CASE WHEN label < 5 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS label,
       i - 1 AS idx, embedding[i]::DOUBLE AS value
-    FROM (SELECT vec_id, label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings))
-  WHERE abs(value) > 0.1)"""
+    FROM (SELECT vec_id, label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)))"""
 
 
 def softmax_examples(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,10 +35,7 @@ def edge_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adjacency_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shown = F.transform("neighbors", lambda n: F.concat_ws("x", n["dst"], n["times"]))
-    return graph.adjacency_lists(fr.links(spark, sf_dir)).select(
-        "src", "part", "n_out", F.array_join(shown, " ").alias("neighbors")
-    )
+    return graph.adjacency_lists(fr.links(spark, sf_dir))
 
 
 def _degrees(edges: DataFrame) -> DataFrame:
@@ -154,8 +151,7 @@ ORACLES = {
     "adjacency_lists": with_sql(
         fr.SQL_LINKS,
         "counted AS (SELECT src, dst, count(*) AS times FROM links GROUP BY src, dst)",
-        select="""SELECT src, 0::BIGINT AS part, sum(times)::BIGINT AS n_out,
-          string_agg(dst || 'x' || times, ' ' ORDER BY dst) AS neighbors FROM counted GROUP BY src""",
+        select="SELECT src, dst, times, sum(times) OVER (PARTITION BY src)::BIGINT AS n_out FROM counted",
     ),
     "graph_out_degrees": with_sql(
         fr.SQL_LINKS, fr.SQL_VERTICES, _DEGREE, select="SELECT id, out_degree FROM degree"

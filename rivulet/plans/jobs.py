@@ -19,7 +19,7 @@ from rivulet.streaming import queries as sq
 def anagram_job(spark: SparkSession, words_path: str, output: str) -> None:
     """Anagram groups of a word list as text lines; the output files in name order rank them."""
     listed = files.text_lines(spark, words_path).select(F.col("value").alias("word")).where("word <> ''")
-    lines = anagrams.anagram_lines(anagrams.anagram_ranked(anagrams.anagram_groups(listed)))
+    lines = anagrams.anagram_lines(anagrams.anagram_groups(listed))
     sinks.text_sink(lines.orderBy("place").select("line"), output, "line")
 
 
@@ -84,7 +84,7 @@ def tumbling_burst_job(
 
 
 def collect_tweets_job(
-    tweet_rows: DataFrame, output: str, keywords: list[str] = tweets.COLLECT_KEYWORDS, n: int = 200_000
+    tweet_rows: DataFrame, output: str, keywords: list[str], n: int = 200_000
 ) -> None:
     """The first ``n`` matching tweets as delimited lines."""
     chosen = tweets.tweet_filter(tweet_rows, keywords)
@@ -96,19 +96,19 @@ def popular_words_job(
     stop: DataFrame | list[str],
     words_output: str,
     tweets_output: str,
-    keywords: list[str] = tweets.POPULAR_KEYWORDS,
-    thresholds: list[int] = tweets.THRESHOLDS,
-    tags: list[str] = tweets.TAGS,
-    every_s: int = 30,
+    keywords: list[str],
+    thresholds: DataFrame,
+    tags: DataFrame,
 ) -> None:
     """Popular words per generation and the tweets they come from, both as delimited lines.
 
-    ``tweet_rows`` are ``(event_id, ts_s, text, lang, friends_count)``; control ticks cover their time.
+    ``tweet_rows`` are ``(event_id, ts_s, text, lang, friends_count)``, the control rows
+    ``thresholds(generation_s, thresholds)`` and ``tags(generation_s, tags)`` with tags in lower case. A tweet
+    takes the latest thresholds at or before it.
     """
     chosen = tweets.tweet_filter(tweet_rows, keywords)
-    span = tweet_rows.agg(F.min("ts_s").alias("first_s"), F.max("ts_s").alias("last_s"))
-    joined = control.asof_regular(chosen, tweets.threshold_ticks(span, thresholds, every_s), every_s)
-    popular, tagged = words.popular_words_pipeline(joined, tweets.tag_ticks(span, tags, every_s), stop)
+    joined = control.asof_latest(chosen, thresholds, "thresholds", "ts_s", "event_id")
+    popular, tagged = words.popular_words_pipeline(joined, tags, stop)
     sinks.delimited_sink(words.popular_lines(popular).select("line"), words_output)
     sinks.delimited_sink(tagged.select("generation_s", "text"), tweets_output)
 

@@ -164,15 +164,14 @@ a{k} AS MATERIALIZED (
         )
     return f"""WITH RECURSIVE dense AS MATERIALIZED (
   SELECT vec_id // {SHARD_IDS} AS shard, CASE WHEN label < 5 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS y,
-    list_transform(embedding, lambda v: CASE WHEN abs(v::DOUBLE) > 0.1 THEN v::DOUBLE ELSE 0.0::DOUBLE END) AS x,
+    list_transform(embedding, lambda v: v::DOUBLE) AS x,
     row_number() OVER (PARTITION BY vec_id // {SHARD_IDS} ORDER BY vec_id * 7919 % 1000, vec_id) - 1 AS pos
   FROM embeddings),
 batches AS MATERIALIZED (
   SELECT shard, pos // {batch_size} AS k, list(x ORDER BY pos) AS xs, list(y ORDER BY pos) AS ys
   FROM dense GROUP BY ALL),
 touched AS MATERIALIZED (
-  SELECT DISTINCT shard, idx FROM (SELECT shard, x, unnest(range(1, {N_FEATURES + 1})) AS idx FROM dense)
-  WHERE x[idx] <> 0),
+  SELECT DISTINCT shard, unnest(range(1, {N_FEATURES + 1})) AS idx FROM dense),
 {', '.join(rounds)}
 SELECT idx - 1 AS index, round(weight, 5) AS weight FROM a2 WHERE idx IN (SELECT idx FROM touched)"""
 

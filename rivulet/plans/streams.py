@@ -80,10 +80,10 @@ def stream_popular_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The pairing of generations with tags comes from the control tables.
     """
-    pairs = control.pair_generations(tw.accepted_without_text(spark, sf_dir), tw.tag_control(spark, sf_dir))
+    pairs = control.pair_generations(tw.accepted_without_text(spark, sf_dir), fr.tag_rows(spark, sf_dir))
     rows = event_stream(spark, sf_dir).withColumn("ts_s", F.unix_seconds("ts"))
     stream = fr.joined_tweets(rows, fr.table(spark, sf_dir, "documents"))
-    accepted = control.threshold_filter(control.asof_regular(stream, tw.threshold_control(spark, sf_dir), DAY))
+    accepted = control.threshold_filter(control.asof_regular(stream, fr.threshold_rows(spark, sf_dir), DAY))
     tagged = words.tag_filter(accepted.select("generation_s", "ts", "text"), pairs)
     counts = sq.generation_counts(tagged.select("ts", "text"), tw.stop_list(spark), "1 day")
     sink = BatchTable(

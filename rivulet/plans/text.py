@@ -26,21 +26,15 @@ def letter_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anagram_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anagrams.anagram_groups(fr.document_words(spark, sf_dir)).select(
-        "letter_key", "part", "n_words", F.array_join("words", ",").alias("words")
-    )
-
-
-def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anagrams.anagram_ranked(anagrams.anagram_groups(fr.document_words(spark, sf_dir)))
+    return anagrams.anagram_groups(fr.document_words(spark, sf_dir))
 
 
 def anagram_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ranked(spark, sf_dir).select("place", "letter_key", "n_words")
+    return anagrams.anagram_ranked(anagram_groups(spark, sf_dir)).select("place", "letter_key", "n_words")
 
 
 def anagram_render(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anagrams.anagram_lines(_ranked(spark, sf_dir))
+    return anagrams.anagram_lines(anagram_groups(spark, sf_dir))
 
 
 def contains_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +76,7 @@ ORACLES = {
     ),
     "letter_key": with_sql(_KEYED, select="SELECT word, letter_key FROM keyed"),
     "anagram_groups": with_sql(
-        _KEYED, select="SELECT letter_key, 0::BIGINT AS part, n_words, words FROM grouped"
+        _KEYED, select="SELECT letter_key, word, n_words FROM keyed JOIN grouped USING (letter_key)"
     ),
     "anagram_ranked": with_sql(_KEYED, select="SELECT place, letter_key, n_words FROM placed"),
     "anagram_render": with_sql(_KEYED, select="SELECT place, replace(words, ',', ' ') AS line FROM placed"),

@@ -7,27 +7,19 @@ from pyspark.sql import functions as F
 
 from rivulet.operators import control, words
 from rivulet.plans import frames as fr
-from rivulet.plans.frames import DAY, TAG_EVERY, with_sql
+from rivulet.plans.frames import DAY, with_sql
 from rivulet.runtime import literal_table
 from rivulet.sources import tweets as src
 
 COLLECTED = 4000
 
 
-def threshold_control(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.threshold_ticks(fr.span(fr.events(spark, sf_dir)), fr.TEST_THRESHOLDS, DAY)
-
-
-def tag_control(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.tag_ticks(fr.span(fr.events(spark, sf_dir)), fr.TEST_TAGS, TAG_EVERY, fr.TEST_TAG_DRAWS)
-
-
 def stop_list(spark: SparkSession) -> DataFrame:
     return literal_table(spark, "word", fr.TEST_STOP_WORDS, "string")
 
 
 def _with_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return control.asof_regular(fr.tweets(spark, sf_dir), threshold_control(spark, sf_dir), DAY)
+    return control.asof_regular(fr.tweets(spark, sf_dir), fr.threshold_rows(spark, sf_dir), DAY)
 
 
 def _accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,14 +30,6 @@ def tweet_keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.tweet_filter(fr.tweets(spark, sf_dir), fr.TEST_KEYWORDS).select("event_id", "lang", "friends_count")
 
 
-def threshold_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return threshold_control(spark, sf_dir).select("generation_s", F.array_join("thresholds", ",").alias("thresholds"))
-
-
-def tag_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tag_control(spark, sf_dir).select("generation_s", F.array_join("tags", ",").alias("tags"))
-
-
 def asof_threshold_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _accepted(spark, sf_dir).select("event_id", "generation_s", "friends_count")
 
@@ -64,18 +48,18 @@ def asof_irregular_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def generation_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = accepted_without_text(spark, sf_dir)
-    return control.pair_generations(accepted, tag_control(spark, sf_dir)).select(
+    return control.pair_generations(accepted, fr.tag_rows(spark, sf_dir)).select(
         "generation_s", "tick_s", F.array_join("tags", ",").alias("tags")
     )
 
 
 def accepted_without_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fr.events(spark, sf_dir).withColumn("friends_count", F.floor("value").cast("int"))
-    return control.threshold_filter(control.asof_regular(rows, threshold_control(spark, sf_dir), DAY))
+    return control.threshold_filter(control.asof_regular(rows, fr.threshold_rows(spark, sf_dir), DAY))
 
 
 def tag_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = control.pair_generations(accepted_without_text(spark, sf_dir), tag_control(spark, sf_dir))
+    pairs = control.pair_generations(accepted_without_text(spark, sf_dir), fr.tag_rows(spark, sf_dir))
     return words.tag_filter(_accepted(spark, sf_dir), pairs).select("event_id", "generation_s")
 
 
@@ -106,7 +90,7 @@ def popular_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def popular_words_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     popular, _ = words.popular_words_pipeline(
-        _with_thresholds(spark, sf_dir), tag_control(spark, sf_dir), stop_list(spark)
+        _with_thresholds(spark, sf_dir), fr.tag_rows(spark, sf_dir), stop_list(spark)
     )
     return popular
 
@@ -121,7 +105,7 @@ def collect_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        tweet_keyword_filter, threshold_ticks, tag_ticks, asof_threshold_filter, asof_irregular_filter,
+        tweet_keyword_filter, asof_threshold_filter, asof_irregular_filter,
         generation_pairing, tag_filter, tweet_words, generation_word_counts, generation_word_totals,
         popular_words, popular_words_pipeline, collect_first_n,
     )
@@ -151,13 +135,6 @@ ORACLES = {
         "t AS (SELECT *, string_split_regex(lower(text), '[^a-z0-9]+') AS found FROM tweets WHERE lang = 'en')",
         select=f"SELECT event_id, lang, friends_count FROM t WHERE {_KEYWORD_TEST}",
     ),
-    "threshold_ticks": with_sql(
-        fr.SQL_EVENTS, fr.SQL_THRESHOLDS,
-        select="SELECT generation_s, CAST(threshold AS VARCHAR) AS thresholds FROM threshold_rows",
-    ),
-    "tag_ticks": with_sql(
-        fr.SQL_EVENTS, fr.SQL_TAGS, select="SELECT generation_s, array_to_string(tags, ',') AS tags FROM tag_rows"
-    ),
     "asof_threshold_filter": with_sql(
         fr.SQL_ACCEPTED, select="SELECT event_id, generation_s, friends_count FROM accepted"
     ),

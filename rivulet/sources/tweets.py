@@ -1,64 +1,14 @@
-"""Tweet filtering and the control tables that steer it."""
+"""Tweet filtering."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import matches_any_keyword
 
-# Default keywords, tags and thresholds of the tweet jobs.
-COLLECT_KEYWORDS = [
-    "testing", "storm", "hurricane", "liverpool", "real madrid", "sure", "right", "issues", "USA", "dev",
-    "development", "github", "bigdata", "spark", "storm", "ml", "machine", "learning", "tarun",
-    "assignment", "iphone", "apple", "samsung", "android", "nexus", "oneplus", "pepsi", "halloween",
-    "freakfest",
-]
-POPULAR_KEYWORDS = [
-    "testing", "storm", "hurricane", "liverpool", "real madrid", "sure", "right", "issues", "USA", "dev",
-    "development", "github", "bigdata", "spark", "storm", "ml", "machine", "learning", "tarun",
-    "assignment", "iphone", "apple", "samsung", "android", "nexus", "oneplus", "pepsi", "halloween",
-    "madison", "wisconsin", "state", "street", "mobile",
-]
-TAGS = [
-    "#giveaway", "#metoo", "#freakfest", "#costume", "#earthquake", "#hurricane", "#football", "#premeir",
-    "#iphone", "#apple", "#fbisdown", "#appraisal", "#influencers", "#hbd", "#ynwa", "#idont",
-    "#property", "#pitbull", "#fml", "#pool", "#bekind", "#higuain", "#club", "#youtubers", "#code",
-    "#coders", "#engineering", "#platform", "#game", "#selfie", "#brexit", "#trumpf", "#trump",
-]
-THRESHOLDS = [1000, 1500, 500, 900, 200, 700, 2000, 3000, 6000, 9000, 30, 2500]
-
 
 def tweet_filter(tweets: DataFrame, keywords: list[str], lang: str = "en") -> DataFrame:
     """Tweets in ``lang`` that match a keyword; with no keywords the language alone decides."""
     kept = tweets.where(F.col("lang") == lang)
     return kept.where(matches_any_keyword("text", keywords)) if keywords else kept
-
-
-def _picked(values: list, tick: Column, draw: Column | int, sql_type: str) -> Column:
-    """A reproducible pick with replacement: an arithmetic hash of tick and draw."""
-    at = (tick * 7919 + draw * 104729) % len(values)
-    return F.get(F.array(*[F.lit(v).cast(sql_type) for v in values]), at.cast("int"))
-
-
-def ticks(span: DataFrame, every_s: int = 30) -> DataFrame:
-    """``(tick, generation_s)`` from the one-row ``span(first_s, last_s)``, one tick each ``every_s`` seconds.
-
-    Ticks sit on multiples of ``every_s`` so that a row's tick follows from its time alone.
-    """
-    numbers = F.sequence(F.floor(F.col("first_s") / every_s), F.floor(F.col("last_s") / every_s))
-    return span.select(F.explode(numbers).alias("tick")).select(
-        "tick", (F.col("tick") * every_s).alias("generation_s")
-    )
-
-
-def threshold_ticks(span: DataFrame, values: list[int] = THRESHOLDS, every_s: int = 30, n: int = 1) -> DataFrame:
-    """``(generation_s, thresholds)``: ``n`` values drawn per tick."""
-    draws = [_picked(values, F.col("tick"), d, "int") for d in range(n)]
-    return ticks(span, every_s).select("generation_s", F.array(*draws).alias("thresholds"))
-
-
-def tag_ticks(span: DataFrame, tags: list[str] = TAGS, every_s: int = 30, n: int = 20) -> DataFrame:
-    """``(generation_s, tags)``: ``n`` tags drawn with replacement per tick, in lower case."""
-    draws = [F.lower(_picked(tags, F.col("tick"), d, "string")) for d in range(n)]
-    return ticks(span, every_s).select("generation_s", F.array(*draws).alias("tags"))

@@ -80,6 +80,13 @@ def test_regular_asof_join_uses_the_first_tick_for_early_rows(spark):
     assert sorted(r.event_id for r in control.threshold_filter(joined).collect()) == [1, 4]
 
 
+def test_regular_asof_join_keeps_rows_after_the_last_tick(spark):
+    df = spark.createDataFrame([(1, 10), (2, 95)], "event_id BIGINT, ts_s BIGINT")
+    ticks = spark.createDataFrame([(0, [1]), (30, [2])], "generation_s BIGINT, thresholds ARRAY<INT>")
+    got = {r.event_id: (r.generation_s, r.thresholds) for r in control.asof_regular(df, ticks, 30).collect()}
+    assert got == {1: (0, [1]), 2: (30, [2])}
+
+
 def test_generations_pair_in_order_and_wait(spark):
     generations = spark.createDataFrame([(30,), (10,), (10,), (20,)], "generation_s BIGINT")
     tags = spark.createDataFrame([(5, ["a"]), (7, ["b"])], "generation_s BIGINT, tags ARRAY<STRING>")

@@ -89,9 +89,11 @@ def test_tweet_jobs(spark, tmp_path):
     df = spark.createDataFrame(rows, "event_id BIGINT, ts_s BIGINT, text STRING, lang STRING, friends_count INT")
     df = df.withColumn("ts", F.timestamp_seconds("ts_s"))
     out = {k: str(tmp_path / k) for k in ("c", "w", "t")}
-    jobs.collect_tweets_job(df, out["c"], n=2)
+    jobs.collect_tweets_job(df, out["c"], ["storm"], n=2)
     assert sorted(read_lines(spark, out["c"])) == ["storm at the #pool now", "storm storm @x #pool"]
-    jobs.popular_words_job(df, ["the", "at"], out["w"], out["t"], tags=["#Pool"])
+    thresholds = spark.createDataFrame([(0, [1000]), (30, [500])], "generation_s BIGINT, thresholds ARRAY<INT>")
+    tags = spark.createDataFrame([(0, ["#pool"])], "generation_s BIGINT, tags ARRAY<STRING>")
+    jobs.popular_words_job(df, ["the", "at"], out["w"], out["t"], ["storm"], thresholds, tags)
     assert read_lines(spark, out["w"]) == ["0 storm"]
     assert sorted(read_lines(spark, out["t"])) == ["0|storm at the #pool now", "0|storm storm @x #pool"]
 

@@ -1,9 +1,10 @@
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from rivulet.operators.lists import bounded_lists
+from rivulet.operators.lists import counted_values
 from rivulet.operators.ordering import (
     first_rows, last_known, previous_value, running_max_before, with_position,
 )
@@ -74,13 +75,17 @@ def test_first_rows(spark, n):
     assert got == set(ordered[:n])
 
 
-def test_hot_key_is_spread_and_whole(spark):
+def test_first_rows_takes_rows_without_a_time(spark):
+    rows = [(1, None), (2, datetime(2024, 1, 1)), (3, None), (4, datetime(2024, 1, 2))]
+    df = spark.createDataFrame(rows, "event_id BIGINT, ts TIMESTAMP")
+    for n in range(1, 6):
+        got = [r.event_id for r in first_rows(df, n, "ts", ["event_id"]).orderBy("pos").collect()]
+        assert got == [1, 3, 2, 4][:n]
+
+
+def test_hot_key_stays_in_long_form(spark):
     rows = [("hot", i % 50) for i in range(500)] + [("cold", 1), ("cold", 1)]
-    df = spark.createDataFrame(rows, "key STRING, value INT")
-    parts = bounded_lists(df, "key", "value", max_items=10).collect()
-    hot = [r for r in parts if r.key == "hot"]
-    assert len(hot) > 1 and {r.n_rows for r in hot} == {500} and {r.n_values for r in hot} == {50}
-    assert sorted(i.value for r in hot for i in r["items"]) == list(range(50))
-    assert all(i.times == 10 for r in hot for i in r["items"])
-    (cold,) = [r for r in parts if r.key == "cold"]
-    assert (cold.part, cold.n_rows, cold.n_values) == (0, 2, 1)
+    counted = counted_values(spark.createDataFrame(rows, "key STRING, value INT"), "key", "value").collect()
+    hot = [r for r in counted if r.key == "hot"]
+    assert sorted((r.value, r.times, r.n_rows, r.n_values) for r in hot) == [(i, 10, 500, 50) for i in range(50)]
+    assert [tuple(r)[1:] for r in counted if r.key == "cold"] == [(1, 2, 2, 1)]

@@ -37,6 +37,8 @@ PIVOTS, SPLITS = 16, 3
 SEEN_SETS = 200_000
 #: Common shingles: at most so many, in at least so many documents. Any choice of them gives the same result.
 COMMON_SHINGLES, COMMON_DOCUMENTS = 500_000, 10
+#: Sets with a signature up to which all their pairs are listed.
+SHORT_RUN = 8
 _COUNTED = 2_000_000  # shingles a task counts at a time
 _BAND = 1.5
 _ODD = 0x9E3779B97F4A7C15
@@ -115,20 +117,32 @@ def _bands(upto: int) -> tuple[int, ...]:
     return tuple(firsts)
 
 
+def _shared(most: int) -> int:
+    """How many described groups linked sets have in common at least, if they differ in ``most`` shingles at most."""
+    return 1 + min(3, (most + 1) // 4)
+
+
+def _least_shared(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """The same by the size of the larger set."""
+    firsts = np.array(_bands(int(sizes.max()) + 2)) if len(sizes) else np.array([1, 2])
+    least = np.array([_shared((100 - percent) * 2 * (following - 1) // (100 + percent)) for following in firsts[1:]])
+    return least[np.searchsorted(firsts, sizes, side="right") - 1]
+
+
 @cache
 def _groups(band: int, last_size: int, percent: int) -> tuple[np.ndarray, int, np.ndarray]:
     """Lower bounds of the groups of a band, how many groups each set may leave out, a tag per group."""
     most = (100 - percent) * 2 * last_size // (100 + percent)  # of shingles in which linked sets differ
     spare = (most + 1) // 6
-    # at least 2 * spare + 1 groups are equal, so one is left when either set leaves out `spare`
-    count = most + 1 + 2 * spare
+    # 2 * spare + _shared(most) groups are equal at least, so that many are left when either set leaves out `spare`
+    count = most + _shared(most) + 2 * spare
     bounds = np.array([(g << 64) // count for g in range(count)], dtype=np.uint64)
     tags = _mix(np.arange(1, count + 1, dtype=np.uint64) + np.uint64((band + 1) << 40))
     return bounds, spare, tags
 
 
 def signatures(members: np.ndarray, percent: int, common: np.ndarray | None = None) -> np.ndarray:
-    """Hashes of groups of shingles: two sets that link have one of them in common.
+    """Hashes of groups of shingles: two sets that link have one or, by their size, a few of them in common.
 
     A pair is looked for in the band of its larger set, so a set answers for its own band and for the
     next ones that a link can reach. The groups with the fewest uncommon shingles, and then the fewest
@@ -269,30 +283,60 @@ _NONE = np.empty(0, dtype=np.int64)
 
 
 def _stars(described: DataFrame, percent: int) -> DataFrame:
-    """Edges ``a, b`` from the first set of a signature to the others; runs of the sorted rows stream by.
+    """Edges ``a, b`` between sets that share signatures; runs of the sorted rows stream by.
 
     Within a signature the sets are sorted by size; where the next one is too large for a link with the
-    one before, a new run begins.
+    one before, a new run begins. A short run gives its pairs, which must turn up often enough over all
+    signatures; a long one gives edges from its first set to the others. So a pair that links either
+    shares a long run, or all it shares are short ones and their number suffices.
     """
     rows = described.select(F.explode("_signs").alias("_sign"), "_n", "_set")
     rows = rows.repartition(shuffle_width(described.sparkSession), "_sign").sortWithinPartitions("_sign", "_n", "_set")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, head = None, 0
+        held, long = np.empty((0, 3), dtype=np.int64), False  # rows of the run that may go on; only its head if long
         for part in parts:
-            sign, size, member = (part.column(i).to_numpy() for i in range(3))
-            if not len(sign):
+            table = np.concatenate((held, np.stack([part.column(i).to_numpy() for i in range(3)], axis=1)))
+            table = table[np.concatenate(([True], (table[1:] != table[:-1]).any(axis=1)))] if len(table) else table
+            if not len(table):
                 continue
-            before = (sign[:1], size[:1] * 0) if last is None else last
-            signs, sizes = np.concatenate((before[0], sign)), np.concatenate((before[1], size))
-            opens = (signs[1:] != signs[:-1]) | (100 * sizes[:-1] < percent * sizes[1:])
-            at = np.maximum.accumulate(np.where(opens, np.arange(len(sign)), -1))
-            heads = np.where(at >= 0, member[at], head)
-            last, head = (sign[-1:], size[-1:]), heads[-1]
-            found = np.unique(np.stack((heads, member), axis=1)[heads != member], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
-
-    return rows.mapInArrow(batches, "a long, b long").distinct()
+            sign, size = table[:, 0], table[:, 1]
+            opens = np.concatenate(([True], (sign[1:] != sign[:-1]) | (100 * size[:-1] < percent * size[1:])))
+            starts = np.flatnonzero(opens)
+            lengths = np.diff(np.append(starts, len(table)))
+            lengths[0] += SHORT_RUN * long
+            goes_on = starts[-1]
+            long = lengths[-1] > SHORT_RUN
+            if long:
+                held = table[[goes_on]]
+                held[0, 1] = size[-1]
+                yield _edges(table, starts, lengths, percent)
+            else:
+                held = table[goes_on:]
+                yield _edges(table[:goes_on], starts[:-1], lengths[:-1], percent)
+        if not long and len(held):
+            yield _edges(held, np.zeros(1, dtype=np.int64), np.array([len(held)]), percent)
+
+    found = rows.mapInArrow(batches, "a long, b long, times long, least long")
+    counted = found.groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("least").alias("least"))
+    return counted.where(F.col("times") >= F.col("least")).select("a", "b")
+
+
+def _edges(table: np.ndarray, starts: np.ndarray, lengths: np.ndarray, percent: int) -> pa.RecordBatch:
+    """``a, b, times, least`` of complete runs: all pairs of short ones, edges from the head of long ones."""
+    run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(table))))
+    member, size, short = table[:, 2], table[:, 1], lengths[run] <= SHORT_RUN
+    heads = member[starts][run] if len(starts) else member
+    found = [np.stack((heads, member, np.zeros_like(member)), axis=1)[~short & (heads != member)]]
+    for step in range(1, SHORT_RUN):
+        first = np.flatnonzero(short[:-step] & (run[step:] == run[:-step]) & (member[step:] != member[:-step]))
+        one, two = member[first], member[first + step]
+        pairs = np.stack((np.minimum(one, two), np.maximum(one, two), _least_shared(size[first + step], percent)), axis=1)
+        found.append(pairs)
+    edges, times = np.unique(np.concatenate(found), axis=0, return_counts=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(edges[:, 0]), pa.array(edges[:, 1]), pa.array(times), pa.array(edges[:, 2])], names=["a", "b", "times", "least"]
+    )
 
 
 def _points(members: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -345,9 +389,10 @@ def _sized(points: DataFrame, most: int) -> DataFrame:
     return points.join(total.where(F.col("_shingles") > most), "_region")
 
 
-def _voronoi(points: DataFrame, percent: int) -> DataFrame:
-    """Large regions as smaller ones: each point in the cell of its nearest pivot and, where the triangle
-    inequality allows a link, in the cells of others. The rows of a region are spread over salts."""
+def _voronoi(points: DataFrame, percent: int, payload: bool = True) -> DataFrame:
+    """Large regions (``_old``) as cells: each point in the cell of its nearest pivot and, where the triangle
+    inequality allows a link, in the cells of others. The rows of a region are spread over salts.
+    Without ``payload`` the points come without their shingles, to see what a split would give."""
     salts = shuffle_width(points.sparkSession)
     slot = F.pmod(F.xxhash64("_set"), F.lit(PIVOTS))
     chosen = points.groupBy("_region", slot.alias("_slot")).agg(F.min_by("_packed", F.xxhash64("_set", F.lit(1))).alias("_pivot"))
@@ -369,15 +414,24 @@ def _voronoi(points: DataFrame, percent: int) -> DataFrame:
                     far.append(1 - common / (len(own) + len(other) - common))
                 cells = np.flatnonzero(np.array(far) <= min(far) + reach).astype(np.uint64)
                 named = _mix(np.int64(region).view(np.uint64) + (cells + np.uint64(1)) * np.uint64(_ODD)).view(np.int64)
-                out += [(cell, key, packed) for cell in named.tolist()]
-            columns = list(zip(*out, strict=True)) or [(), (), ()]
+                out += [(region, cell, key, len(own), packed if payload else b"") for cell in named.tolist()]
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                names=["_region", "_set", "_packed"],
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                names=["_old", "_region", "_set", "_size", "_packed"],
             )
 
     joined = spread.join(pivots, ["_region", "_salt"]).select("_region", "_set", "_packed", "_pivots")
-    return joined.mapInArrow(batches, "_region long, _set long, _packed binary")
+    return joined.mapInArrow(batches, "_old long, _region long, _set long, _size long, _packed binary")
+
+
+def _worth_splitting(large: DataFrame, percent: int) -> DataFrame:
+    """``_region`` of the regions whose cells would make less than half of the region's pairs."""
+    cells = _voronoi(large, percent, payload=False).groupBy("_old", "_region").agg(F.sum("_size").cast("double").alias("_cell"))
+    work = cells.groupBy(F.col("_old").alias("_region")).agg(F.sum(F.col("_cell") * F.col("_cell")).alias("_work"))
+    whole = large.groupBy("_region").agg(F.first("_shingles").cast("double").alias("_whole"))
+    return work.join(whole, "_region").where(F.col("_work") < 0.5 * F.col("_whole") * F.col("_whole")).select("_region")
 
 
 def _block_pairs(points: DataFrame, most: int) -> DataFrame:
@@ -399,20 +453,23 @@ def _links(points: DataFrame, percent: int, most: int) -> tuple[DataFrame, bool]
         df.write.parquet(path)
         return spark.read.parquet(path)
 
-    edges, split = None, False
+    edges = None
     for depth in range(SPLITS + 1):
         points = written(points, "points")
         large = _sized(points, most)
-        small = points.join(large.select("_region").distinct(), "_region", "left_anti") if not large.isEmpty() else points
+        if large.isEmpty():
+            found = _join_regions(points, percent)
+            return found if edges is None else edges.union(found), edges is not None
+        small = points.join(large.select("_region").distinct(), "_region", "left_anti")
         found = _join_regions(small, percent)
         edges = found if edges is None else edges.union(found)
-        if small is points:
-            return edges, split
-        split = True
-        if depth == SPLITS:
-            break
-        points = _voronoi(large.drop("_shingles"), percent)
-    return edges.union(_join_regions(_block_pairs(large, most), percent)), split
+        chosen = written(_worth_splitting(large, percent), "regions") if depth < SPLITS else None
+        whole = large if chosen is None else large.join(chosen, "_region", "left_anti")
+        edges = edges.union(_join_regions(_block_pairs(whole, most), percent))
+        if chosen is None or chosen.isEmpty():
+            return edges, True
+        points = _voronoi(large.join(chosen, "_region", "left_semi"), percent).select("_region", "_set", "_packed")
+    return edges, True
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,

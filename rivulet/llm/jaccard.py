@@ -38,9 +38,13 @@ SEEN_SETS = 200_000
 #: Common shingles: at most so many, in at least so many documents. Any choice of them gives the same result.
 COMMON_SHINGLES, COMMON_DOCUMENTS = 500_000, 10
 #: Sets with a signature up to which all their pairs are listed.
-SHORT_RUN = 8
+SHORT_RUN = 12
 _COUNTED = 2_000_000  # shingles a task counts at a time
-_BAND = 1.5
+_BAND = 1.25
+_ROWS = 500  # texts described at a time
+#: Bands in which linked sets differ in fewer shingles are described by all shingles.
+FEW_SHINGLES = 4
+_NONE = np.empty(0, dtype=np.int64)
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -130,44 +134,57 @@ def _least_shared(sizes: np.ndarray, percent: int) -> np.ndarray:
 
 
 @cache
-def _groups(band: int, last_size: int, percent: int) -> tuple[np.ndarray, int, np.ndarray]:
-    """Lower bounds of the groups of a band, how many groups each set may leave out, a tag per group."""
-    most = (100 - percent) * 2 * last_size // (100 + percent)  # of shingles in which linked sets differ
-    spare = (most + 1) // 6
-    # 2 * spare + _shared(most) groups are equal at least, so that many are left when either set leaves out `spare`
-    count = most + _shared(most) + 2 * spare
+def _groups(band: int, last_size: int, percent: int) -> tuple[int, np.ndarray, int, np.ndarray]:
+    """In how many shingles linked sets of a band differ at most, lower bounds of its groups, how many groups
+    a set may leave out, and a tag per group."""
+    most = (100 - percent) * 2 * last_size // (100 + percent)
+    spare = (most + 1) * 2 // 5
+    # spare + _shared(most) groups are equal at least; the sets leave out the small ones up to some size each,
+    # so of the equal groups only those left out at the larger of the two sizes are missing
+    count = most + _shared(most) + spare
     bounds = np.array([(g << 64) // count for g in range(count)], dtype=np.uint64)
     tags = _mix(np.arange(1, count + 1, dtype=np.uint64) + np.uint64((band + 1) << 40))
-    return bounds, spare, tags
+    return most, bounds, spare, tags
 
 
-def signatures(members: np.ndarray, percent: int, common: np.ndarray | None = None) -> np.ndarray:
+def signatures(members: np.ndarray, percent: int, common: np.ndarray) -> np.ndarray:
     """Hashes of groups of shingles: two sets that link have one or, by their size, a few of them in common.
 
     A pair is looked for in the band of its larger set, so a set answers for its own band and for the
-    next ones that a link can reach. The groups with the fewest uncommon shingles, and then the fewest
-    shingles, say least and are left out; ``common`` is sorted.
+    next ones that a link can reach. A band is described by the uncommon shingles alone (two sets differ
+    in these no more than in all), unless they are few; then by all. Where one of two linked sets is
+    described by all, the other has few enough to be so as well, if need be in both ways. The groups with
+    the fewest shingles say least and are left out. ``common`` is sorted.
     """
     size = len(members)
     firsts = _bands(2 * size + 2)
-    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mix(members ^ np.uint64(_ODD)), dtype=np.uint64)))
-    told = np.arange(size + 1)
-    if common is not None and len(common):
+    rare = members
+    if len(common):
         at = np.minimum(np.searchsorted(common, members), len(common) - 1)
-        told = told + size * np.concatenate(([0], np.cumsum(common[at] != members)))
+        rare = members[common[at] != members]
     found = []
     own = int(np.searchsorted(firsts, size, side="right")) - 1
     for band in range(own, len(firsts) - 1):
         if 100 * size < percent * firsts[band]:
             break
-        bounds, spare, tags = _groups(band, firsts[band + 1] - 1, percent)
-        starts = np.searchsorted(members, bounds)
-        ends = np.append(starts[1:], size)
-        values = _mix((sums[ends] - sums[starts]) ^ tags)
-        if spare:
-            values = values[np.argsort(told[ends] - told[starts], kind="stable")[spare:]]
-        found.append(values)
-    return np.concatenate(found).view(np.int64)
+        most, bounds, spare, tags = _groups(band, firsts[band + 1] - 1, percent)
+        if most:  # else only equal sets link
+            enough = most + most // 2 if most >= FEW_SHINGLES else 1 << 62
+            if len(rare) >= enough:
+                found.append(_described(rare, bounds, spare, tags))
+            if len(rare) < enough + most:
+                found.append(_described(members, bounds, spare, ~tags))
+    return np.concatenate(found).view(np.int64) if found else _NONE
+
+
+def _described(members: np.ndarray, bounds: np.ndarray, spare: int, tags: np.ndarray) -> np.ndarray:
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mix(members ^ np.uint64(_ODD)), dtype=np.uint64)))
+    starts = np.searchsorted(members, bounds)
+    ends = np.append(starts[1:], len(members))
+    values, sizes = _mix((sums[ends] - sums[starts]) ^ tags), ends - starts
+    # the largest size up to which there are few enough groups; equal groups are equally large in both sets
+    left_out = int(np.searchsorted(np.cumsum(np.bincount(sizes)), spare, side="right")) - 1
+    return values[sizes > left_out]
 
 
 def region_roots(sets: list[np.ndarray], percent: int) -> list[int]:
@@ -245,44 +262,48 @@ def _common(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(most.select("shingle").toPandas()["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
-def _describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``_doc, _set, _n, _signs``: per row the hash and size of its set, and its signatures once per task and set."""
-    shared = docs.sparkSession.sparkContext.broadcast(_common(docs, width))
+def _sets(docs: DataFrame, width: int) -> DataFrame:
+    """``_doc, _set, _n``: per row the hash and size of its set."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        common = shared.value
         for part in parts:
-            hashes, counts, signs = [], [], []
-            for text in part.column(1).to_pylist():
-                members = shingles(text, width)
-                key = set_hash(members) if len(members) else 0
-                hashes.append(key)
-                counts.append(len(members))
-                if len(members) and key not in seen:
-                    if len(seen) >= SEEN_SETS:
-                        seen.clear()
-                    seen.add(key)
-                    signs.append(signatures(members, percent, common))
-                else:
-                    signs.append(_NONE)
-            ends = np.concatenate(([0], np.cumsum([len(s) for s in signs]))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([_NONE, *signs])))
+            sets = [shingles(text, width) for text in part.column(1).to_pylist()]
+            hashes = pa.array([set_hash(s) if len(s) else 0 for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(hashes, pa.int64()), pa.array(counts, pa.int64()), lists],
-                names=["_doc", "_set", "_n", "_signs"],
+                [part.column(0), hashes, pa.array([len(s) for s in sets], pa.int64())], names=["_doc", "_set", "_n"]
             )
 
     kind = docs.schema["_doc"].dataType.simpleString()
-    return docs.select("_doc", "_text").mapInArrow(
-        batches, f"_doc {kind}, _set long, _n long, _signs array<long>"
-    )
-
+    return docs.select("_doc", "_text").mapInArrow(batches, f"_doc {kind}, _set long, _n long")
 
-_NONE = np.empty(0, dtype=np.int64)
 
+def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``_sign, _n, _set``: the signatures of every set, once per task and set."""
+    shared = docs.sparkSession.sparkContext.broadcast(_common(docs, width))
 
-def _stars(described: DataFrame, percent: int) -> DataFrame:
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        common = shared.value
+        for part in parts:
+            for at in range(0, part.num_rows, _ROWS):
+                rows: list[tuple[np.ndarray, int, int]] = [(_NONE, 0, 0)]
+                for text in part.column(0).slice(at, _ROWS).to_pylist():
+                    members = shingles(text, width)
+                    key = set_hash(members) if len(members) else 0
+                    if len(members) and key not in seen:
+                        if len(seen) >= SEEN_SETS:
+                            seen.clear()
+                        seen.add(key)
+                        rows.append((signatures(members, percent, common), len(members), key))
+                times = [len(signs) for signs, *_ in rows]
+                columns = [np.concatenate([signs for signs, *_ in rows])]
+                columns += [np.repeat(np.array([row[k] for row in rows], dtype=np.int64), times) for k in (1, 2)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["_sign", "_n", "_set"])
+
+    return docs.select("_text").mapInArrow(batches, "_sign long, _n long, _set long")
+
+
+def _stars(signed: DataFrame, percent: int) -> DataFrame:
     """Edges ``a, b`` between sets that share signatures; runs of the sorted rows stream by.
 
     Within a signature the sets are sorted by size; where the next one is too large for a link with the
@@ -290,8 +311,7 @@ def _stars(described: DataFrame, percent: int) -> DataFrame:
     signatures; a long one gives edges from its first set to the others. So a pair that links either
     shares a long run, or all it shares are short ones and their number suffices.
     """
-    rows = described.select(F.explode("_signs").alias("_sign"), "_n", "_set")
-    rows = rows.repartition(shuffle_width(described.sparkSession), "_sign").sortWithinPartitions("_sign", "_n", "_set")
+    rows = signed.repartition(shuffle_width(signed.sparkSession), "_sign").sortWithinPartitions("_sign", "_n", "_set")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, long = np.empty((0, 3), dtype=np.int64), False  # rows of the run that may go on; only its head if long
@@ -485,11 +505,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     spark = docs.sparkSession
     source = docs.select(F.col(id).alias("_doc"), F.col(text).alias("_text"))
     path = fresh_path(spark, "shingle-sets")
-    _describe(source, width, percent).write.parquet(path)
-    described = spark.read.parquet(path)
-    table = described.select("_doc", "_set", "_n")
-    labels = None
-    stars = _stars(described, percent)
+    _sets(source, width).write.parquet(path)
+    table = spark.read.parquet(path)
+    stars = _stars(_signed(source, width, percent), percent)
     stars_path = fresh_path(spark, "shingle-stars")
     stars.write.parquet(stars_path)
     stars = spark.read.parquet(stars_path)

@@ -129,16 +129,18 @@ def pagerank(
     contributes once and ends with 1.0. At least one iteration runs.
     """
     prepared = RankEdges(edges, layout, max_fanout)
-    if cache:
-        prepared.table.persist(StorageLevel.MEMORY_AND_DISK)
-    ranks = prepared.table.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
-    for step in range(1, max(iterations, 1) + 1):
-        ranks = _damped(prepared.contributions(ranks))
-        if step % checkpoint_every == 0 or step >= iterations:
-            ranks = cut_lineage(ranks)
-    if cache:
-        prepared.table.unpersist()
-    prepared.close()
+    try:
+        if cache:
+            prepared.table.persist(StorageLevel.MEMORY_AND_DISK)
+        ranks = prepared.table.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
+        for step in range(1, max(iterations, 1) + 1):
+            ranks = _damped(prepared.contributions(ranks))
+            if step % checkpoint_every == 0 or step >= iterations:
+                ranks = cut_lineage(ranks)
+    finally:
+        if cache:
+            prepared.table.unpersist()
+        prepared.close()
     return _completed(edges, ranks)
 
 
@@ -151,23 +153,25 @@ def pagerank_graph(
     once, and the loop follows the other vertices.
     """
     prepared = RankEdges(edges, "hash", max_fanout)
-    sources = prepared.table.select(F.col("src").alias("id")).distinct()
-    receivers = prepared.table.select(F.col("dst").alias("id")).distinct()
-    one = F.lit(1.0).alias("rank")
-    constant = cut_lineage(
-        prepared.contributions(sources.join(receivers, "id", "left_anti").select("id", one))
-        .groupBy("dst")
-        .agg(F.sum("amount").alias("amount"))
-    )
-    ranks = sources.join(receivers, "id", "left_semi").select("id", one)
-    for step in range(1, iterations + 1):
-        ranks = _damped(prepared.contributions(ranks).unionByName(constant))
-        if step % checkpoint_every == 0 or step == iterations:
-            ranks = cut_lineage(ranks)
-    if iterations < 1:
-        targets_only = receivers.join(sources, "id", "left_anti").select("id", F.lit(0.0).alias("rank"))
-        ranks = cut_lineage(ranks.unionByName(targets_only))
-    prepared.close()
+    try:
+        sources = prepared.table.select(F.col("src").alias("id")).distinct()
+        receivers = prepared.table.select(F.col("dst").alias("id")).distinct()
+        one = F.lit(1.0).alias("rank")
+        constant = cut_lineage(
+            prepared.contributions(sources.join(receivers, "id", "left_anti").select("id", one))
+            .groupBy("dst")
+            .agg(F.sum("amount").alias("amount"))
+        )
+        ranks = sources.join(receivers, "id", "left_semi").select("id", one)
+        for step in range(1, iterations + 1):
+            ranks = _damped(prepared.contributions(ranks).unionByName(constant))
+            if step % checkpoint_every == 0 or step == iterations:
+                ranks = cut_lineage(ranks)
+        if iterations < 1:
+            targets_only = receivers.join(sources, "id", "left_anti").select("id", F.lit(0.0).alias("rank"))
+            ranks = cut_lineage(ranks.unionByName(targets_only))
+    finally:
+        prepared.close()
     return _completed(edges, ranks)
 
 

@@ -59,16 +59,19 @@ def neighbor_bitmaps(members: DataFrame, key: str = "word", light: int = 32) ->
     )
 
 
+_ROWS = 64  # bitmaps unpacked at a time: 2 MB of bits
+
+
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, blocks, maps = (batch.column(i) for i in range(3))
-        for row in range(batch.num_rows):
-            packed = np.frombuffer(maps[row].as_py(), dtype=np.uint8)
-            found = np.flatnonzero(np.unpackbits(packed, bitorder="little"))
-            others = (blocks[row].as_py() - 1) * BITS + found
-            src = np.full(len(others), ids[row].as_py(), dtype=np.int64)
-            keep = others != src
-            yield pa.RecordBatch.from_arrays([pa.array(src[keep]), pa.array(others[keep])], ["src", "dst"])
+        for at in range(0, batch.num_rows, _ROWS):
+            part = batch.slice(at, _ROWS)
+            ids, blocks = part.column(0).to_numpy(), part.column(1).to_numpy()
+            packed = np.frombuffer(b"".join(part.column(2).to_pylist()), dtype=np.uint8).reshape(part.num_rows, -1)
+            row, bit = np.nonzero(np.unpackbits(packed, axis=1, bitorder="little"))
+            src, dst = ids[row], (blocks[row] - 1) * BITS + bit
+            keep = src != dst
+            yield pa.RecordBatch.from_arrays([pa.array(src[keep]), pa.array(dst[keep])], ["src", "dst"])
 
 
 def overlap_edges(vertices: DataFrame, id: str = "id", words: str = "words") -> DataFrame:

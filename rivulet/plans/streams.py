@@ -16,12 +16,20 @@ from rivulet.streaming import queries as sq
 from rivulet.streaming.sinks import BatchTable, ReportSink
 
 BURST_DELAY_H = 6
+SLICES = 4
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fr.table(spark, sf_dir, "events")  # pins the session time zone before times are cast
-    rows = parquet_stream(spark, sf_dir, fr.EVENTS_SCHEMA, "events.parquet")
-    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+    """The events in ``SLICES`` files of equal spans of time; each file is a micro-batch of its own."""
+    rows = fr.table(spark, sf_dir, "events")
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = rows.agg(F.min(second).alias("_a")).scalar(), rows.agg(F.max(second).alias("_b")).scalar()
+    part = F.floor((second - first) * SLICES / (last - first + 1))
+    folder = fresh_path(spark, "event-slices")
+    for k in range(SLICES):
+        rows.where(part == k).coalesce(1).write.parquet(f"{folder}/slice-{k}")
+    stream = parquet_stream(spark, f"{folder}/slice-*", fr.EVENTS_SCHEMA, files_per_trigger=1)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def action_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,13 +42,13 @@ def _schema(df: DataFrame) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in df.dtypes)
 
 
-def _table(spark: SparkSession, stream: DataFrame, sink=BatchTable) -> BatchTable:
-    return sink(fresh_path(spark, "stream-rows"), _schema(stream))
+def _table(spark: SparkSession, stream: DataFrame, sink=BatchTable, keep: int | None = None) -> BatchTable:
+    return sink(fresh_path(spark, "stream-rows"), _schema(stream), keep=keep)
 
 
 def _sliding(spark: SparkSession, sf_dir: str) -> ReportSink:
     counts = sq.sliding_counts(action_stream(spark, sf_dir))
-    return sq.run(counts, "complete", _table(spark, counts, ReportSink))
+    return sq.run(counts, "complete", _table(spark, counts, ReportSink, keep=2))
 
 
 def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,11 +75,16 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = sq.static_join_counts(
         action_stream(spark, sf_dir), targets.select(F.col("c_custkey").alias("target_user"))
     )
-    return sq.run(counts, "complete", _table(spark, counts)).latest(spark)
+    return sq.run(counts, "complete", _table(spark, counts, keep=2)).latest(spark)
 
 
 def stream_burst_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    closed = sq.tumbling_bursts(action_stream(spark, sf_dir), "1 day", f"{BURST_DELAY_H} hours", 65)
+    closed = sq.bursts(action_stream(spark, sf_dir), "1 day", f"{BURST_DELAY_H} hours", 65)
+    return sq.run(closed, "append", _table(spark, closed)).rows(spark).drop("batch_id")
+
+
+def stream_burst_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    closed = sq.bursts(action_stream(spark, sf_dir), "2 days", f"{BURST_DELAY_H} hours", 130, "1 day")
     return sq.run(closed, "append", _table(spark, closed)).rows(spark).drop("batch_id")
 
 
@@ -98,7 +111,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         stream_sliding_counts, stream_batch_report, stream_filter_project, stream_static_join,
-        stream_burst_tumbling, stream_popular_words,
+        stream_burst_tumbling, stream_burst_sliding, stream_popular_words,
     )
 }
 
@@ -111,7 +124,14 @@ ORACLES = {
         _SLIDING, select="SELECT window_start_s, window_start_s + 3600 AS window_end_s, action, cnt FROM sliding"
     ),
     "stream_batch_report": with_sql(
-        _SLIDING, select="SELECT 0::BIGINT AS batch_id, false AS rerun, count(*) AS total_size FROM sliding"
+        fr.SQL_EVENTS,
+        f"""parts AS (
+          SELECT action, ts_s // 1800 * 1800 - 1800 * unnest([0, 1]) AS window_start_s,
+            CAST(floor((ts_s - (SELECT min(ts_s) FROM ev)) * {SLICES}
+              / (SELECT max(ts_s) - min(ts_s) + 1 FROM ev)) AS BIGINT) AS part FROM ev)""",
+        f"ids AS (SELECT unnest(range(0, {SLICES})) AS batch_id)",
+        select="""SELECT batch_id, false AS rerun, count(DISTINCT (window_start_s, action)) AS total_size
+          FROM ids JOIN parts ON part <= batch_id GROUP BY batch_id""",
     ),
     "stream_filter_project": "SELECT event_id AS user_b FROM events WHERE event_type = 'click'",
     "stream_static_join": """
@@ -127,6 +147,14 @@ ORACLES = {
         select=f"""SELECT {BURST_COLUMNS} FROM w WHERE cnt > 65
           AND (window_s + {DAY}) * 1000 <= (SELECT max(ts_us) // 1000 FROM ev) - {BURST_DELAY_H * 3600 * 1000}""",
     ),
+    "stream_burst_sliding": with_sql(
+        fr.SQL_EVENTS,
+        f"""w AS (
+          SELECT window_s, action, min(ts_s) AS start_s, max(ts_s) AS end_s, count(*) AS cnt
+          FROM (SELECT *, ts_s // {DAY} * {DAY} - {DAY} * unnest([0, 1]) AS window_s FROM ev) GROUP BY ALL)""",
+        select=f"""SELECT {BURST_COLUMNS} FROM w WHERE cnt > 130
+          AND (window_s + 2 * {DAY}) * 1000 <= (SELECT max(ts_us) // 1000 FROM ev) - {BURST_DELAY_H * 3600 * 1000}""",
+    ),
     "stream_popular_words": with_sql(
         fr.SQL_TAGGED,
         f"days AS (SELECT ts_s // {DAY} * {DAY} AS generation_s, text FROM tagged)",

@@ -37,10 +37,10 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a ``local`` master may fall back to a temporary folder of this machine.
     """
-    named = spark.conf.get(CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if named:
         return named
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
     if context.applicationId not in _local_folders:
@@ -65,29 +65,48 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path``; none when it does not exist."""
+    store, target = _file_system(spark, path)
+    return [s.getPath().getName() for s in store.listStatus(target) if s.isDirectory()] if store.exists(target) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete what a job of this session wrote under ``path``."""
+    store, target = _file_system(spark, path)
+    store.delete(target, True)
+
+
 class BucketedCopy:
     """``df`` as a table in the shared folder, bucketed by ``keys`` into as many buckets as a shuffle has.
 
     A join or aggregation on ``keys`` reads ``table`` without a shuffle, as often as it is used.
-    ``drop`` removes the catalog entry once nothing reads it any more.
+    ``drop`` removes table and files once nothing reads them any more.
     """
 
     def __init__(self, df: DataFrame, *keys: str):
         self.spark = df.sparkSession
         self.name = f"rivulet_{uuid.uuid4().hex}"
+        self.path = fresh_path(self.spark, "buckets")
         width = shuffle_width(self.spark)
         (
             df.repartition(width, *keys)  # the hash of the buckets, so each is one file
             .write.format("parquet")
             .bucketBy(width, *keys)
             .sortBy(*keys)
-            .option("path", fresh_path(self.spark, "buckets"))
+            .option("path", self.path)
             .saveAsTable(self.name)
         )
         self.table = self.spark.table(self.name)
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        delete_folder(self.spark, self.path)
 
 
 def shuffle_width(spark: SparkSession) -> int:

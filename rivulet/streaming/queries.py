@@ -54,12 +54,14 @@ def static_join_counts(actions: DataFrame, targets: DataFrame) -> DataFrame:
     return actions.join(users, "user_a").groupBy("user_a").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def tumbling_bursts(actions: DataFrame, size: str = "60 seconds", delay: str = "500 seconds", min_count: int = 100) -> DataFrame:
-    """Closed windows with more than ``min_count`` rows per action; for append mode."""
+def bursts(
+    actions: DataFrame, size: str = "60 seconds", delay: str = "500 seconds", min_count: int = 100, slide: str | None = None
+) -> DataFrame:
+    """Closed windows, tumbling or with a ``slide``, of more than ``min_count`` rows per action; for append mode."""
     seconds = F.unix_seconds("ts")
     counted = (
         actions.withWatermark("ts", delay)
-        .groupBy(F.window("ts", size), "action")
+        .groupBy(F.window("ts", size, slide or size), "action")
         .agg(F.min(seconds).alias("start_s"), F.max(seconds).alias("end_s"), F.count(F.lit(1)).alias("cnt"))
     )
     return counted.where(F.col("cnt") > min_count).select(

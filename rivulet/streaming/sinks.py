@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.ordering import first_rows
-from rivulet.runtime import cut_lineage
+from rivulet.runtime import cut_lineage, delete_folder, subfolders
 
 REPORT_SCHEMA = "batch_id BIGINT, rerun BOOLEAN, total_size BIGINT"
 
@@ -18,8 +17,11 @@ REPORT_SCHEMA = "batch_id BIGINT, rerun BOOLEAN, total_size BIGINT"
 class BatchTable:
     """``foreachBatch`` target: every batch is one folder of a table, overwritten when it runs again."""
 
-    def __init__(self, path: str, schema: str, shape: Callable[[DataFrame], DataFrame] | None = None):
-        self.path, self.schema, self.shape = path, schema, shape
+    def __init__(
+        self, path: str, schema: str, shape: Callable[[DataFrame], DataFrame] | None = None, keep: int | None = None
+    ):
+        """``keep``: how many of the newest batches stay; a complete-mode query needs two (one may run again)."""
+        self.path, self.schema, self.shape, self.keep = path, schema, shape, keep
 
     def folder(self, batch_id: int) -> str:
         return f"{self.path}/rows/batch_id={batch_id}"
@@ -27,19 +29,27 @@ class BatchTable:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         rows = self.shape(batch) if self.shape else batch
         rows.write.mode("overwrite").parquet(self.folder(batch_id))
+        for old in self.batches(batch.sparkSession)[: -self.keep] if self.keep else []:
+            delete_folder(batch.sparkSession, self.folder(old))
 
     def rows(self, spark: SparkSession) -> DataFrame:
         """All batches, with ``batch_id``; empty when no batch has run."""
-        try:
-            return spark.read.schema(f"{self.schema}, batch_id BIGINT").parquet(f"{self.path}/rows")
-        except AnalysisException:
-            return spark.createDataFrame([], f"{self.schema}, batch_id BIGINT")
+        schema = f"{self.schema}, batch_id BIGINT"
+        if not self.batches(spark):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{self.path}/rows")
+
+    def batches(self, spark: SparkSession) -> list[int]:
+        """Ids of the stored batches, from the names of their folders."""
+        names = subfolders(spark, f"{self.path}/rows")
+        return sorted(int(name.removeprefix("batch_id=")) for name in names if name.startswith("batch_id="))
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """The rows of the newest batch: the whole result of a complete-mode query."""
-        rows = self.rows(spark)
-        newest = rows.agg(F.max("batch_id")).scalar()
-        return rows.where(F.col("batch_id") == newest).drop("batch_id")
+        stored = self.batches(spark)
+        if not stored:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(self.folder(stored[-1]))
 
 
 class ReportSink(BatchTable):
@@ -48,8 +58,8 @@ class ReportSink(BatchTable):
     The size is counted on the written files, so the batch is not computed twice.
     """
 
-    def __init__(self, path: str, schema: str):
-        super().__init__(path, schema)
+    def __init__(self, path: str, schema: str, keep: int | None = None):
+        super().__init__(path, schema, keep=keep)
         self.last_batch_id = -1
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -89,7 +90,7 @@ def test_closed_bursts_equal_the_batch_result(spark, tmp_path):
     for k in range(3):
         add_file(tmp_path, f"{k}.csv", k * 60, 60, seed=k)
     schema = "window_s BIGINT, start_s BIGINT, end_s BIGINT, cnt BIGINT, action STRING, interval BIGINT, line STRING"
-    closed = sq.tumbling_bursts(actions(spark, tmp_path, 1), "10 minutes", "5 minutes", 5)
+    closed = sq.bursts(actions(spark, tmp_path, 1), "10 minutes", "5 minutes", 5)
     sink = sq.run(closed, "append", BatchTable(fresh_path(spark, "rows"), schema))
     rows = batch_actions(spark, tmp_path).withColumn("ts_s", F.unix_seconds("ts"))
     newest = rows.agg(F.max("ts_s")).first()[0]
@@ -131,6 +132,7 @@ def test_stream_of_control_rows_joins_by_tick(spark, tmp_path):
 def test_stream_stops_after_n_rows(spark, tmp_path):
     for k in range(4):
         add_file(tmp_path, f"{k}.csv", k * 50, 50, seed=k)
+        os.utime(tmp_path / f"{k}.csv", (1_000_000_000 + k, 1_000_000_000 + k))  # the order files are read in
     stream = actions(spark, tmp_path, 1).select(F.col("user_b").alias("event_id"), "ts")
     sink = FirstRows(fresh_path(spark, "rows"), "event_id BIGINT, ts TIMESTAMP", 70)
     query = sq.start(stream, "append", sink, trigger={"processingTime": "200 milliseconds"})

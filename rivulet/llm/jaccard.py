@@ -423,16 +423,20 @@ def _voronoi(points: DataFrame, percent: int, payload: bool = True) -> DataFrame
     reach = 2 * (1 - percent / 100) + 1e-9
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apart: dict[int, list[np.ndarray]] = {}
         for part in parts:
             out: list[tuple] = []
             for region, key, packed, pivots in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                 own = np.frombuffer(packed, dtype=np.uint64)
-                far = []
-                for pivot in pivots:
-                    other = np.frombuffer(pivot, dtype=np.uint64)
-                    common = len(np.intersect1d(own, other, assume_unique=True))
-                    far.append(1 - common / (len(own) + len(other) - common))
-                cells = np.flatnonzero(np.array(far) <= min(far) + reach).astype(np.uint64)
+                if region not in apart:
+                    apart.clear()
+                    apart[region] = _apart(pivots, reach)
+                far = [_distance(own, pivot) for pivot in apart[region]]
+                near = min(far)
+                cells = np.flatnonzero(np.array(far) <= near + reach) if near < 1 else _NONE
+                if near >= 1 - reach / 2:  # a point at distance 1 from all pivots has links among such points only
+                    cells = np.append(cells, PIVOTS)
+                cells = cells.astype(np.uint64)
                 named = _mix(np.int64(region).view(np.uint64) + (cells + np.uint64(1)) * np.uint64(_ODD)).view(np.int64)
                 out += [(region, cell, key, len(own), packed if payload else b"") for cell in named.tolist()]
             columns = list(zip(*out, strict=True)) or [()] * 5
@@ -446,6 +450,21 @@ def _voronoi(points: DataFrame, percent: int, payload: bool = True) -> DataFrame
     return joined.mapInArrow(batches, "_old long, _region long, _set long, _size long, _packed binary")
 
 
+def _distance(one: np.ndarray, other: np.ndarray) -> float:
+    common = len(np.intersect1d(one, other, assume_unique=True))
+    return 1 - common / (len(one) + len(other) - common)
+
+
+def _apart(pivots: list[bytes], reach: float) -> list[np.ndarray]:
+    """Those pivots, in order, that are not within ``reach`` of an earlier one: their cells would be nearly the same."""
+    chosen: list[np.ndarray] = []
+    for pivot in pivots:
+        members = np.frombuffer(pivot, dtype=np.uint64)
+        if all(_distance(members, other) > reach for other in chosen):
+            chosen.append(members)
+    return chosen
+
+
 def _worth_splitting(large: DataFrame, percent: int) -> DataFrame:
     """``_region`` of the regions whose cells would make less than half of the region's pairs."""
     cells = _voronoi(large, percent, payload=False).groupBy("_old", "_region").agg(F.sum("_size").cast("double").alias("_cell"))

@@ -92,3 +92,25 @@ def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (5, 3), (200, 200)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_a_region_of_far_clusters_is_split_into_cells(spark):
+    rng = np.random.default_rng(6)
+    sets = []
+    for cluster in range(5):
+        base = np.arange(cluster * 1000, cluster * 1000 + 60)
+        for _ in range(12):
+            own = base.copy()
+            own[rng.integers(0, 60, rng.integers(0, 7))] = rng.integers(10_000, 90_000, 1)
+            sets.append(np.unique(own).astype(np.uint64))
+    points = spark.createDataFrame(
+        [(1, i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "_region long, _set long, _packed binary"
+    )
+    large = jaccard._sized(points, 1500)
+    assert [r["_region"] for r in jaccard._worth_splitting(large, 85).collect()] == [1]
+    edges, split = jaccard._links(points, 85, 1500)
+    assert split
+    found = {r["node"]: r["root"] for r in components(edges).collect()}
+    roots = jaccard.region_roots(sets, 85)
+    least = {r: min(i for i, x in enumerate(roots) if x == r) for r in set(roots)}
+    assert {i: found.get(i, i) for i in range(len(sets))} == {i: least[r] for i, r in enumerate(roots)}

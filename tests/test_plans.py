@@ -54,10 +54,10 @@ def test_single_exchange_aggregations(spark):
     assert plan_of(bursts.sliding_bursts(fr.events(spark, SF_DIR), 60, 1)).count("Exchange") == 2
 
 
-def session(master, folder=None):
+def session(master, folder=None, set_later=None):
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default),
-        sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"),
+        sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}", getCheckpointDir=lambda: set_later),
     )
 
 
@@ -66,6 +66,7 @@ def test_work_folder_comes_from_the_session():
     assert runtime.fresh_path(session("yarn", "hdfs://x/work/"), "rows").startswith("hdfs://x/work/rows-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         runtime.shared_folder(session("yarn"))
+    assert runtime.shared_folder(session("yarn", set_later="hdfs://x/set")) == "hdfs://x/set"
     assert runtime.shared_folder(session("local[2]")) == runtime.shared_folder(session("local[2]"))
 
 

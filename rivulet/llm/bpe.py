@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of each memo of a Python worker; a full memo forgets, which costs time only.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 200_000
 #: Rows of an Arrow batch that are encoded at a time.
 ROWS = 500
 

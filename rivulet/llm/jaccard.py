@@ -39,7 +39,7 @@ SEEN_SETS = 200_000
 COMMON_SHINGLES, COMMON_DOCUMENTS = 500_000, 10
 #: Sets with a signature up to which all their pairs are listed.
 SHORT_RUN = 12
-_COUNTED = 2_000_000  # shingles a task counts at a time
+_COUNTED = 1_000_000  # shingles a task counts at a time
 _BAND = 1.25
 _ROWS = 500  # texts described at a time
 #: Bands in which linked sets differ in fewer shingles are described by all shingles.
@@ -247,7 +247,7 @@ def _common(docs: DataFrame, width: int) -> np.ndarray:
                 [pa.array(values[often].view(np.int64)), pa.array(times[often])], names=["shingle", "n"]
             )
 
-        for part in parts:
+        for part in _slices(parts):
             for text in part.column(0).to_pylist():
                 held.append(shingles(text, width))
                 size += len(held[-1])
@@ -262,11 +262,18 @@ def _common(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(most.select("shingle").toPandas()["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
+def _slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of few rows, so that a task holds the sets of few texts."""
+    for part in parts:
+        for at in range(0, part.num_rows, _ROWS):
+            yield part.slice(at, _ROWS)
+
+
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     """``_doc, _set, _n``: per row the hash and size of its set."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in _slices(parts):
             sets = [shingles(text, width) for text in part.column(1).to_pylist()]
             hashes = pa.array([set_hash(s) if len(s) else 0 for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -284,21 +291,20 @@ def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         common = shared.value
-        for part in parts:
-            for at in range(0, part.num_rows, _ROWS):
-                rows: list[tuple[np.ndarray, int, int]] = [(_NONE, 0, 0)]
-                for text in part.column(0).slice(at, _ROWS).to_pylist():
-                    members = shingles(text, width)
-                    key = set_hash(members) if len(members) else 0
-                    if len(members) and key not in seen:
-                        if len(seen) >= SEEN_SETS:
-                            seen.clear()
-                        seen.add(key)
-                        rows.append((signatures(members, percent, common), len(members), key))
-                times = [len(signs) for signs, *_ in rows]
-                columns = [np.concatenate([signs for signs, *_ in rows])]
-                columns += [np.repeat(np.array([row[k] for row in rows], dtype=np.int64), times) for k in (1, 2)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["_sign", "_n", "_set"])
+        for part in _slices(parts):
+            rows: list[tuple[np.ndarray, int, int]] = [(_NONE, 0, 0)]
+            for text in part.column(0).to_pylist():
+                members = shingles(text, width)
+                key = set_hash(members) if len(members) else 0
+                if len(members) and key not in seen:
+                    if len(seen) >= SEEN_SETS:
+                        seen.clear()
+                    seen.add(key)
+                    rows.append((signatures(members, percent, common), len(members), key))
+            times = [len(signs) for signs, *_ in rows]
+            columns = [np.concatenate([signs for signs, *_ in rows])]
+            columns += [np.repeat(np.array([row[k] for row in rows], dtype=np.int64), times) for k in (1, 2)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["_sign", "_n", "_set"])
 
     return docs.select("_text").mapInArrow(batches, "_sign long, _n long, _set long")
 
@@ -363,7 +369,7 @@ def _points(members: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """``members`` (``_region, _set, _doc``) with the shingles of one document per set, packed as bytes."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in _slices(parts):
             sets = [shingles(text, width) for text in part.column(2).to_pylist()]
             # a repeated id may bring a text of another set
             right = [len(s) > 0 and set_hash(s) == key for s, key in zip(sets, part.column(1).to_pylist(), strict=True)]

@@ -2,10 +2,11 @@
 
 A text is the multiset of its units: its paragraphs (lines), and inside a paragraph its sentences, so
 that an edit inside a paragraph leaves the rest of it in place. Every unit is hashed to a wide vector
-of small numbers, and a fingerprint is the sum of the vectors modulo 2^16 in every lane. Order does
+of small numbers, and a fingerprint is the sum of the vectors modulo 2^32 in every lane. Order does
 not matter, equal multisets give equal fingerprints, and ``combine`` inserts or deletes units without
 the text. Lanes are signed and centred, so the cosine of two fingerprints estimates how much of the
-two multisets is common; ``likeness`` gives it, cut to 0..1.
+two multisets is common; ``likeness`` gives it, cut to 0..1. A unit adds at most 128 to a lane, so no
+lane wraps below 2^24 units.
 
 A null text counts as empty; the empty multiset has the zero fingerprint. Repeated rows keep their
 own, equal fingerprints.
@@ -27,7 +28,7 @@ from rivulet.runtime import shuffle_width
 LANES = 256
 SLICES_PER_PARTITION = 4
 _units = re.compile(r"\n+|(?<=[.!?])[ \t]+").split
-_EMPTY = np.zeros(LANES, dtype="<u2")
+_EMPTY = np.zeros(LANES, dtype="<u4")
 
 
 def units(text: str | None) -> list[str]:
@@ -36,12 +37,12 @@ def units(text: str | None) -> list[str]:
 
 
 def vector(members: Iterable[str]) -> np.ndarray:
-    """The sum of the members' vectors modulo 2^16."""
+    """The sum of the members' vectors modulo 2^32."""
     hashed = b"".join(hashlib.shake_128(member.encode()).digest(LANES) for member in members)
     if not hashed:
         return _EMPTY
     rows = np.frombuffer(hashed, dtype=np.int8).reshape(-1, LANES)
-    return rows.sum(axis=0, dtype=np.int64).astype("<u2")
+    return rows.sum(axis=0, dtype=np.int64).astype("<u4")
 
 
 def combine(base: np.ndarray, inserted: Iterable[str] = (), deleted: Iterable[str] = ()) -> np.ndarray:
@@ -53,7 +54,7 @@ def likeness(left: np.ndarray, right: np.ndarray) -> float:
     """1.0 for equal fingerprints, else the cosine of the signed lanes, at least 0."""
     if np.array_equal(left, right):
         return 1.0
-    a, b = left.view("<i2").astype(np.float64), right.view("<i2").astype(np.float64)
+    a, b = left.view("<i4").astype(np.float64), right.view("<i4").astype(np.float64)
     size = float(np.sqrt((a @ a) * (b @ b)))
     return min(1.0, max(0.0, float(a @ b) / size)) if size else 0.0
 
@@ -63,7 +64,7 @@ def to_text(fingerprint: np.ndarray) -> str:
 
 
 def from_text(text: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(text), dtype="<u2")
+    return np.frombuffer(base64.b64decode(text), dtype="<u4")
 
 
 def fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:

@@ -39,6 +39,29 @@ def test_likeness_follows_what_is_common():
     assert fp.likeness(fp.vector([]), fp.vector([])) == 1.0 and fp.likeness(fp.vector([]), whole) == 0.0
 
 
+def plain_likeness(left: list, right: list) -> float:
+    """The cosine of integer sums that never wrap."""
+    sums = []
+    for members in (left, right):
+        total = np.zeros(fp.LANES, dtype=np.int64)
+        for member in members:
+            total += np.frombuffer(hashlib.shake_128(member.encode()).digest(fp.LANES), dtype=np.int8)
+        sums.append(total.astype(np.float64))
+    return float(sums[0] @ sums[1] / np.sqrt((sums[0] @ sums[0]) * (sums[1] @ sums[1])))
+
+
+def test_repeated_lines_do_not_wrap(spark):
+    texts = ["the same line\n" * 1000 + "".join("own line %d of %d\n" % (i, k) for i in range(20)) for k in range(2)]
+    rows = {r["doc_id"]: r for r in fp.compare_edits(docs(spark, *texts)).collect()}
+    for own, after in ((0, 1), (1, 0)):
+        half = len(texts[own]) // 2
+        edited = texts[own][: len(texts[own]) - half] + texts[after][:half]
+        parts = [fp.units(t) for t in (texts[own], edited, texts[after])]
+        assert abs(rows[own]["near_edited"] - plain_likeness(parts[0], parts[1])) < 1e-9
+        assert abs(rows[own]["near_next"] - plain_likeness(parts[0], parts[2])) < 1e-9
+        assert rows[own]["near_edited"] > 0.99 and rows[own]["near_next"] > 0.99
+
+
 def test_edits_equal_the_plain_version(spark):
     texts = ["Text %d begins here. It goes on.\nAnd on %d." % (i, i // 3) * (1 + i % 4) for i in range(150)] + ODD
     rows = fp.compare_edits(docs(spark, *texts)).collect()

@@ -3,6 +3,9 @@
 A text is cut into sentences, each is normalised (A-Z in lower case, everything but a-z and 0-9 as one
 blank) and looked up among known licence sentences. What is known, in the order of the text, is a
 sequence of identifiers; a rule is a sequence of identifiers too, and holds where it occurs in a row.
+
+Licence texts are wrapped. Stops and blank lines always end a sentence; a single line end (with the
+comment marks beside it) may end one, as after a header, or stand for a blank inside one.
 """
 
 from __future__ import annotations
@@ -54,7 +57,7 @@ RULES = [
     ("BSD-2-Clause", [19, 20, 21]),
     ("MPL-2.0", [22]),
 ]
-#: Sentences end at a stop before white space (other signs may follow the stop), and at line ends.
+#: Where the SQL cuts: at a stop before white space (other signs may follow the stop), and at every line end.
 ENDS = r"[.?][^A-Za-z0-9\x20\t\r\n]*[\x20\t\r]+|[\r\n]+"
 #: Every known sentence contains one of these; other texts are not cut up.
 HINT = r"(?i)licen[sc]e|copyright|redistribut|permission|warranty"
@@ -65,11 +68,48 @@ def normal(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(sentence, _UPPER, _LOWER), "[^a-z0-9]+", " "))
 
 
+def marked(text: Column) -> Column:
+    """The normal form of a text, in which H stands for an end of a sentence and S for a single line end.
+
+    It begins and ends with H; no blank stands beside a mark.
+    """
+    steps = [
+        (r"[.?][^a-z0-9\x20\t\r\n]*(?=[\x20\t\r\n])", "H"),
+        # a line end before a line without letters and digits
+        (r"(?>\r\n|[\r\n])[^a-z0-9\r\nH]*(?=[\r\n])", "H"),
+        (r"[\r\n]", "S"),
+        (r"[^a-z0-9HS]+", " "),
+        (r"(?<![\x20S])[\x20S]*+H[\x20HS]*+", "H"),
+        (r"\x20?S[\x20S]*+", "S"),
+    ]
+    out = F.concat(F.lit("H"), F.translate(text, _UPPER, _LOWER), F.lit("H"))
+    for pattern, mark in steps:
+        out = F.regexp_replace(out, pattern, mark)
+    return out
+
+
+def _levels(sentences: list[str]) -> list[list[str]]:
+    """The sentences by how many others they begin with: of one level at most one stands at a place."""
+    depth = {s: sum(s.startswith(o + " ") for o in set(sentences)) for s in sentences}
+    return [[s for s in depth if depth[s] == level] for level in range(max(depth.values(), default=-1) + 1)]
+
+
 def sentence_ids(text: Column, sentences: list[str]) -> Column:
-    """The identifiers of the known sentences of a text, in order."""
+    """The identifiers of the known sentences of a text, in the order of their starts; where two start
+    together the shorter is first."""
     known = F.array(*map(F.lit, sentences))
-    parts = F.when(F.rlike(text, F.lit(HINT)), F.split(text, ENDS, -1)).otherwise(F.array().cast("array<string>"))
-    places = F.transform(parts, lambda part: F.array_position(known, normal(part)))
+    levels = ["|".join(s.replace(" ", "[\\x20S]") for s in level) for level in _levels(sentences)]
+    none = F.array().cast("array<string>")
+    if not levels:
+        return F.array().cast("array<int>")
+    # one match, of no length, at every start of a sentence or line; a group for each level
+    starts = F.lit("(?<=[HS])" + "".join(f"(?=(?:({level})[HS])?+)" for level in levels))
+    whole = marked(text)
+    found = F.arrays_zip(*[F.regexp_extract_all(whole, starts, F.lit(i + 1)).alias(f"_{i}") for i in range(len(levels))])
+    parts = F.when(F.rlike(text, F.lit(HINT)), F.flatten(F.transform(
+        found, lambda start: F.array(*[start[f"_{i}"] for i in range(len(levels))])
+    ))).otherwise(none)
+    places = F.transform(parts, lambda part: F.array_position(known, F.translate(part, "S", " ")))
     return F.filter(places, lambda place: place > 0)
 
 
@@ -78,7 +118,7 @@ def scan_licences(docs: DataFrame, id: str = "doc_id", text: str = "text", sente
     """``id, n_sentences, sentence_ids, licences`` per row.
 
     ``sentence_ids`` and ``licences`` are joined by commas; licences are distinct and sorted. Sentences of no
-    licence between the known ones do not break a rule. Null and empty texts have none, repeated rows
+    licence between the known ones do not break a rule. Sentences may be wrapped. Null and empty texts have none, repeated rows
     equal results, other columns are not passed on.
     """
     found = docs.select(F.col(id).alias("_id"), sentence_ids(F.coalesce(F.col(text), F.lit("")), sentences).alias("_ids"))
@@ -95,7 +135,7 @@ def scan_licences(docs: DataFrame, id: str = "doc_id", text: str = "text", sente
 
 
 def sql() -> str:
-    """The same over the table ``documents``, for DuckDB."""
+    """The same over the table ``documents``, for DuckDB, for sentences that stand on one line."""
     known = ", ".join(f"'{s}'" for s in SENTENCES)
     hits = ", ".join(f"CASE WHEN contains(spelled, ',{','.join(map(str, rule))},') THEN '{name}' END" for name, rule in RULES)
     ends = ENDS.replace("\\x20", " ")

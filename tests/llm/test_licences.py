@@ -36,3 +36,77 @@ def test_every_sentence_is_found_by_the_hint_and_used(spark):
 def test_odd_rows(spark):
     assert len(licences.scan_licences(odd_docs(spark)).collect()) == 10
     assert licences.scan_licences(odd_docs(spark).limit(0)).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version %d of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+
+
+def test_wrapped_texts(spark):
+    wrapped = {
+        "MIT": (MIT, "4,5"), "GPL-3.0": (GPL % 3, "12,14"), "GPL-2.0": (GPL % 2, "13,14"),
+        "BSD-2-Clause": (BSD, "19,20,21"), "MPL-2.0": (MPL, "22"), "Apache-2.0": (APACHE, "7,8,9"),
+    }
+    dressed = [
+        lambda t: t,
+        lambda t: t.replace("\n", "\r\n"),
+        lambda t: "".join(f"# {line}\n" for line in t.splitlines()),
+        lambda t: "".join(f"// {line}".rstrip() + "\n" for line in t.splitlines()),
+        lambda t: "/*\n" + "".join(f" * {line}".rstrip() + "\n" for line in t.splitlines()) + " */\nint main() {}\n",
+        lambda t: "Some header\n" + t,
+    ]
+    texts = [dress(text) for text, _ in wrapped.values() for dress in dressed]
+    got = by_doc(licences.scan_licences(docs(spark, *texts)))
+    expected = [(ids.count(",") + 1, ids, name) for name, (_, ids) in wrapped.items() for _ in dressed]
+    assert [got[i] for i in range(len(texts))] == expected
+
+
+def test_lines_are_a_second_reading(spark):
+    texts = [
+        "A title\nReleased under the MIT License\nby someone", "Licensed under the Apache License, Version 2.0\n(the License)",
+        "Released under\n\nthe MIT License", "Released under. The MIT License", "This project is\nlicensed under the MIT license\n",
+    ]
+    got = by_doc(licences.scan_licences(docs(spark, *texts)))
+    assert [got[i][1] for i in range(5)] == ["1", "6,7", "", "", "3,2"]

@@ -20,18 +20,29 @@ SLICES = 4
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events in ``SLICES`` files of equal spans of time; each file is a micro-batch of its own."""
+    """The events in ``SLICES`` equal spans of time, each a micro-batch of its own; those without a time are in the first.
+
+    A slice is written by as many tasks as read the table. Every slice has as many files as a trigger takes.
+    """
     rows = fr.table(spark, sf_dir, "events")
     second = F.unix_seconds(F.col("ts").cast("timestamp"))
     first, last = rows.agg(F.min(second).alias("_a")).scalar(), rows.agg(F.max(second).alias("_b")).scalar()
-    part = F.floor((second - first) * SLICES / (last - first + 1))
+    part = F.coalesce(F.floor((second - first) * SLICES / (last - first + 1)), F.lit(0))
     folder = fresh_path(spark, "event-slices")
+    width = rows.rdd.getNumPartitions()
     for k in range(SLICES):
-        rows.where(part == k).coalesce(1).write.parquet(f"{folder}/slice-{k}")
-    stream = parquet_stream(spark, f"{folder}/slice-*", fr.EVENTS_SCHEMA, files_per_trigger=1)
+        path = f"{folder}/slice-{k}"
+        rows.where(part == k).repartition(width).write.parquet(path)
+        for _ in range(width - _files(spark, path)):  # tasks without a row leave no file
+            rows.limit(0).coalesce(1).write.mode("append").parquet(path)
+    stream = parquet_stream(spark, f"{folder}/slice-*", fr.EVENTS_SCHEMA, files_per_trigger=width)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _files(spark: SparkSession, path: str) -> int:
+    return len(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).inputFiles())
+
+
 def action_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_stream(spark, sf_dir).select(
         F.col("user_id").alias("user_a"), F.col("event_id").alias("user_b"), "ts", F.col("event_type").alias("action")

@@ -5,6 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 from rivulet.operators import bursts
+from rivulet.plans import frames as fr
+from rivulet.plans import streams
 from rivulet.runtime import fresh_path
 from rivulet.sources.files import action_stream, id_list
 from rivulet.streaming import queries as sq
@@ -139,3 +141,19 @@ def test_stream_stops_after_n_rows(spark, tmp_path):
     sink.drain(query)
     assert not query.isActive and sink.full
     assert sorted(r.event_id for r in sink.rows(spark).collect()) == list(range(70))
+
+
+def test_events_without_a_time_and_several_files(spark, tmp_path):
+    rows = [(i, None if i % 5 == 0 else START + dt.timedelta(hours=i), i % 3, ["click", "view"][i % 2], 1.0, "{}") for i in range(200)]
+    # nearly all in a short time, so that some slices hold fewer rows than there are files
+    rows += [(200 + i, START + dt.timedelta(hours=4, seconds=i), i % 3, "click", 1.0, "{}") for i in range(300)]
+    rows += [(500, START + dt.timedelta(hours=2000), 1, "click", 1.0, "{}")]
+    for k in range(3):
+        spark.createDataFrame(rows[k::3], fr.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    customers = [(1, 4000.0, "BUILDING"), (2, 1.0, "BUILDING")]
+    spark.createDataFrame(customers, "c_custkey BIGINT, c_acctbal DOUBLE, c_mktsegment STRING").write.parquet(f"{tmp_path}/customer.parquet")
+    chosen = [r["user_b"] for r in streams.stream_filter_project(spark, str(tmp_path)).collect()]
+    assert sorted(chosen) == [r[0] for r in rows if r[3] == "click"]
+    counts = {r["user_a"]: r["cnt"] for r in streams.stream_static_join(spark, str(tmp_path)).collect()}
+    assert counts == {1: 2 * sum(r[2] == 1 for r in rows), 2: sum(r[2] == 2 for r in rows)}
+    assert [r["batch_id"] for r in streams.stream_batch_report(spark, str(tmp_path)).orderBy("batch_id").collect()] == [0, 1, 2, 3]

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import bpe, decontaminate, fingerprint, jaccard, langid, licences, linedup, pii, secrets, warc
+from rivulet.llm import (
+    bpe, covertree, decontaminate, divergence, fingerprint, jaccard, langid, licences, linedup, pii, secrets, sharding, warc,
+)
 from rivulet.runtime import fresh_path
 
 
@@ -70,11 +72,24 @@ def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(docs, path="source")
 
 
+def op11_covertree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.coded(table(spark, sf_dir, "embeddings"))
+
+
+def op12_quadtree_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op13_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assignments(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_boosted_pii, op2_multiset_fingerprint, op3_sparse_langid, op4_cgk_decontamination, op5_jaccard_join,
         op6_dictionary_warc, op7_byte_bpe, op8_line_dedup, op9_licence_rules, op10_secret_forest,
+        op11_covertree_codes, op12_quadtree_divergence, op13_interleaved_shards,
     )
 }
 
@@ -82,6 +97,9 @@ _SQL_LINES = """SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce
   FROM documents"""
 
 ORACLES = {
+    "op11_covertree_codes": covertree.sql(),
+    "op12_quadtree_divergence": divergence.SQL,
+    "op13_interleaved_shards": sharding.SQL,
     "op9_licence_rules": licences.sql(),
     "op8_line_dedup": f"""WITH docs AS ({_SQL_LINES}),
 cells AS (

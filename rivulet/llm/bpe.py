@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.llm.workers import tidy
+
 #: Entries of each memo of a Python worker; a full memo forgets, which costs time only.
 MEMO_ENTRIES = 400_000
 #: Rows of an Arrow batch that are encoded at a time.
@@ -255,7 +257,38 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
                 )
 
     fields = docs.select(*kept).withColumn(ids, F.array().cast("array<int>")).schema
-    return source.mapInArrow(batches, fields)
+    return source.mapInArrow(tidy(batches, codec), fields)
+
+
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, text: str = "text",
+    ids: str = "ids", count: str = "n_tokens", same: str = "round_trip",
+) -> DataFrame:
+    """``docs`` with the ids of ``text``, their number, and whether they decode to the text, in one pass.
+
+    Rules as of ``encode``; columns already named like the new ones are replaced. The codec ends with the task.
+    """
+    kept = [c for c in docs.columns if c not in (ids, count, same)]
+    source = docs.select(*kept, F.col(text).alias("_text"))
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = codec(path, pattern)
+        for part in parts:
+            for at in range(0, part.num_rows, ROWS):
+                some = part.slice(at, ROWS)
+                texts = some.column(len(kept))
+                found = tool.encode_batch(texts)
+                data = tool.decode_batch(found).to_pylist()
+                whole = [d == (t or "").encode() for d, t in zip(data, texts.to_pylist(), strict=True)]
+                sizes = pa.array(found.value_lengths().to_pylist(), pa.int64())
+                columns = [*(some.column(i) for i in range(len(kept))), found, sizes, pa.array(whole, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, ids, count, same])
+
+    fields = (
+        docs.select(*kept).withColumn(ids, F.array().cast("array<int>"))
+        .withColumn(count, F.lit(0).cast("long")).withColumn(same, F.lit(True)).schema
+    )
+    return source.mapInArrow(tidy(batches, codec), fields)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", data: str = "data") -> DataFrame:
@@ -274,7 +307,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", data: str = "data")
                 )
 
     fields = encoded.select(*kept).withColumn(data, F.lit(b"")).schema
-    return source.mapInArrow(batches, fields)
+    return source.mapInArrow(tidy(batches, decoder), fields)
 
 
 def digests(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:

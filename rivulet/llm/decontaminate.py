@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.jaccard import _mix, word_hashes
+from rivulet.llm.workers import tidy
 
 #: Edits per item word up to which a passage counts. Shorter items than MIN_WORDS say too little to be searched for.
 RATE, MIN_WORDS = 0.2, 5
@@ -226,4 +227,4 @@ def _scanned(docs: DataFrame, shared, text: str) -> DataFrame:
             columns = [part.column(i) for i in range(len(names) - 1)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(leaks, pa.list_(_LEAK))], names=names)
 
-    return source.mapInArrow(batches, docs.schema)
+    return source.mapInArrow(tidy(batches), docs.schema)

@@ -196,8 +196,9 @@ def _tile(frame: pd.DataFrame) -> pd.DataFrame:
     sides = []
     for band in (bands[0], bands[-1]):
         head, mine = heads[heads["band"] == band], (cells["band"] == band).to_numpy()
-        rows = (cells["row"].to_numpy(dtype=np.int64) % BAND_ROWS)[mine]
-        sides.append(((rows, column[mine], cells["p"].to_numpy(dtype=np.int64)[mine]), head["p"].to_numpy(dtype=np.int64), head["source"].to_numpy()))
+        rows = cells["row"].to_numpy(dtype=np.int64)[mine] - int(head["row"].iloc[0])
+        held_cells = (rows, column[mine], cells["p"].to_numpy(dtype=np.int64)[mine])
+        sides.append((held_cells, head["p"].to_numpy(dtype=np.int64), head["source"].to_numpy()))
     (left, left_floor, left_names), (right, right_floor, right_names) = sides
     summed, empty = walk_tile(left, left_floor, right, right_floor, len(order))
     # two different bands are joined whole; inside one band a pair is taken once

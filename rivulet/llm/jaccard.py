@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.components import components
+from rivulet.llm.workers import tidy
 from rivulet.runtime import fresh_path, shuffle_width
 
 #: Shingles in all sets of a region that one task may hold (8 bytes each, a few copies).
@@ -257,7 +258,7 @@ def _common(docs: DataFrame, width: int) -> np.ndarray:
         if held:
             yield counted()
 
-    counts = docs.select("_text").mapInArrow(batches, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counts = docs.select("_text").mapInArrow(tidy(batches), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     most = counts.where(F.col("n") >= COMMON_DOCUMENTS).orderBy(F.desc("n"), "shingle").limit(COMMON_SHINGLES)
     return np.sort(most.select("shingle").toPandas()["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
 
@@ -281,7 +282,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
             )
 
     kind = docs.schema["_doc"].dataType.simpleString()
-    return docs.select("_doc", "_text").mapInArrow(batches, f"_doc {kind}, _set long, _n long")
+    return docs.select("_doc", "_text").mapInArrow(tidy(batches), f"_doc {kind}, _set long, _n long")
 
 
 def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -306,7 +307,7 @@ def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
             columns += [np.repeat(np.array([row[k] for row in rows], dtype=np.int64), times) for k in (1, 2)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["_sign", "_n", "_set"])
 
-    return docs.select("_text").mapInArrow(batches, "_sign long, _n long, _set long")
+    return docs.select("_text").mapInArrow(tidy(batches), "_sign long, _n long, _set long")
 
 
 def _stars(signed: DataFrame, percent: int) -> DataFrame:
@@ -343,7 +344,7 @@ def _stars(signed: DataFrame, percent: int) -> DataFrame:
         if not long and len(held):
             yield _edges(held, np.zeros(1, dtype=np.int64), np.array([len(held)]), percent)
 
-    found = rows.mapInArrow(batches, "a long, b long, times long, least long")
+    found = rows.mapInArrow(tidy(batches), "a long, b long, times long, least long")
     counted = found.groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("least").alias("least"))
     return counted.where(F.col("times") >= F.col("least")).select("a", "b")
 
@@ -378,7 +379,7 @@ def _points(members: DataFrame, docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*chosen.columns, packed], names=["_region", "_set", "_packed"])
 
     joined = members.join(docs, "_doc").select("_region", "_set", "_text")
-    return joined.mapInArrow(batches, "_region long, _set long, _packed binary")
+    return joined.mapInArrow(tidy(batches), "_region long, _set long, _packed binary")
 
 
 def _join_regions(points: DataFrame, percent: int) -> DataFrame:
@@ -406,7 +407,7 @@ def _join_regions(points: DataFrame, percent: int) -> DataFrame:
         if keys:
             yield close()
 
-    return rows.mapInArrow(batches, "a long, b long")
+    return rows.mapInArrow(tidy(batches), "a long, b long")
 
 
 def _sized(points: DataFrame, most: int) -> DataFrame:
@@ -453,7 +454,7 @@ def _voronoi(points: DataFrame, percent: int, payload: bool = True) -> DataFrame
             )
 
     joined = spread.join(pivots, ["_region", "_salt"]).select("_region", "_set", "_packed", "_pivots")
-    return joined.mapInArrow(batches, "_old long, _region long, _set long, _size long, _packed binary")
+    return joined.mapInArrow(tidy(batches), "_old long, _region long, _set long, _size long, _packed binary")
 
 
 def _distance(one: np.ndarray, other: np.ndarray) -> float:

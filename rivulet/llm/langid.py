@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.llm.workers import tidy
+
 BUCKET_BITS = 16
 LONGEST = 4
 #: Labelled rows per language that the weights and the temperature may be fitted on.
@@ -101,25 +103,32 @@ def _document_frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
 
-    rows = docs.select(text).mapInArrow(batches, "bucket long, n long").groupBy("bucket").agg(F.sum("n")).toPandas()
+    rows = docs.select(text).mapInArrow(tidy(batches), "bucket long, n long").groupBy("bucket").agg(F.sum("n")).toPandas()
     totals = np.zeros(size + 1, dtype=np.int64)  # one number per bucket, whatever the table's size
     totals[rows.iloc[:, 0].to_numpy(dtype=np.int64)] = rows.iloc[:, 1].to_numpy(dtype=np.int64)
     return totals[:size], int(totals[size])
 
 
 def _sample(docs: DataFrame, text: str, label: str, per_language: int) -> DataFrame:
-    """About ``per_language`` rows of each label, chosen by a hash; never more than that times the labels."""
-    counts = docs.groupBy(label).count().collect()  # one row per language
-    chosen = F.xxhash64(text).bitwiseAND(F.lit((1 << 30) - 1))
+    """About ``per_language`` different texts of each label, chosen by a hash; never more than that times the labels.
+
+    Copies of a text under one label count once, so neither can they crowd out a language nor be its only chance.
+    """
+    rows = docs.select(F.col(text).alias("_text"), F.col(label).alias("_label"), F.xxhash64(text).alias("_hash"))
+    counts = rows.select("_label", "_hash").distinct().groupBy("_label").count().collect()  # one row per language
     share = F.lit(1 << 30)
     for language, count in ((row[0], row["count"]) for row in counts):
-        share = F.when(F.col(label) == language, F.lit(math.ceil((1 << 30) * min(1.0, per_language / count)))).otherwise(share)
-    picked = docs.select(F.col(text).alias("_text"), F.col(label).alias("_label"), chosen.alias("_order"), share.alias("_share"))
-    return picked.where(F.col("_order") < F.col("_share")).orderBy(F.xxhash64("_text", F.lit(7))).limit(per_language * max(1, len(counts)))
+        share = F.when(F.col("_label") == language, F.lit(math.ceil((1 << 30) * min(1.0, per_language / count)))).otherwise(share)
+    picked = rows.where(F.col("_hash").bitwiseAND(F.lit((1 << 30) - 1)) < share)
+    once = picked.groupBy("_label", "_hash").agg(F.first("_text").alias("_text"))
+    return once.orderBy(F.xxhash64("_hash", F.lit(7)), "_label").limit(per_language * max(1, len(counts)))
 
 
 def train(docs: DataFrame, text: str = "text", label: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
-    """Fit on the rows of ``docs`` whose ``label`` is not null. Without labels or letters the model knows no language."""
+    """Fit on the rows of ``docs`` whose ``label`` is not null. Without labels or letters the model knows no language.
+
+    Repeated rows count in the document frequencies, but a text is at most once per label among the rows fitted on.
+    """
     labelled = docs.where(F.col(label).isNotNull())
     frequencies, total = _document_frequencies(docs, text)
     idf = np.log((1 + total) / (1 + frequencies)) + 1
@@ -136,7 +145,7 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", per_language
             yield _packed(*_fit(rows, len(idf)))
 
     sample = _sample(labelled, text, label, per_language).select("_text", "_label").coalesce(1)
-    found = sample.mapInArrow(fit, "languages array<string>, weights binary, bias array<double>, temperature double").first()
+    found = sample.mapInArrow(tidy(fit), "languages array<string>, weights binary, bias array<double>, temperature double").first()
     if found is None:
         return Model([], idf, np.zeros((len(idf), 0), dtype=np.float32), np.zeros(0), 1.0)
     weights = np.frombuffer(bytes(found.weights), dtype=np.float32).reshape(len(idf), -1)
@@ -201,10 +210,14 @@ def predict(docs: DataFrame, model: Model, text: str = "text", language: str = "
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages numbers
 
-    @F.pandas_udf("language string, score double")
-    def judged(texts: pd.Series) -> pd.DataFrame:
+    def batches(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = shared.value
-        return pd.DataFrame([known.predict(value) for value in texts], columns=["language", "score"])
+        for texts in parts:
+            yield pd.DataFrame([known.predict(value) for value in texts], columns=["language", "score"])
+
+    @F.pandas_udf("language string, score double")
+    def judged(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from tidy(batches)(parts)
 
     kept = [c for c in docs.columns if c not in (language, score)]
     return docs.select(*kept, judged(F.col(text)).alias("_judged")).select(

@@ -61,3 +61,17 @@ def test_query_digests(spark, both):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
+
+
+def test_round_trip_in_one_pass_keeps_columns_and_ends_the_codec(spark):
+    table = odd_docs(spark)
+    rows = bpe.round_trip(table, PATH, public_tokenizers.PATTERN).collect()
+    other = {(r["doc_id"], r["text"]): r["ids"] for r in bpe.encode(table, PATH, public_tokenizers.PATTERN).collect()}
+    assert len(rows) == table.count()
+    for row in rows:
+        assert row["ids"] == other[row["doc_id"], row["text"]] and row["n_tokens"] == len(row["ids"]) and row["round_trip"]
+        assert row["lang"] is None or row["lang"] == "en"
+    assert bpe.round_trip(table.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+    part = table.select("text").limit(2).toArrow().to_batches()
+    list(bpe.tidy(lambda parts: (bpe.codec(PATH, public_tokenizers.PATTERN).encode_batch(p.column(0)) for p in parts), bpe.codec)(part))
+    assert bpe.codec.cache_info().currsize == 0

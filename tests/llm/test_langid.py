@@ -51,3 +51,14 @@ def test_buckets_of_whole_texts():
     once, longer = set(langid.buckets("Aé").tolist()), set(langid.buckets("aé " * 50_000 + "zß").tolist())
     assert once < longer
     assert langid.buckets("A!!B").tolist() == langid.buckets("a b").tolist()
+
+
+def test_copies_neither_hide_nor_crowd_out_a_language(spark):
+    english = ["the %d cats sat on the mat with words" % i for i in range(40)]
+    german = ["der %d Hund läuft über das grüne Feld und bellt" % i for i in range(10)]
+    table = docs(spark, *german * 30, *english, langs=["de"] * 300 + ["en"] * 40)
+    sample = langid._sample(table, "text", "lang", 20).collect()
+    assert sum(r["_label"] == "de" for r in sample) == 10 and 5 <= sum(r["_label"] == "en" for r in sample) <= 39
+    model = langid.train(table, per_language=20)
+    assert model.predict("der Hund läuft über das Feld")[0] == "de"
+    assert model.predict("the cats sat on the mat")[0] == "en"

@@ -53,10 +53,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each text, their number, and whether they decode to the text."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, ranks)
-    whole = F.col("data") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return decoded.select("*", F.size("ids").cast("long").alias("n_tokens"), whole.alias("round_trip")).drop("data")
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
 
 
 STAGES = [

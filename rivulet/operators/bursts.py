@@ -64,16 +64,38 @@ def _on_time(delay_s: int, size_s: int) -> Column:
     return F.col("seen_s").isNull() | (last_ms > watermark_ms)
 
 
-def late_drop_windows(
-    rows: DataFrame, delay_s: int, size_s: int, order: list[str], min_count: int = 0
+def late_drop_partials(
+    rows: DataFrame, delay_s: int, size_s: int, order: list[str], seen_s: Column | None = None
 ) -> DataFrame:
-    """Tumbling windows over the rows that arrive in time.
+    """Per tumbling window and action ``start_s, end_s, cnt`` of the rows that arrive in time.
 
     The watermark follows every single row in arrival ``order``: it is the latest time seen before the
-    row less ``delay_s``. A row whose window has closed by then is dropped.
+    row less ``delay_s``. A row whose window has closed by then is dropped. ``seen_s`` is the latest time
+    seen before all ``rows``, where they go on from earlier ones.
     """
-    windowed = with_watermark_before(rows, order).withColumn("window_s", window_start("ts_s", size_s))
-    return tumbling_bursts(windowed.where(_on_time(delay_s, size_s)), size_s, min_count)
+    judged = with_watermark_before(rows, order)
+    if seen_s is not None:
+        judged = judged.withColumn("seen_s", F.greatest("seen_s", seen_s))
+    windowed = judged.withColumn("window_s", window_start("ts_s", size_s)).where(_on_time(delay_s, size_s))
+    return windowed.groupBy("window_s", "action").agg(
+        F.min("ts_s").alias("start_s"), F.max("ts_s").alias("end_s"), F.count(F.lit(1)).alias("cnt")
+    )
+
+
+def merged_windows(partials: DataFrame, min_count: int = 0) -> DataFrame:
+    """Partial windows, put together, of more than ``min_count`` rows."""
+    merged = partials.groupBy("window_s", "action").agg(
+        F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.sum("cnt").alias("cnt")
+    )
+    return merged.where(F.col("cnt") > min_count).select("window_s", *burst_columns())
+
+
+def late_drop_windows(
+    rows: DataFrame, delay_s: int, size_s: int, order: list[str], min_count: int = 0
+) -> DataFrame:
+    """Tumbling windows of more than ``min_count`` rows over the rows that arrive in time (see ``late_drop_partials``)."""
+    counted = late_drop_partials(rows, delay_s, size_s, order)
+    return counted.where(F.col("cnt") > min_count).select("window_s", *burst_columns())
 
 
 def lateness_completeness(

@@ -95,6 +95,19 @@ def running_max_before(df: DataFrame, value: str, order: list[str], name: str) -
     )
 
 
+def running_total_before(df: DataFrame, value: str, order: list[str], name: str) -> DataFrame:
+    """Sum of ``value`` over the rows strictly earlier in ``order``; 0 for the first row."""
+    sliced = ordered_slices(df, *order)
+    carry = slice_carry(sliced, _carry=(F.sum(value), F.sum))
+    inside = Window.partitionBy(SLICE).orderBy(AT).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0)
+    return (
+        sliced.withColumn("_inside", F.sum(value).over(inside))
+        .join(carry, SLICE)
+        .select(*df.columns, (F.coalesce("_inside", zero) + F.coalesce("_carry", zero)).alias(name))
+    )
+
+
 def last_known(df: DataFrame, value: str, order: list[str], name: str) -> DataFrame:
     """Latest non-null ``value`` at or before each row of ``order``."""
     sliced = ordered_slices(df, *order)

@@ -149,21 +149,25 @@ def threshold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tag_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Control rows from the events: per tick the beginnings of the actions of some of its events."""
-    rows = events(spark, sf_dir).where("event_id % 5 = 0").select(
-        (F.floor(F.col("ts_s") / TAG_EVERY) * TAG_EVERY).alias("generation_s"), F.lower(F.substring("action", 1, 3)).alias("tag")
-    )
-    return rows.groupBy("generation_s").agg(F.sort_array(F.collect_set("tag")).alias("tags"))
+    """Control rows from the events: per tick the beginnings of the actions that are more frequent there than the mean."""
+    tick = (F.floor(F.col("ts_s") / TAG_EVERY) * TAG_EVERY).alias("generation_s")
+    counts = events(spark, sf_dir).where("ts_s IS NOT NULL").groupBy(tick, "action").agg(F.count(F.lit(1)).alias("n"))
+    means = counts.groupBy("generation_s").agg(F.sum("n").alias("_all"), F.count(F.lit(1)).alias("_k"))
+    often = counts.join(means, "generation_s").where(F.col("n") * F.col("_k") > F.col("_all"))
+    tag = F.lower(F.substring("action", 1, 3))
+    return often.groupBy("generation_s").agg(F.sort_array(F.collect_set(tag)).alias("tags"))
 
 
 SQL_THRESHOLDS = f"""threshold_rows AS (
   SELECT day AS generation_s, CAST(max(v) // 2 AS INTEGER) AS threshold
   FROM (SELECT ts_s // {DAY} * {DAY} AS day, CAST(floor(value) AS INTEGER) AS v FROM ev)
   WHERE day <= (SELECT max(ts_s) // {DAY} * {DAY} FROM ev) - {CONTROL_DAYS * DAY} GROUP BY day)"""
-SQL_TAGS = f"""tag_rows AS (
-  SELECT tick AS generation_s, list_sort(list(DISTINCT tag)) AS tags
-  FROM (SELECT ts_s // {TAG_EVERY} * {TAG_EVERY} AS tick, lower(action[1:3]) AS tag FROM ev WHERE event_id % 5 = 0)
-  GROUP BY tick)"""
+SQL_TAGS = f"""tag_counts AS (
+  SELECT ts_s // {TAG_EVERY} * {TAG_EVERY} AS tick, action, count(*) AS n FROM ev WHERE ts_s IS NOT NULL GROUP BY ALL),
+tag_rows AS (
+  SELECT tick AS generation_s, list_sort(list(DISTINCT lower(action[1:3]))) AS tags
+  FROM (SELECT *, sum(n) OVER (PARTITION BY tick) AS total, count(*) OVER (PARTITION BY tick) AS k FROM tag_counts)
+  WHERE n * k > total GROUP BY tick)"""
 SQL_ACCEPTED = f"""{SQL_TWEETS},
 {SQL_THRESHOLDS},
 accepted AS (

@@ -37,15 +37,17 @@ def asof_threshold_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def asof_irregular_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sign-up events are the control rows: they come at no fixed interval."""
     rows = fr.events(spark, sf_dir).withColumn("friends_count", F.floor("value").cast("int"))
-    marks = (
-        rows.where("action = 'signup'")
-        .groupBy(F.col("ts_s").alias("generation_s"))
-        .agg(F.array(F.max("friends_count")).alias("thresholds"))
-    )
-    latest = control.asof_latest(rows, marks, "thresholds")
+    latest = control.asof_latest(rows, signup_marks(spark, sf_dir), "thresholds")
     return control.threshold_filter(latest).select("event_id", "generation_s", "friends_count")
 
 
+def signup_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control rows: per second with a sign-up its largest number of friends."""
+    rows = fr.events(spark, sf_dir).where("action = 'signup'")
+    most = F.max(F.floor("value").cast("int"))
+    return rows.groupBy(F.col("ts_s").alias("generation_s")).agg(F.array(most).alias("thresholds"))
+
+
 def generation_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = accepted_without_text(spark, sf_dir)
     return control.pair_generations(accepted, fr.tag_rows(spark, sf_dir)).select(

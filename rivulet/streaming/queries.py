@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from rivulet.functions.text import contains_any
 from rivulet.operators.bursts import burst_columns
 from rivulet.operators.words import tweet_words
 from rivulet.runtime import broadcast_if_small, fresh_path
+from rivulet.streaming import state
 from rivulet.streaming.sinks import BatchTable
 
+_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+
 
 def start(
     stream: DataFrame,
@@ -22,9 +26,27 @@ def start(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start a query with its own checkpoint folder; by default it ends when the present input is done."""
-    folder = checkpoint or fresh_path(stream.sparkSession, "stream-state")
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", folder)
-    return writer.trigger(**(trigger or {"availableNow": True})).foreachBatch(each_batch).start()
+    writer = stream.writeStream.outputMode(mode).foreachBatch(each_batch)
+    return _started(stream.sparkSession, writer, checkpoint, trigger)
+
+
+def publish(
+    stream: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None
+) -> StreamingQuery:
+    """Start a query whose rows another query reads from ``path``: Parquet files with a commit log, each row once."""
+    writer = stream.writeStream.outputMode("append").format("parquet").option("path", path)
+    return _started(stream.sparkSession, writer, checkpoint, trigger)
+
+
+def _started(spark: SparkSession, writer: DataStreamWriter, checkpoint: str | None, trigger: dict | None) -> StreamingQuery:
+    folder = checkpoint or fresh_path(spark, "stream-state")
+    writer = writer.option("checkpointLocation", folder).trigger(**(trigger or {"availableNow": True}))
+    before = spark.conf.get(_STORE_KEY, None)
+    spark.conf.set(_STORE_KEY, state.STORE)  # a query takes it over when it starts
+    try:
+        return writer.start()
+    finally:
+        spark.conf.unset(_STORE_KEY) if before is None else spark.conf.set(_STORE_KEY, before)
 
 
 def run(stream: DataFrame, mode: str, sink: BatchTable, checkpoint: str | None = None) -> BatchTable:
@@ -57,13 +79,22 @@ def static_join_counts(actions: DataFrame, targets: DataFrame) -> DataFrame:
 def bursts(
     actions: DataFrame, size: str = "60 seconds", delay: str = "500 seconds", min_count: int = 100, slide: str | None = None
 ) -> DataFrame:
-    """Closed windows, tumbling or with a ``slide``, of more than ``min_count`` rows per action; for append mode."""
+    """Closed windows, tumbling or with a ``slide``, of more than ``min_count`` rows per action; for append mode.
+
+    Sliding windows are built from panes of one slide: rows are counted once, and only the panes, one per
+    action and slide, are copied into their windows. ``size`` is a multiple of ``slide``.
+    """
     seconds = F.unix_seconds("ts")
     counted = (
         actions.withWatermark("ts", delay)
-        .groupBy(F.window("ts", size, slide or size), "action")
+        .groupBy(F.window("ts", slide or size).alias("window"), "action")
         .agg(F.min(seconds).alias("start_s"), F.max(seconds).alias("end_s"), F.count(F.lit(1)).alias("cnt"))
     )
+    if slide:
+        panes = counted.select(F.window_time("window").alias("pane"), "action", "start_s", "end_s", "cnt")
+        counted = panes.groupBy(F.window("pane", size, slide).alias("window"), "action").agg(
+            F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.sum("cnt").alias("cnt")
+        )
     return counted.where(F.col("cnt") > min_count).select(
         F.unix_seconds("window.start").alias("window_s"), *burst_columns()
     )
@@ -72,8 +103,8 @@ def bursts(
 def control_join(tweets: DataFrame, control: DataFrame, every_s: int = 30, delay: str = "60 seconds") -> DataFrame:
     """A stream ``(ts, …)`` joined with a stream of control rows ``(generation_s, …)`` on the tick.
 
-    Ticks lie on multiples of ``every_s``. Both sides carry the tick as a watermarked time, so the join
-    drops its state once a tick is older than ``delay`` on both.
+    Ticks lie on multiples of ``every_s`` without gaps; with gaps take ``state.asof_latest``. Both sides carry the
+    tick as a watermarked time, so the join drops its state once a tick is older than ``delay`` on both.
     """
     tick = (F.floor(F.unix_seconds("ts") / every_s) * every_s).cast("bigint")
     left = tweets.withColumn("tick", F.timestamp_seconds(tick)).withWatermark("tick", delay)
@@ -91,3 +122,55 @@ def generation_counts(
     words = tweet_words(tweets.withWatermark("ts", delay).select("ts", "text"), stop)
     counted = words.groupBy(F.window("ts", every), "word").agg(F.count(F.lit(1)).alias("cnt"))
     return counted.select(F.unix_seconds("window.start").alias("generation_s"), "word", "cnt")
+
+
+def flushed_totals(
+    tweets: DataFrame, stop: DataFrame | list[str], flush: str = "10 seconds", every: str = "30 seconds",
+    delay: str | None = "0 seconds", count_flushes: bool = False,
+) -> DataFrame:
+    """``(generation_s, word, cnt)``: counts per flush, and of these the totals per closed generation.
+
+    Two chained aggregations: a flush gives out its counts once the watermark has passed it and forgets
+    them, a generation adds up what its flushes gave and is reported once. ``count_flushes`` counts the
+    flushes instead. ``every`` is a multiple of ``flush``. Without a ``delay`` the stream has its watermark
+    already. For append mode.
+    """
+    timed = tweets if delay is None else tweets.withWatermark("ts", delay)
+    words = tweet_words(timed.select("ts", "text"), stop)
+    flushed = words.groupBy(F.window("ts", flush).alias("flush"), "word").agg(F.count(F.lit(1)).alias("cnt"))
+    total = F.count(F.lit(1)) if count_flushes else F.sum("cnt")
+    given = flushed.select(F.window_time("flush").alias("given"), "word", "cnt")
+    totals = given.groupBy(F.window("given", every).alias("span"), "word").agg(total.alias("cnt"))
+    return totals.select(F.unix_seconds("span.start").alias("generation_s"), "word", "cnt")
+
+
+def accepted_rows(
+    rows: DataFrame, thresholds: DataFrame, time: str = "ts", id: str = "event_id", delay: str = "0 seconds",
+    salts: int = state.SALTS,
+) -> DataFrame:
+    """Streams: ``rows`` with fewer friends than the latest thresholds allow, with the ``generation_s`` of these.
+
+    A row with a null ``id`` is a heartbeat: it passes, and its generation is its own time.
+    """
+    joined = state.asof_latest(rows, thresholds, "thresholds", time, id, delay, salts)
+    beat = F.col(id).isNull()
+    kept = joined.where(beat | F.exists("thresholds", lambda t: F.col("friends_count") < t)).drop("thresholds")
+    return kept.withColumn("generation_s", F.when(beat, F.unix_seconds(time)).otherwise(F.col("generation_s")))
+
+
+def tagged_words(accepted: DataFrame, pairs: DataFrame, texts: DataFrame, stop: DataFrame | list[str], flush_s: int = 10,
+                 id: str = "event_id", delay: str = "1 second", salts: int = state.SALTS) -> DataFrame:
+    """``(generation_s, word, cnt)`` of the accepted rows whose text has a tag of their generation; for append mode.
+
+    ``accepted`` and ``pairs`` are streams, ``texts (doc_id, text)`` a table. A generation closes when both
+    streams have come to a later one; it is counted flush by flush, and reported once, by its tag tick.
+    Heartbeats of ``accepted`` have a ``doc_id`` without a text, not a null one: the optimizer would drop nulls
+    of a join before they move the watermark on.
+    """
+    met = state.join_pairs(accepted, pairs, id, delay, salts)
+    tagged = met.join(texts, "doc_id").where(contains_any("text", F.col("tags")))
+    flush = F.floor(F.unix_seconds("ts") / flush_s).alias("flush")
+    words = tweet_words(tagged.select("generation", "tick_s", flush, "text"), stop)
+    flushed = words.groupBy("generation", "tick_s", "flush", "word").agg(F.count(F.lit(1)).alias("cnt"))
+    totals = flushed.groupBy("generation", "tick_s", "word").agg(F.sum("cnt").alias("cnt"))
+    return totals.select(F.col("tick_s").alias("generation_s"), "word", "cnt")

@@ -1,5 +1,6 @@
 import re
 
+import duckdb
 from cases import docs, odd_docs
 
 from rivulet.llm import licences
@@ -28,7 +29,8 @@ def test_every_sentence_is_found_by_the_hint_and_used(spark):
     assert all(re.search(licences.HINT, s) for s in licences.SENTENCES)
     assert len(set(licences.SENTENCES)) == len(licences.SENTENCES)
     assert {i for _, rule in licences.RULES for i in rule} == set(range(1, len(licences.SENTENCES) + 1))
-    texts = [". ".join(licences.SENTENCES[i - 1].capitalize() for i in rule) + "." for _, rule in licences.RULES]
+    filled = [s.replace("**", "anything").replace("*", "some body or other") for s in licences.SENTENCES]
+    texts = [". ".join(filled[i - 1].capitalize() for i in rule) + "." for _, rule in licences.RULES]
     got = by_doc(licences.scan_licences(docs(spark, *texts)))
     assert [got[i][2] for i in range(len(texts))] == [name for name, _ in licences.RULES]
 
@@ -110,3 +112,79 @@ def test_lines_are_a_second_reading(spark):
     ]
     got = by_doc(licences.scan_licences(docs(spark, *texts)))
     assert [got[i][1] for i in range(5)] == ["1", "6,7", "", "", "3,2"]
+
+
+CLAUSE_3 = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+CLAUSE_AD = """3. All advertising materials mentioning features or use of this software
+   must display the following acknowledgement: This product includes it.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+CC0 = """To the extent possible under law, Jane Q. Author
+has waived all copyright and related or neighboring rights to
+this work.
+"""
+CC0_ONE = CC0.replace("Q. ", "")
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+"""
+EPL = """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0/
+"""
+CASES = {
+    BSD + CLAUSE_3: "BSD-3-Clause", BSD + "Some other words.\n" + CLAUSE_3: "BSD-3-Clause", BSD + CLAUSE_AD + CLAUSE_3: "BSD-4-Clause",
+    BSD + CLAUSE_3 + BSD: "BSD-2-Clause,BSD-3-Clause", ISC: "ISC", LGPL: "LGPL-2.1", CC0_ONE: "CC0-1.0", ZLIB: "Zlib", EPL: "EPL-2.0",
+    (GPL % 3).replace("GNU General", "GNU Affero General"): "AGPL-3.0",
+    "# SPDX-License-Identifier: MIT\nimport os\n": "MIT", "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2.0",
+    "Licensed under the MIT license, see LICENSE for details.": "MIT", "Released under the ISC license.": "ISC",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+    "Neither the name may be used. SPDX-License-Identifier: none of these": "",
+}
+
+
+def test_longer_rules_win_and_more_licences_are_known(spark):
+    got = by_doc(licences.scan_licences(docs(spark, *CASES)))
+    assert [got[i][2] for i in range(len(CASES))] == list(CASES.values())
+
+
+def test_own_sentences_have_their_own_hint(spark):
+    own = ["this work is in the public domain", "do as * like"]
+    texts = ["This work is in the public domain!", "Do as you would like.", "Do as like.", "nothing"]
+    got = by_doc(licences.scan_licences(docs(spark, *texts), sentences=own, rules=[("PD", [1]), ("Free", [2])]))
+    assert [got[i][2] for i in range(4)] == ["PD", "Free", "", ""]
+    assert {i: got[i][1] for i in range(4)} == {0: "1", 1: "2", 2: "", 3: ""}
+    none = by_doc(licences.scan_licences(docs(spark, *texts), sentences=[], rules=[]))
+    assert set(none.values()) == {(0, "", "")}
+
+
+def test_sql_joins_wrapped_lines_as_the_query_does(spark, tmp_path):
+    texts = [*CASES, MIT, APACHE, GPL % 2, CC0, "a.\n\n\nb", "Released under\n\nthe MIT License", "Released\r\nunder the MIT\rLicense"]
+    texts += ["".join(f" * {line}".rstrip() + "\n" for line in t.splitlines()) for t in texts] + [None, ""]
+    docs(spark, *texts).select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    columns = ["doc_id", "n_sentences", "sentence_ids", "licences"]
+    got = licences.scan_licences(spark.read.parquet(str(tmp_path / "documents.parquet"))).select(columns)
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({licences.sql()})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_clashing_names_change_nothing(spark):
+    plain = by_doc(licences.scan_licences(docs(spark, *CASES).select("doc_id", "text")))
+    assert by_doc(licences.scan_licences(docs(spark, *CASES))) == plain

@@ -27,12 +27,13 @@ def minibatch_assign(
 
 
 def batched_table(examples: DataFrame) -> DataFrame:
-    """``examples`` written once by ``batch``, so that a step reads its own batch only."""
+    """``examples`` written once by ``batch``, so that a step reads its own batch only.
+
+    The files are balanced by size at run time: a small batch is one file, a large one many.
+    """
     spark = examples.sparkSession
-    width = shuffle_width(spark)
     path = fresh_path(spark, "batches")
-    spread = F.pmod(F.xxhash64("example_id"), F.lit(width))
-    examples.repartition(width, "batch", spread).write.partitionBy("batch").parquet(path)
+    examples.hint("rebalance", "batch").write.partitionBy("batch").parquet(path)
     return spark.read.schema(examples.schema).parquet(path)
 
 

@@ -7,6 +7,7 @@ one partial sum per cell; a larger one stays a table ``(index, class, weight)``
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -81,17 +82,19 @@ def _partial_gradient(weights: np.ndarray) -> Callable[[Iterator[pd.DataFrame]],
     return run
 
 
-def _partial_metrics(weights: np.ndarray) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _partial_metrics(epochs: list[np.ndarray]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            if len(frame):
-                _, labels, p = _forward(frame, weights)
-                picked = p[np.arange(len(p)), labels]
-                yield pd.DataFrame({
-                    "n_rows": [len(p)],
-                    "n_errors": [int((p.argmax(axis=1) != labels).sum())],
-                    "entropy": [float(-np.log(np.maximum(picked, 1e-300)).sum())],
-                })
+            for epoch, weights in enumerate(epochs, 1):
+                if len(frame):
+                    _, labels, p = _forward(frame, weights)
+                    picked = p[np.arange(len(p)), labels]
+                    yield pd.DataFrame({
+                        "epoch": [epoch],
+                        "n_rows": [len(p)],
+                        "n_errors": [int((p.argmax(axis=1) != labels).sum())],
+                        "entropy": [float(-np.log(np.maximum(picked, 1e-300)).sum())],
+                    })
 
     return run
 
@@ -114,15 +117,16 @@ def train_metrics(
     epochs: int = 40,
     init_lr: float = 0.01,
     lr_decay: float = 0.99,
+    small_cells: int = SMALL_MODEL_CELLS,
 ) -> DataFrame:
     """Train on ``examples`` (which carry ``batch``) and return ``(epoch, n_rows, error_rate, entropy)``.
 
-    The learning rate of epoch ``T`` (from 0) is ``init_lr * lr_decay ** T``. The small-model path moves
-    ``n_features * n_classes`` numbers per step between driver and tasks, whatever the row count.
+    The learning rate of epoch ``T`` (from 0) is ``init_lr * lr_decay ** T``. A model of up to ``small_cells``
+    numbers moves between driver and tasks in every step, whatever the row count; a larger one is a table.
     """
     spark = examples.sparkSession
     table = batched_table(examples)
-    small = n_features * n_classes <= SMALL_MODEL_CELLS
+    small = n_features * n_classes <= small_cells
     matrix = np.zeros((n_features, n_classes))
     cells = None
     if not small:
@@ -131,7 +135,7 @@ def train_metrics(
             (F.col("id") % n_classes).alias("class"),
             F.lit(0.0).alias("weight"),
         )
-    per_epoch = []
+    per_epoch, matrices = [], []
     for epoch in range(epochs):
         lr = init_lr * lr_decay**epoch
         for batch in range(n_batches):
@@ -146,22 +150,17 @@ def train_metrics(
                     )
                 )
         if small:
-            partial = table.select("label", "features").mapInPandas(
-                _partial_metrics(matrix), "n_rows BIGINT, n_errors BIGINT, entropy DOUBLE"
-            )
-            totals = partial.agg(
-                F.sum("n_rows").alias("n_rows"), F.sum("n_errors").alias("n_errors"),
-                (F.sum("entropy") / F.sum("n_rows")).alias("entropy"),
-            )
+            matrices.append(matrix)
         else:
-            totals = evaluate(table, cells)
-        per_epoch.append(
-            totals.select(
-                F.lit(epoch + 1).cast("bigint").alias("epoch"), "n_rows",
-                (F.col("n_errors") / F.col("n_rows")).alias("error_rate"), "entropy",
-            )
+            per_epoch.append(evaluate(table, cells).withColumn("epoch", F.lit(epoch + 1).cast("bigint")))
+    if small:  # the metrics of all epochs come from one pass
+        partial = table.select("label", "features").mapInPandas(
+            _partial_metrics(matrices), "epoch BIGINT, n_rows BIGINT, n_errors BIGINT, entropy DOUBLE"
+        )
+        totals = partial.groupBy("epoch").agg(
+            F.sum("n_rows").alias("n_rows"), F.sum("n_errors").alias("n_errors"),
+            (F.sum("entropy") / F.sum("n_rows")).alias("entropy"),
         )
-    metrics = per_epoch[0]
-    for more in per_epoch[1:]:
-        metrics = metrics.unionByName(more)
-    return metrics
+    else:
+        totals = reduce(DataFrame.unionByName, per_epoch)
+    return totals.select("epoch", "n_rows", (F.col("n_errors") / F.col("n_rows")).alias("error_rate"), "entropy")

@@ -11,7 +11,7 @@ from rivulet.plans.frames import with_sql
 
 N_BATCHES = 5
 N_CLASSES, N_FEATURES = 10, 64
-EPOCHS, SOFTMAX_LR = 2, 0.5
+EPOCHS, SOFTMAX_BATCHES, SOFTMAX_LR = 40, 10, 0.01
 SHARD_IDS = 100
 
 
@@ -102,17 +102,28 @@ def softmax_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(softmax.evaluate(fr.softmax_examples(spark, sf_dir), _fixed_weights(spark)), "entropy", 6)
 
 
-def softmax_train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    examples = _batched(fr.softmax_examples(spark, sf_dir))
-    metrics = softmax.train_metrics(examples, N_FEATURES, N_CLASSES, N_BATCHES, epochs=EPOCHS, init_lr=SOFTMAX_LR)
+def _softmax(spark: SparkSession, sf_dir: str, epochs: int, **options) -> DataFrame:
+    examples = fr.softmax_examples(spark, sf_dir)
+    batched = sgd.minibatch_assign(examples, SOFTMAX_BATCHES, hash_of=F.col("example_id") * 7919)
+    metrics = softmax.train_metrics(batched, N_FEATURES, N_CLASSES, SOFTMAX_BATCHES, epochs, SOFTMAX_LR, **options)
     return _rounded(_rounded(metrics, "entropy", 5), "error_rate", 6)
 
 
+def softmax_train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _softmax(spark, sf_dir, EPOCHS)
+
+
+def softmax_wide_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One epoch with the model as a table, as models are that one process cannot hold."""
+    return _softmax(spark, sf_dir, 1, small_cells=0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         matrix_trace, sparse_dot, minibatch_assign, logreg_sync_sgd, logreg_sparse_sgd, logreg_error,
         logreg_abs_error, logreg_local_sgd, logreg_local_sgd_batch, softmax_eval, softmax_train_metrics,
+        softmax_wide_metrics,
     )
 }
 
@@ -176,46 +187,42 @@ touched AS MATERIALIZED (
 SELECT idx - 1 AS index, round(weight, 5) AS weight FROM a2 WHERE idx IN (SELECT idx FROM touched)"""
 
 
-def _softmax_sql() -> str:
-    """Every gradient step as one materialised weight table, and the metrics after each epoch."""
-    logits = """SELECT vec_id, label, class, sum(v * weight) AS logit FROM entries JOIN {w} USING (i)
-    WHERE {rows} GROUP BY vec_id, label, class"""
-    steps = [
-        f"""entries AS MATERIALIZED (
-  SELECT vec_id, label, (vec_id * 7919) % {N_BATCHES} AS batch, unnest(range(0, {N_FEATURES})) AS i,
-    unnest(embedding)::DOUBLE AS v FROM embeddings)""",
-        f"""s0 AS (SELECT i, class, 0.0::DOUBLE AS weight
-  FROM range(0, {N_FEATURES}) AS t(i), range(0, {N_CLASSES}) AS u(class))""",
-    ]
-    selects = []
-    for step in range(EPOCHS * N_BATCHES):
-        lr, batch = SOFTMAX_LR * 0.99 ** (step // N_BATCHES), step % N_BATCHES
-        steps.append(
-            f"""q{step} AS MATERIALIZED (
-  SELECT vec_id, class, exp(logit) / sum(exp(logit)) OVER (PARTITION BY vec_id) - (class = label)::INTEGER AS r
-  FROM ({logits.format(w=f's{step}', rows=f'batch = {batch}')})),
-s{step + 1} AS MATERIALIZED (
-  SELECT i, class, weight - {lr!r}::DOUBLE * coalesce(g, 0) / (SELECT count(DISTINCT vec_id) FROM q{step}) AS weight
-  FROM s{step} LEFT JOIN (
-    SELECT i, class, sum(v * r) AS g FROM entries JOIN q{step} USING (vec_id) GROUP BY i, class) USING (i, class))"""
-        )
-        if batch == N_BATCHES - 1:
-            epoch = step // N_BATCHES + 1
-            scored = f"""SELECT vec_id, label, arg_max(class, (logit, -class)) AS guess,
-      max(logit) FILTER (class = label) AS own, ln(sum(exp(logit))) AS total
-    FROM ({logits.format(w=f's{step + 1}', rows='true')}) GROUP BY vec_id, label"""
-            selects.append(
-                f"""SELECT {epoch}::BIGINT AS epoch, count(*) AS n_rows,
-  round(count(*) FILTER (guess <> label) / count(*), 6) AS error_rate, round(avg(total - own), 5) AS entropy
-FROM ({scored})"""
-            )
-    return with_sql(*steps, select=" UNION ALL ".join(selects))
+def _softmax_sql(epochs: int) -> str:
+    """A recursion over all gradient steps, a row per weight, and the metrics after each epoch."""
+    b, lr = SOFTMAX_BATCHES, f"{SOFTMAX_LR}::DOUBLE * 0.99::DOUBLE ** (s.k // {SOFTMAX_BATCHES})"
+    return f"""WITH RECURSIVE entries AS MATERIALIZED (
+  SELECT vec_id, label, (vec_id * 7919) % {b} AS batch, unnest(range(0, {N_FEATURES})) AS i,
+    unnest(embedding)::DOUBLE AS v FROM embeddings),
+sizes AS MATERIALIZED (SELECT batch, count(DISTINCT vec_id) AS n FROM entries GROUP BY batch),
+s AS (
+  SELECT 0 AS k, i, class, 0.0::DOUBLE AS weight
+  FROM range(0, {N_FEATURES}) AS t(i), range(0, {N_CLASSES}) AS u(class)
+  UNION ALL
+  SELECT s.k + 1, s.i, s.class, s.weight - {lr} * coalesce(g, 0) / n
+  FROM s JOIN sizes ON sizes.batch = s.k % {b} LEFT JOIN (
+    SELECT e.i, q.class, sum(v * r) AS g FROM entries e JOIN (
+      SELECT vec_id, class, exp(logit) / sum(exp(logit)) OVER (PARTITION BY vec_id) - (class = label)::INTEGER AS r
+      FROM (
+        SELECT vec_id, label, class, sum(v * weight) AS logit
+        FROM entries JOIN s ON s.i = entries.i AND batch = s.k % {b} GROUP BY vec_id, label, class)) q USING (vec_id)
+    GROUP BY e.i, q.class) moved ON moved.i = s.i AND moved.class = s.class
+  WHERE s.k < {epochs * b}),
+logits AS (
+  SELECT k // {b} AS epoch, vec_id, label, class, sum(v * weight) AS logit
+  FROM entries JOIN s ON s.i = entries.i WHERE k > 0 AND k % {b} = 0 GROUP BY ALL),
+scored AS (
+  SELECT epoch, vec_id, arg_max(class, (logit, -class)) <> any_value(label) AS wrong,
+    max(logit) FILTER (class = label) AS own, ln(sum(exp(logit))) AS total FROM logits GROUP BY epoch, vec_id)
+SELECT epoch::BIGINT AS epoch, count(*) AS n_rows, round(count(*) FILTER (wrong) / count(*), 6) AS error_rate,
+  round(avg(total - own), 5) AS entropy
+FROM scored GROUP BY epoch"""
 
 
 ORACLES = {
     "logreg_local_sgd": _local_sql(1),
     "logreg_local_sgd_batch": _local_sql(10),
-    "softmax_train_metrics": _softmax_sql(),
+    "softmax_train_metrics": _softmax_sql(EPOCHS),
+    "softmax_wide_metrics": _softmax_sql(1),
     "matrix_trace": """
       WITH cells AS (
         SELECT l_partkey AS i, l_suppkey * 20 + l_linenumber AS j, sum(l_quantity) AS v FROM lineitem GROUP BY ALL)

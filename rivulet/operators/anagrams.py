@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import letter_key
-from rivulet.operators.lists import counted_values
 from rivulet.operators.ordering import with_position
+from rivulet.runtime import cut_lineage
 
 
 def anagram_groups(words: DataFrame, column: str = "word") -> DataFrame:
@@ -16,8 +16,8 @@ def anagram_groups(words: DataFrame, column: str = "word") -> DataFrame:
     Words are made distinct before their letters are sorted, so each is sorted once.
     """
     keyed = words.select(F.col(column).alias("word")).distinct().withColumn("letter_key", letter_key("word"))
-    grouped = counted_values(keyed, "letter_key", "word").where(F.col("n_values") > 1)
-    return grouped.select("letter_key", "word", F.col("n_values").alias("n_words"))
+    sizes = keyed.groupBy("letter_key").agg(F.count(F.lit(1)).alias("n_words")).where("n_words > 1")
+    return keyed.join(sizes, "letter_key").select("letter_key", "word", "n_words")
 
 
 def anagram_ranked(groups: DataFrame) -> DataFrame:
@@ -29,8 +29,10 @@ def anagram_ranked(groups: DataFrame) -> DataFrame:
 def anagram_lines(groups: DataFrame) -> DataFrame:
     """One text line per group, sorted words separated by a space, with its place in the output.
 
-    A line holds its group, so this last step gathers a group's words; nothing before it does.
+    A line holds its group, so this last step gathers a group's words; nothing before it does. The groups
+    are written once, since the order of the groups is worked out from them first.
     """
+    groups = cut_lineage(groups)
     placed = groups.join(anagram_ranked(groups).select("place", "letter_key"), "letter_key")
     lines = placed.groupBy("place").agg(F.sort_array(F.collect_list("word")).alias("words"))
     return lines.select("place", F.array_join("words", " ").alias("line"))

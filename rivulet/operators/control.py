@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.operators.ordering import last_known, with_position
+from rivulet.runtime import broadcast_if_small, cut_lineage
 
 
 def asof_regular(rows: DataFrame, control: DataFrame, every_s: int, time_s: str = "ts_s") -> DataFrame:
     """Each row with the latest control row at or before it; rows before the first tick get the first.
 
     Ticks lie on multiples of ``every_s`` without gaps, so the as-of join is an equi-join on the tick, and
-    rows after the last tick get the last. Ticks with gaps need ``asof_latest``.
+    rows after the last tick get the last. Ticks with gaps need ``asof_latest``. The control rows are written
+    once and broadcast if they are few.
     """
+    control = cut_lineage(control)
     first = control.agg(F.min("generation_s")).scalar()
     last = control.agg(F.max("generation_s")).scalar()
     tick = (F.floor(F.col(time_s) / every_s) * every_s).cast("bigint")
-    return rows.withColumn("generation_s", F.least(F.greatest(tick, first), last)).join(control, "generation_s")
+    return rows.withColumn("generation_s", F.least(F.greatest(tick, first), last)).join(
+        broadcast_if_small(control), "generation_s"
+    )
 
 
 def asof_latest(

@@ -61,15 +61,14 @@ class RankEdges:
     """
 
     def __init__(self, edges: DataFrame, layout: str = "hash", max_fanout: int = 200_000):
-        degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_out"))
+        # all that follows is worked out from this copy, so the source of the edges is read once
+        self.merged = cut_lineage(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_times")))
+        degrees = self.merged.groupBy("src").agg(F.sum("_times").alias("_out"))
         salts = F.ceil(F.col("_out") / max_fanout).cast("bigint")
-        widest = degrees.agg(F.max("_out")).first()[0] or 0
-        self.hot = None
-        if widest > max_fanout:
-            hot = degrees.where(F.col("_out") > max_fanout)
-            self.hot = cut_lineage(hot.select("src", salts.alias("_salts")))
-        merged = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_times"))
-        shared = merged.join(degrees, "src").select(
+        hot = degrees.where(F.col("_out") > max_fanout).select("src", salts.alias("_salts"))
+        hot = cut_lineage(hot)
+        self.hot = None if hot.isEmpty() else hot
+        shared = self.merged.join(degrees, "src").select(
             "src",
             F.pmod(F.xxhash64("dst"), salts).alias("salt"),
             "dst",
@@ -110,7 +109,7 @@ def _damped(messages: DataFrame) -> DataFrame:
 
 
 def _completed(edges: DataFrame, ranks: DataFrame) -> DataFrame:
-    """All vertices; one without a computed rank keeps 1.0."""
+    """All vertices of ``edges``; one without a computed rank keeps 1.0."""
     start = edge_vertices(edges).select("id")
     return start.join(ranks, "id", "left").select("id", F.coalesce("rank", F.lit(1.0)).alias("rank"))
 
@@ -141,7 +140,7 @@ def pagerank(
         if cache:
             prepared.table.unpersist()
         prepared.close()
-    return _completed(edges, ranks)
+    return _completed(prepared.merged, ranks)
 
 
 def pagerank_graph(
@@ -172,7 +171,7 @@ def pagerank_graph(
             ranks = cut_lineage(ranks.unionByName(targets_only))
     finally:
         prepared.close()
-    return _completed(edges, ranks)
+    return _completed(prepared.merged, ranks)
 
 
 def rank_preview(ranks: DataFrame, n: int = 100) -> DataFrame:

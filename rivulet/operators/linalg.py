@@ -81,6 +81,36 @@ def block_trace(blocks: DataFrame) -> DataFrame:
     )
 
 
+def strip_trace(cells: DataFrame, side: int, max_bytes: int = 16 << 20) -> DataFrame:
+    """``trace(A·A)`` of cells ``(i, j, v)`` as dense blocks of ``side``, multiplied strip by strip; repeated cells add up.
+
+    Rows of block (I, J) meet the columns of block (J, I) that they are multiplied with. A strip is as many
+    of them as ``max_bytes`` allow (one at least), so a task holds one pair of strips, however large a block is.
+    """
+    rows = max(1, min(side, max_bytes // (2 * 8 * side)))
+    summed = cells.groupBy(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j")).agg(F.sum("v").alias("v"))
+
+    def half(line: str, across: str, lower: bool) -> DataFrame:
+        """Cells by the block above the diagonal they belong to: as they are, or transposed."""
+        low, high = F.floor(F.col(line) / side), F.floor(F.col(across) / side)
+        inside = F.pmod(F.col(line), F.lit(side))
+        place = F.pmod(inside, F.lit(rows)) * side + F.pmod(F.col(across), F.lit(side))
+        return summed.where(low <= high).select(
+            low.alias("lo"), high.alias("hi"), F.floor(inside / rows).alias("strip"),
+            place.alias("place"), F.lit(lower).alias("lower"), "v",
+        )
+
+    def product(frame: pd.DataFrame) -> pd.DataFrame:
+        strips = np.zeros((2, rows * side))
+        strips[frame["lower"].to_numpy().astype(int), frame["place"].to_numpy()] = frame["v"].to_numpy(dtype=float)
+        twice = 2.0 if frame["lo"].iloc[0] < frame["hi"].iloc[0] else 1.0
+        return pd.DataFrame({"part": [twice * float(strips[0] @ strips[1])]})
+
+    halves = half("i", "j", False).unionByName(half("j", "i", True))
+    parts = halves.groupBy("lo", "hi", "strip").applyInPandas(product, "part DOUBLE")
+    return parts.agg(F.coalesce(F.sum("part"), F.lit(0.0)).alias("trace"))
+
+
 def nonzeros(examples: DataFrame, *also: str) -> DataFrame:
     """One row ``(example_id, …, index, value)`` per stored entry of ``examples(example_id, index, value)``."""
     entries = F.explode(F.arrays_zip("index", "value"))

@@ -12,8 +12,11 @@ from rivulet.runtime import broadcast_if_small, cut_lineage
 
 
 def tag_filter(tweets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Tweets whose text contains a tag of their generation; one row each, stamped with the tag tick."""
-    tagged = tweets.join(pairs, "generation_s").where(contains_any("text", F.col("tags")))
+    """Tweets whose text contains a tag of their generation; one row each, stamped with the tag tick.
+
+    The pairs are written once and broadcast if they are few, so a hot generation stays spread.
+    """
+    tagged = tweets.join(broadcast_if_small(cut_lineage(pairs)), "generation_s").where(contains_any("text", F.col("tags")))
     return tagged.drop("generation_s", "tags").withColumnRenamed("tick_s", "generation_s")
 
 

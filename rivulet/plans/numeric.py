@@ -27,6 +27,11 @@ def matrix_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(linalg.trace_of_square(fr.cells(spark, sf_dir)), "trace", 3)
 
 
+def matrix_trace_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same trace over dense blocks of 1024, in strips of 64 rows."""
+    return _rounded(linalg.strip_trace(fr.cells(spark, sf_dir), 1024, 1 << 20), "trace", 3)
+
+
 def _index_weights(examples: DataFrame) -> DataFrame:
     """Fixed weights for the even indexes; the odd ones take the default."""
     seen = linalg.nonzeros(examples).select("index").distinct().where("index % 2 = 0")
@@ -121,7 +126,7 @@ def softmax_wide_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        matrix_trace, sparse_dot, minibatch_assign, logreg_sync_sgd, logreg_sparse_sgd, logreg_error,
+        matrix_trace, matrix_trace_strips, sparse_dot, minibatch_assign, logreg_sync_sgd, logreg_sparse_sgd, logreg_error,
         logreg_abs_error, logreg_local_sgd, logreg_local_sgd_batch, softmax_eval, softmax_train_metrics,
         softmax_wide_metrics,
     )
@@ -218,15 +223,18 @@ SELECT epoch::BIGINT AS epoch, count(*) AS n_rows, round(count(*) FILTER (wrong)
 FROM scored GROUP BY epoch"""
 
 
+_TRACE = """
+      WITH cells AS (
+        SELECT l_partkey AS i, l_suppkey * 20 + l_linenumber AS j, sum(l_quantity) AS v FROM lineitem GROUP BY ALL)
+      SELECT round(sum(a.v * b.v), 3) AS trace FROM cells a JOIN cells b ON a.i = b.j AND a.j = b.i"""
+
 ORACLES = {
     "logreg_local_sgd": _local_sql(1),
     "logreg_local_sgd_batch": _local_sql(10),
     "softmax_train_metrics": _softmax_sql(EPOCHS),
     "softmax_wide_metrics": _softmax_sql(1),
-    "matrix_trace": """
-      WITH cells AS (
-        SELECT l_partkey AS i, l_suppkey * 20 + l_linenumber AS j, sum(l_quantity) AS v FROM lineitem GROUP BY ALL)
-      SELECT round(sum(a.v * b.v), 3) AS trace FROM cells a JOIN cells b ON a.i = b.j AND a.j = b.i""",
+    "matrix_trace": _TRACE,
+    "matrix_trace_strips": _TRACE,
     "sparse_dot": with_sql(
         fr.SQL_EXAMPLES,
         select="""SELECT example_id,

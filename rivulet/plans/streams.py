@@ -130,13 +130,32 @@ def _sliding(spark: SparkSession, sf_dir: str) -> ReportSink:
 
 
 def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sliding(spark, sf_dir).latest(spark).select(
+    return _counts(_sliding(spark, sf_dir).latest(spark))
+
+
+def _counts(rows: DataFrame) -> DataFrame:
+    return rows.select(
         F.unix_seconds("window_start").alias("window_start_s"),
         F.unix_seconds("window_end").alias("window_end_s"),
         "action", "cnt",
     )
 
 
+def stream_restarted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts by a query that is stopped after its first batches and goes on from its checkpoint.
+
+    Times go through whole seconds, as a source with epoch seconds gives them.
+    """
+    actions = action_stream(spark, sf_dir).withColumn("ts", F.timestamp_seconds(F.unix_seconds("ts")))
+    counts, checkpoint = sq.sliding_counts(actions), fresh_path(spark, "stream-state")
+    sink = _table(spark, counts, keep=2)
+    first = sq.start(counts, "complete", sink, checkpoint, {"processingTime": "0 seconds"})
+    while not first.awaitTermination(0.1) and len(first.recentProgress) < 2:
+        pass
+    first.stop()
+    return _counts(sq.run(counts, "complete", sink, checkpoint).latest(spark))
+
+
 def stream_batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sliding(spark, sf_dir).reports(spark)
 
@@ -260,7 +279,7 @@ def stream_collect_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_sliding_counts, stream_batch_report, stream_filter_project, stream_static_join,
+        stream_sliding_counts, stream_restarted_counts, stream_batch_report, stream_filter_project, stream_static_join,
         stream_burst_tumbling, stream_burst_sliding, stream_late_drop, stream_asof_filter, stream_generation_pairing,
         stream_generation_totals, stream_popular_words, stream_collect_first_n,
     )
@@ -270,10 +289,13 @@ _SLIDING = f"""{fr.SQL_EVENTS},
 copies AS (SELECT action, ts_s // 1800 * 1800 - 1800 * unnest([0, 1]) AS window_start_s FROM ev),
 sliding AS (SELECT window_start_s, action, count(*) AS cnt FROM copies GROUP BY window_start_s, action)"""
 
+_COUNTS = with_sql(
+    _SLIDING, select="SELECT window_start_s, window_start_s + 3600 AS window_end_s, action, cnt FROM sliding"
+)
+
 ORACLES = {
-    "stream_sliding_counts": with_sql(
-        _SLIDING, select="SELECT window_start_s, window_start_s + 3600 AS window_end_s, action, cnt FROM sliding"
-    ),
+    "stream_sliding_counts": _COUNTS,
+    "stream_restarted_counts": _COUNTS,
     "stream_batch_report": with_sql(
         fr.SQL_EVENTS,
         f"""parts AS (

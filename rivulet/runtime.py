@@ -113,9 +113,14 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark ``df`` for broadcast only when a count proves it short; otherwise leave the choice open."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Mark ``df`` for broadcast only when its rows and bytes, counted, prove it small; otherwise leave the choice open.
+
+    Bytes are those of the rows as JSON, about what a table of short columns takes in memory.
+    """
+    width = F.octet_length(F.to_json(F.struct("*")))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
 def spread_if_narrow(scan: DataFrame, *keys: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Homomorphic multiset fingerprints of documents.
 
-A text is the multiset of its units: its paragraphs (lines), and inside a paragraph its sentences, so
-that an edit inside a paragraph leaves the rest of it in place. Every unit is hashed to a wide vector
+A text is the multiset of its units: its paragraphs (lines), inside a paragraph its sentences, and of a
+sentence of many words runs of words that end where the words themselves say so, so that an edit inside a
+paragraph leaves the rest of it in place, also where a text has few sentences or none. Every unit is hashed to a wide vector
 of small numbers, and a fingerprint is the sum of the vectors modulo 2^32 in every lane. Order does
 not matter, equal multisets give equal fingerprints, and ``combine`` inserts or deletes units without
 the text. Lanes are signed and centred, so the cosine of two fingerprints estimates how much of the
@@ -16,6 +17,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +29,36 @@ from rivulet.runtime import shuffle_width
 
 LANES = 256
 SLICES_PER_PARTITION = 4
+#: Sentences of more words, or words of more code points, are cut; a word in so many ends a run; pieces of a word.
+LONG_SENTENCE, LONG_WORD, RUN, PIECE = 4, 64, 3, 32
 _units = re.compile(r"\n+|(?<=[.!?])[ \t]+").split
 _EMPTY = np.zeros(LANES, dtype="<u4")
 
 
 def units(text: str | None) -> list[str]:
     """The multiset of a text; white space around a unit does not count, blank units neither."""
-    return [unit for piece in _units(text or "") if (unit := piece.strip())]
+    found: list[str] = []
+    for piece in _units(text or ""):
+        words = piece.split()
+        if len(words) > LONG_SENTENCE or len(piece) > LONG_WORD:
+            found += _runs(words)
+        elif words:
+            found.append(piece.strip())
+    return found
+
+
+def _runs(words: list[str]) -> list[str]:
+    """Runs of words, each up to a word whose checksum ends a run; a long word is a run of pieces."""
+    found, open_run = [], []
+    for word in words:
+        if len(word) > LONG_WORD:
+            found += [word[at : at + PIECE] for at in range(0, len(word), PIECE)]
+            continue
+        open_run.append(word)
+        if crc32(word.encode()) % RUN == 0:
+            found.append(" ".join(open_run))
+            open_run = []
+    return [*found, " ".join(open_run)] if open_run else found
 
 
 def vector(members: Iterable[str]) -> np.ndarray:

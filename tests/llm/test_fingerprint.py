@@ -1,7 +1,8 @@
 import hashlib
+import random
 
 import numpy as np
-from cases import ODD, docs, odd_docs
+from cases import ODD, docs, odd_docs, prose
 
 from rivulet.llm import fingerprint as fp
 
@@ -78,3 +79,21 @@ def test_small_and_odd_tables(spark):
     assert fp.compare_edits(odd_docs(spark).limit(0)).count() == 0
     marked = fp.fingerprints(odd_docs(spark), name="ids").collect()
     assert len(marked) == 10 and all(r["n_lines"] in ("z", None) for r in marked)
+
+
+def test_half_kept_texts_stay_alike_without_sentences(spark):
+    rng = random.Random(2)
+    texts = [prose(rng, 60) for _ in range(30)] + ["x%d" % i * 400 for i in range(5)] + [prose(rng, 12) for _ in range(30)]
+    rows = {r["doc_id"]: r for r in fp.compare_edits(docs(spark, *texts)).collect()}
+    assert all(rows[i]["near_edited"] > 0.2 for i in range(34)), [rows[i]["near_edited"] for i in range(35)]
+    assert sum(rows[i]["near_edited"] > 0.1 for i in range(35, 65)) >= 24
+    assert all(rows[i]["near_next"] < 0.3 for i in range(64) if i not in range(30, 35))
+
+
+def test_units_of_long_sentences_follow_the_words():
+    words = prose(random.Random(3), 200)
+    whole = fp.units(words)
+    assert len(whole) > 20 and " ".join(whole) == words
+    edited = fp.units(words[: len(words) // 2] + " zzz")
+    assert len(set(whole) & set(edited)) >= len(edited) - 2
+    assert fp.units("a" * 100) == ["a" * 32] * 3 + ["a" * 4]

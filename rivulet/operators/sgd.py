@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.operators.linalg import nonzeros, sparse_dot
-from rivulet.runtime import cut_lineage, fresh_path, shuffle_width
+from rivulet.runtime import BucketedCopy, cut_lineage, fresh_path, shuffle_width
 
 
 def minibatch_assign(
@@ -84,6 +84,67 @@ def sync_sgd(
     return model
 
 
+class WideBatches:
+    """Batches of sparse examples laid out twice, for models of any width.
+
+    ``cold`` holds the entries by feature, bucketed as the model is, so that weights and entries meet without
+    moving either; ``rows`` holds the examples with their arrays, bucketed by example, for the way back.
+    A batch is a range of row groups of each. Features with an equal share of the entries or more
+    are ``hot``: there are at most as many as buckets, their weights are broadcast and their entries
+    stay where they are.
+    """
+
+    def __init__(self, examples: DataFrame):
+        self.width = shuffle_width(examples.sparkSession)
+        self._rows = BucketedCopy(examples.select("example_id", "label", "batch", "index", "value"), "example_id", first=("batch",))
+        self.rows = self._rows.table
+        entries = nonzeros(self.rows, "batch")
+        counts = entries.groupBy("index").agg(F.count(F.lit(1)).alias("_n"))
+        total = entries.agg(F.count(F.lit(1))).scalar()
+        self.hot_index = cut_lineage(counts.where(F.col("_n") * self.width >= total).select("index"))
+        self._cold = BucketedCopy(entries.join(F.broadcast(self.hot_index), "index", "left_anti"), "index", first=("batch",))
+        self.cold = self._cold.table
+        self.hot = cut_lineage(entries.join(F.broadcast(self.hot_index), "index", "left_semi"))
+
+    def dots(self, batch: int, model: DataFrame, init: float) -> DataFrame:
+        """``(example_id, dot)`` of a batch; only the partial sums per example are shuffled."""
+        here = F.col("batch") == batch
+        hot_weights = F.broadcast(model.join(F.broadcast(self.hot_index), "index", "left_semi"))
+        met = self.cold.where(here).join(model, "index", "left").select("example_id", "value", "weight")
+        met = met.unionByName(self.hot.where(here).join(hot_weights, "index", "left").select("example_id", "value", "weight"))
+        return met.groupBy("example_id").agg(F.sum(F.col("value") * F.coalesce("weight", F.lit(init))).alias("dot"))
+
+    def gradient(self, batch: int, model: DataFrame, init: float) -> DataFrame:
+        """``(index, gradient)`` of a batch: factors come to the examples, partial sums go to the features."""
+        rows = self.rows.where(F.col("batch") == batch).join(self.dots(batch, model, init), "example_id", "left")
+        factor = F.col("label") * (_sigmoid(F.col("label") * F.coalesce("dot", F.lit(0.0))) - 1)
+        entries = nonzeros(rows.withColumn("_factor", factor), "_factor")
+        return entries.groupBy("index").agg(F.sum(F.col("_factor") * F.col("value")).alias("gradient"))
+
+    def drop(self) -> None:
+        self._rows.drop()
+        self._cold.drop()
+
+
+def wide_sgd(examples: DataFrame, steps: int, n_batches: int, eta: float = 0.01, init: float = 1.0) -> DataFrame:
+    """As ``sync_sgd``, for models with very many features: a step moves partial sums and never the entries.
+
+    The model is a bucketed table, written anew by each step where its rows lie; the one before is dropped.
+    """
+    layout = WideBatches(examples)
+    copy = BucketedCopy(empty_model(examples.sparkSession), "index")
+    try:
+        for step in range(steps):
+            grads = layout.gradient(step % n_batches, copy.table, init)
+            moved = BucketedCopy(apply_gradient(copy.table, grads, eta, init), "index", spread=False)
+            copy.drop()
+            copy = moved
+        return cut_lineage(copy.table)
+    finally:
+        copy.drop()
+        layout.drop()
+
+
 def error_counts(examples: DataFrame, model: DataFrame, init: float, by: str) -> DataFrame:
     """Per value of ``by``: rows and how many the sign of the score gets wrong."""
     wrong = F.signum("dot") != F.col("label")

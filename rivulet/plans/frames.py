@@ -223,6 +223,29 @@ SQL_EXAMPLES = """ex AS MATERIALIZED (
     FROM (SELECT vec_id, label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)))"""
 
 
+def word_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents as ±1 examples: a feature per word, a number made of its digest, with its share of the words."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, 1.0).otherwise(-1.0).alias("label"))
+    found = F.filter(F.split(F.lower(letters_only("text")), WHITESPACE), lambda w: w != "")
+    words = documents(spark, sf_dir).join(labels, "doc_id").select("doc_id", "label", F.size(found).alias("_n"), F.explode(found).alias("word"))
+    index = F.conv(F.substring(F.md5("word"), 1, 15), 16, 10).cast("bigint")
+    counted = words.groupBy("doc_id", "label", "_n", index.alias("index")).agg(F.count(F.lit(1)).alias("_k"))
+    entry = F.struct("index", (F.col("_k") / F.col("_n")).alias("value"))
+    return counted.groupBy(F.col("doc_id").alias("example_id"), "label").agg(F.sort_array(F.collect_list(entry)).alias("_e")).select(
+        "example_id", "label", F.col("_e.index").alias("index"), F.col("_e.value").alias("value")
+    )
+
+
+SQL_WORD_EXAMPLES = rf"""tok AS (
+  SELECT doc_id, label, lower(regexp_replace(token, '[^\p{{L}}]', '', 'g')) AS word FROM (
+    SELECT doc_id, CASE WHEN quality = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS label,
+      unnest(string_split_regex(text, {SQL_SPACE})) AS token FROM documents JOIN labels USING (doc_id))),
+ex AS MATERIALIZED (
+  SELECT doc_id AS example_id, label, ('0x' || md5(word)[1:15])::BIGINT AS idx,
+    count(*) / sum(count(*)) OVER (PARTITION BY doc_id) AS value
+  FROM tok WHERE word <> '' GROUP BY doc_id, label, word)"""
+
+
 def softmax_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("example_id"), F.col("label").cast("int").alias("label"),

@@ -58,6 +58,12 @@ def logreg_sparse_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(model, "weight", 4)
 
 
+def logreg_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One epoch over the words of the labelled documents, as many features as there are words."""
+    model = sgd.wide_sgd(_batched(fr.word_examples(spark, sf_dir)), N_BATCHES, N_BATCHES, eta=0.5, init=0.0)
+    return _rounded(model, "weight", 8)
+
+
 def _split_examples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     split = F.when(F.col("example_id") % 10 == 0, "held_out").otherwise("train")
     examples = _batched(fr.binary_examples(spark, sf_dir)).withColumn("split", split)
@@ -126,14 +132,14 @@ def softmax_wide_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        matrix_trace, matrix_trace_strips, sparse_dot, minibatch_assign, logreg_sync_sgd, logreg_sparse_sgd, logreg_error,
+        matrix_trace, matrix_trace_strips, sparse_dot, minibatch_assign, logreg_sync_sgd, logreg_sparse_sgd, logreg_wide, logreg_error,
         logreg_abs_error, logreg_local_sgd, logreg_local_sgd_batch, softmax_eval, softmax_train_metrics,
         softmax_wide_metrics,
     )
 }
 
 
-def _sgd_sql(eta: float, init: float, select: str, train: str = "true") -> str:
+def _sgd_sql(eta: float, init: float, select: str, train: str = "true", examples: str = fr.SQL_EXAMPLES) -> str:
     """One epoch of batches, one materialised weight table per step."""
     steps = [f"w0 AS MATERIALIZED (SELECT DISTINCT idx, {init}::DOUBLE AS weight FROM ex)"]
     for k in range(1, N_BATCHES + 1):
@@ -147,7 +153,7 @@ w{k} AS MATERIALIZED (
   SELECT idx, weight - {eta}::DOUBLE * coalesce(g, 0) AS weight FROM w{k - 1}
   LEFT JOIN (SELECT idx, sum(factor * value) AS g FROM b{k} JOIN f{k} USING (example_id) GROUP BY idx) USING (idx))"""
         )
-    return with_sql(fr.SQL_EXAMPLES, *steps, select=select)
+    return with_sql(examples, *steps, select=select)
 
 
 _WEIGHTS = f"SELECT idx AS index, round(weight, 4) AS weight FROM w{N_BATCHES}"
@@ -244,6 +250,9 @@ ORACLES = {
     "minibatch_assign": f"SELECT vec_id AS example_id, (vec_id * 7919) % {N_BATCHES} AS batch FROM embeddings",
     "logreg_sync_sgd": _sgd_sql(0.01, 1.0, _WEIGHTS),
     "logreg_sparse_sgd": _sgd_sql(0.1, 0.0, _WEIGHTS),
+    "logreg_wide": _sgd_sql(
+        0.5, 0.0, f"SELECT idx AS index, round(weight, 8) AS weight FROM w{N_BATCHES}", examples=fr.SQL_WORD_EXAMPLES
+    ),
     "logreg_error": _sgd_sql(
         0.01, 1.0,
         f"SELECT {_SPLIT}, count(*) FILTER (sign(dot) <> label) AS n_errors FROM {_SCORED} GROUP BY held", _TRAIN,

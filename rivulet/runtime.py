@@ -85,20 +85,22 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 class BucketedCopy:
     """``df`` as a table in the shared folder, bucketed by ``keys`` into as many buckets as a shuffle has.
 
-    A join or aggregation on ``keys`` reads ``table`` without a shuffle, as often as it is used.
-    ``drop`` removes table and files once nothing reads them any more.
+    A join or aggregation on ``keys`` reads ``table`` without a shuffle, as often as it is used. With
+    ``spread`` the rows are shuffled by the keys first, so that each bucket is one file; rows that lie
+    by the keys already need not be. ``first`` names columns to sort by before the keys, for filters that skip
+    row groups. ``drop`` removes table and files once nothing reads them any more.
     """
 
-    def __init__(self, df: DataFrame, *keys: str):
+    def __init__(self, df: DataFrame, *keys: str, spread: bool = True, first: tuple[str, ...] = ()):
         self.spark = df.sparkSession
         self.name = f"rivulet_{uuid.uuid4().hex}"
         self.path = fresh_path(self.spark, "buckets")
         width = shuffle_width(self.spark)
+        rows = df.repartition(width, *keys) if spread else df
         (
-            df.repartition(width, *keys)  # the hash of the buckets, so each is one file
-            .write.format("parquet")
+            rows.write.format("parquet")
             .bucketBy(width, *keys)
-            .sortBy(*keys)
+            .sortBy(*first, *keys)
             .option("path", self.path)
             .saveAsTable(self.name)
         )

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rivulet.operators import linalg, sgd, softmax
+from rivulet.runtime import BucketedCopy
 from rivulet.sources.files import sparse_examples
 from rivulet.sources.sinks import delimited_sink, text_sink
 
@@ -63,6 +64,43 @@ def test_synchronous_steps_equal_numpy(spark, eta, init):
     assert got == pytest.approx({i: w[i] for i in got}) and len(got) == 12
 
 
+def test_wide_steps_equal_narrow_ones_and_leave_nothing_behind(spark):
+    rows = sparse_rows(80, 40)  # one index is in every row: a hot one
+    df = sgd.minibatch_assign(spark.createDataFrame([*rows, (999, 1.0, [], [])], EXAMPLES), 3, hash_of=F.col("example_id"))
+    before = {t.name for t in spark.catalog.listTables()}
+    wide = {r["index"]: r.weight for r in sgd.wide_sgd(df, 5, 3, 0.1, 1.0).collect()}
+    narrow = {r["index"]: r.weight for r in sgd.sync_sgd(df, 5, 3, 0.1, 1.0).collect()}
+    assert wide == pytest.approx(narrow) and len(wide) > 30
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_a_wide_step_moves_partial_sums_only(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    df = sgd.minibatch_assign(spark.createDataFrame(sparse_rows(), EXAMPLES), 3, hash_of=F.col("example_id"))
+    layout, model = sgd.WideBatches(df), BucketedCopy(sgd.empty_model(spark), "index")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {r["index"] for r in layout.hot_index.collect()} == {0}
+        plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+        assert plan(layout.dots(0, model.table, 0.0)).count("Exchange hashpartitioning") == 1
+        assert plan(layout.gradient(0, model.table, 0.0)).count("Exchange hashpartitioning") == 2
+        moved = sgd.apply_gradient(model.table, layout.gradient(0, model.table, 0.0), 0.1, 0.0)
+        assert plan(moved).count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        layout.drop()
+        model.drop()
+
+
+@pytest.mark.parametrize("side, limit", [(4, 1 << 20), (5, 160), (3, 1)])
+def test_traces_strip_by_strip_equal_numpy(spark, side, limit):
+    matrix = np.random.default_rng(2).integers(-3, 4, (13, 13)).astype(float)
+    cells = [(i, j, matrix[i, j] / 2) for i in range(13) for j in range(13) if matrix[i, j]] * 2  # repeated cells add up
+    df = spark.createDataFrame(cells, "i BIGINT, j BIGINT, v DOUBLE")
+    assert linalg.strip_trace(df, side, limit).first().trace == pytest.approx(np.trace(matrix @ matrix))
+    assert linalg.strip_trace(df.limit(0), side).first().trace == 0
+
+
 @pytest.mark.parametrize("batch_size", [1, 7])
 def test_one_shard_equals_sequential_updates(spark, batch_size):
     rows = sparse_rows()

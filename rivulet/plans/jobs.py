@@ -10,10 +10,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from rivulet.operators import anagrams, bursts, control, graph, overlap, sgd, words
+from rivulet.runtime import make_folder
 from rivulet.sources import files, sinks, tweets
 from rivulet.streaming import queries as sq
+from rivulet.streaming import state
+from rivulet.streaming.sinks import BatchTable, CollectedLines, LateDropWindows
 
 
 def anagram_job(spark: SparkSession, words_path: str, output: str) -> None:
@@ -113,6 +117,65 @@ def popular_words_job(
     sinks.delimited_sink(tagged.select("generation_s", "text"), tweets_output)
 
 
+def popular_words_stream_job(
+    tweet_rows: DataFrame,
+    thresholds: DataFrame,
+    tags: DataFrame,
+    stop: DataFrame | list[str],
+    folder: str,
+    flush_s: int = 10,
+    delay: str = "0 seconds",
+    trigger: dict | None = None,
+) -> list[StreamingQuery]:
+    """The same as a stream: three queries side by side, which hand rows on by files under ``folder``.
+
+    Streams: ``tweet_rows (event_id, ts, text, friends_count)``, ``thresholds (generation_s, thresholds)`` and
+    ``tags (generation_s, tags)``; rows with only a time are heartbeats. Accepted tweets are in ``accepted``, generations
+    with their tags in ``pairs``, and ranked words of closed generations in ``popular``. Started again with the same
+    ``folder``, the queries go on where they stopped.
+    """
+    spark = tweet_rows.sparkSession
+    accepted = sq.accepted_rows(tweet_rows, thresholds, delay=delay)
+    queries = [sq.publish(accepted, f"{folder}/accepted", f"{folder}/state/accepted", trigger)]
+
+    def published(name: str, schema: StructType) -> DataFrame:
+        make_folder(spark, f"{folder}/{name}")
+        return spark.readStream.schema(schema).parquet(f"{folder}/{name}")
+
+    pairs = state.pair_generations(published("accepted", accepted.schema), tags.where("tags IS NOT NULL"))
+    queries.append(sq.publish(pairs, f"{folder}/pairs", f"{folder}/state/pairs", trigger))
+    counts = sq.tagged_words(published("accepted", accepted.schema), published("pairs", pairs.schema), None, stop, flush_s)
+    queries.append(sq.start(counts, "append", popular_table(folder), f"{folder}/state/popular", trigger))
+    return queries
+
+
+def popular_table(folder: str) -> BatchTable:
+    """The ranked words that ``popular_words_stream_job`` has written."""
+    return BatchTable(f"{folder}/popular", "generation_s BIGINT, place BIGINT, word STRING, cnt BIGINT", words.popular_words)
+
+
+def collect_stream_job(
+    tweet_rows: DataFrame, output: str, keywords: list[str], n: int = 200_000, max_bytes: int = 5_000_000,
+    checkpoint: str | None = None, trigger: dict | None = None,
+) -> tuple[StreamingQuery, CollectedLines]:
+    """The first ``n`` matching tweets of a stream ``(event_id, ts, text, lang)`` as lines in files of ``max_bytes``.
+
+    ``drain`` of the second result waits until there are enough and stops the query.
+    """
+    chosen = tweets.tweet_filter(tweet_rows, keywords).select("event_id", "ts", "text")
+    sink = CollectedLines(output, n, max_bytes=max_bytes)
+    return sq.start(chosen, "append", sink, checkpoint, trigger), sink
+
+
+def late_drop_stream_job(
+    actions: DataFrame, output: str, arrival: list[str], delay_s: int = 500, checkpoint: str | None = None,
+    trigger: dict | None = None,
+) -> tuple[StreamingQuery, LateDropWindows]:
+    """One-minute windows over a stream ``(action, ts_s, …)``; rows later than ``delay_s`` are dropped one by one."""
+    sink = LateDropWindows(output, delay_s, 60, arrival)
+    return sq.start(actions, "append", sink, checkpoint, trigger), sink
+
+
 def logistic_job(
     spark: SparkSession, train_path: str, test_path: str, steps: int, n_batches: int, eta: float = 0.01, init: float = 1.0
 ) -> DataFrame:

@@ -76,6 +76,12 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in store.listStatus(target) if s.isDirectory()] if store.exists(target) else []
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create ``path`` if it is missing, so that a stream can wait for files in it."""
+    store, target = _file_system(spark, path)
+    store.mkdirs(target)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete what a job of this session wrote under ``path``."""
     store, target = _file_system(spark, path)

@@ -158,17 +158,21 @@ def accepted_rows(
     return kept.withColumn("generation_s", F.when(beat, F.unix_seconds(time)).otherwise(F.col("generation_s")))
 
 
-def tagged_words(accepted: DataFrame, pairs: DataFrame, texts: DataFrame, stop: DataFrame | list[str], flush_s: int = 10,
-                 id: str = "event_id", delay: str = "1 second", salts: int = state.SALTS) -> DataFrame:
+def tagged_words(
+    accepted: DataFrame, pairs: DataFrame, texts: DataFrame | None, stop: DataFrame | list[str], flush_s: int = 10,
+    id: str = "event_id", delay: str = "1 second", salts: int = state.SALTS,
+) -> DataFrame:
     """``(generation_s, word, cnt)`` of the accepted rows whose text has a tag of their generation; for append mode.
 
-    ``accepted`` and ``pairs`` are streams, ``texts (doc_id, text)`` a table. A generation closes when both
+    ``accepted`` and ``pairs`` are streams; the text is in ``accepted``, or in a table ``texts (doc_id, text)``. A generation closes when both
     streams have come to a later one; it is counted flush by flush, and reported once, by its tag tick.
     Heartbeats of ``accepted`` have a ``doc_id`` without a text, not a null one: the optimizer would drop nulls
     of a join before they move the watermark on.
     """
+    if texts is None:
+        accepted = accepted.withColumn("text", F.coalesce("text", F.lit("")))  # for the same reason
     met = state.join_pairs(accepted, pairs, id, delay, salts)
-    tagged = met.join(texts, "doc_id").where(contains_any("text", F.col("tags")))
+    tagged = (met if texts is None else met.join(texts, "doc_id")).where(contains_any("text", F.col("tags")))
     flush = F.floor(F.unix_seconds("ts") / flush_s).alias("flush")
     words = tweet_words(tagged.select("generation", "tick_s", flush, "text"), stop)
     flushed = words.groupBy("generation", "tick_s", "flush", "word").agg(F.count(F.lit(1)).alias("cnt"))

@@ -74,13 +74,25 @@ class ReportSink(BatchTable):
         return spark.read.schema(REPORT_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{self.path}/reports")
 
 
-class FirstRows(BatchTable):
+class Drained:
+    """For targets that have enough at some time: they set ``full``."""
+
+    full = False
+
+    def drain(self, query: StreamingQuery, poll_s: float = 0.5) -> None:
+        """Wait until the query ends or enough rows are stored, then stop it."""
+        while not query.awaitTermination(poll_s):
+            if self.full:
+                query.stop()
+                return
+
+
+class FirstRows(Drained, BatchTable):
     """Keeps rows until ``n`` are stored; the batch that crosses the line is trimmed in time order."""
 
     def __init__(self, path: str, schema: str, n: int, time: str = "ts", id: str = "event_id"):
         super().__init__(path, schema)
         self.n, self.time, self.id = n, time, id
-        self.full = False
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         earlier = self.rows(batch.sparkSession).where(F.col("batch_id") < batch_id).count()
@@ -94,13 +106,6 @@ class FirstRows(BatchTable):
         super().__call__(kept, batch_id)
         self.full = size >= room
 
-    def drain(self, query: StreamingQuery, poll_s: float = 0.5) -> None:
-        """Wait until the query ends or enough rows are stored, then stop it."""
-        while not query.awaitTermination(poll_s):
-            if self.full:
-                query.stop()
-                return
-
 
 class LateDropWindows(BatchTable):
     """Tumbling windows over rows that arrive in time, decided record by record over all micro-batches.
@@ -185,7 +190,7 @@ class LineFiles:
         return spark.read.schema(schema).option("basePath", f"{self.path}/lines").text(folders)
 
 
-class CollectedLines(LineFiles):
+class CollectedLines(Drained, LineFiles):
     """The first ``n`` rows by time, as lines ``place|…``; the batch that crosses the line is trimmed in time order.
 
     How many rows earlier batches gave is read from the commit list.
@@ -194,13 +199,13 @@ class CollectedLines(LineFiles):
     def __init__(self, path: str, n: int, time: str = "ts", id: str = "event_id", **options):
         super().__init__(path, ["pos"], **options)
         self.n, self.time, self.id = n, time, id
-        self.full = False
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         before = self.commits(batch.sparkSession).where(F.col("batch_id") < batch_id)
         earlier = before.agg(F.coalesce(F.sum("n_lines"), F.lit(0))).first()[0]
         room = max(0, self.n - earlier)
-        self.full = room == 0
         if room:
-            kept = first_rows(cut_lineage(batch), room, self.time, [self.id])
+            kept = cut_lineage(first_rows(cut_lineage(batch), room, self.time, [self.id]))
             super().__call__(kept.select((F.col("pos") + earlier).alias("pos"), *batch.columns), batch_id)
+            room -= kept.count()
+        self.full = room == 0

@@ -2,12 +2,14 @@
 
 import datetime as dt
 import random
+import time
 from bisect import bisect_right
 from collections import Counter
 
 from pyspark.sql import functions as F
 
-from rivulet.operators import bursts
+from rivulet.operators import bursts, control, words
+from rivulet.plans import jobs
 from rivulet.runtime import fresh_path
 from rivulet.streaming import queries as sq
 from rivulet.streaming import state
@@ -236,9 +238,10 @@ def test_collected_lines_stop_at_n_and_survive_a_rerun(spark):
         return spark.range(first, first + n).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") + START).alias("ts"))
 
     sink(batch(0, 8), 0)
+    assert not sink.full
     sink(batch(100, 8), 1)
     sink(batch(100, 8), 1)
-    assert not sink.full
+    assert sink.full
     sink(batch(200, 8), 2)
     got = sorted((int(p), int(i)) for p, i in (r["value"].split("|")[:2] for r in sink.lines(spark).collect()))
     assert got == list(enumerate([*range(8), 100, 101, 102, 103], 1)) and sink.full
@@ -251,3 +254,71 @@ def test_reports_know_reruns_after_a_restart(spark):
     again(spark.range(2), 0)
     again(spark.range(2), 1)
     assert sorted((r["batch_id"], r["rerun"]) for r in again.reports(spark).collect()) == [(0, True), (1, False)]
+
+
+# --- jobs ------------------------------------------------------------------------------------------------
+
+TWEETS = "event_id BIGINT, ts TIMESTAMP, text STRING, friends_count INT, lang STRING"
+
+
+def tweet_folders(spark, tmp_path):
+    rng = random.Random(11)
+    tweets, levels, tags = (Folder(spark, tmp_path / n, s) for n, s in (("tweets", TWEETS), ("levels", MARKS), ("tags", "generation_s BIGINT, tags ARRAY<STRING>")))
+    rows = []
+    for k in range(4):
+        part = [(100 * k + i, when(START + 100 * k + i), f"Click word{rng.randrange(4)} view w{i % 3}", rng.randrange(50), "en") for i in range(60)]
+        rows += part
+        tweets.add(part)
+        levels.add([(START + 100 * k, [25])])
+        tags.add([(START + 100 * k, [["cli"], ["zzz"], ["word1", "w2"], ["view"]][k])])
+    tweets.add([(None, when(FAR), None, None, None)])
+    levels.add([(FAR, None)])
+    return rows, tweets, levels, tags
+
+
+def test_popular_words_job_runs_side_by_side_and_goes_on(spark, tmp_path):
+    rows, tweets, levels, tags = tweet_folders(spark, tmp_path)
+    offered = [["cli"], ["zzz"], ["word1", "w2"], ["view"]]
+    folder = fresh_path(spark, "topology")
+
+    def want():
+        table = spark.createDataFrame(rows, TWEETS).withColumn("ts_s", F.unix_seconds("ts"))
+        times = sorted({r[1].timestamp() // 100 * 100 for r in rows})
+        marks = spark.createDataFrame([(int(t), [25]) for t in times], MARKS)
+        offers = spark.createDataFrame([(int(t), tags) for t, tags in zip(times, offered)], "generation_s BIGINT, tags ARRAY<STRING>")
+        popular, _ = words.popular_words_pipeline(control.asof_latest(table, marks, "thresholds"), offers, ["view"])
+        return sorted((r["generation_s"], r["place"], r["word"], r["cnt"]) for r in popular.collect())
+
+    def run_until(expected):
+        queries = jobs.popular_words_stream_job(
+            tweets.stream(), levels.stream(), tags.stream(), ["view"], folder, 30, trigger={"processingTime": "100 milliseconds"}
+        )
+        deadline, got = time.time() + 240, []
+        while len(got) < len(expected) and time.time() < deadline and all(q.isActive for q in queries):
+            time.sleep(1)
+            got = jobs.popular_table(folder).rows(spark).collect()
+        for query in queries:
+            query.stop()
+        assert sorted((r["generation_s"], r["place"], r["word"], r["cnt"]) for r in got) == expected
+
+    run_until(want())
+    late = FAR + 1000  # a generation after the heartbeat, and a second heartbeat
+    part = [(900 + i, when(late + i), "word9 one", 3, "en") for i in range(5)]
+    rows.extend(part)
+    offered.append(["ord9"])
+    tweets.add(part)
+    levels.add([(late, [25])])
+    tags.add([(late, ["ord9"])])
+    tweets.add([(None, when(late + 9000), None, None, None)])
+    levels.add([(late + 9000, None)])
+    run_until(want())
+
+
+def test_collect_job_stops_when_it_has_enough(spark, tmp_path):
+    rows, tweets, _, _ = tweet_folders(spark, tmp_path)
+    query, sink = jobs.collect_stream_job(tweets.stream(), fresh_path(spark, "collected"), ["click word1"], 20, 200, trigger={"processingTime": "100 milliseconds"})
+    sink.drain(query)
+    assert not query.isActive
+    wanted = [r[0] for r in rows if "word1" in r[2]][:20]
+    lines = sink.lines(spark).collect()
+    assert sorted(int(r["value"].split("|")[1]) for r in lines) == wanted and len({(r["batch_id"], r["file"]) for r in lines}) > 2

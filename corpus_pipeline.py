@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.llm import bpe, decontaminate, jaccard, langid, linedup
-from rivulet.runtime import fresh_path
+from rivulet.runtime import delete_folder, fresh_path
 
 #: Documents whose language is less certain than this go.
 LEAST_SCORE = 0.5
@@ -69,9 +69,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage is written and read back; what an earlier stage wrote is deleted once the next one has read it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
         path = fresh_path(spark, f"pipeline-{name.lower().replace(' ', '-')}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        try:
+            stage(spark, docs, sf_dir).write.parquet(path)
+        finally:
+            if before:
+                delete_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

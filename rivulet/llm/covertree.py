@@ -34,7 +34,7 @@ from rivulet.runtime import delete_folder, fresh_path, shuffle_width
 
 PARTS, ENTRIES, ROUNDS, SCALE = 16, 64, 2, 256
 #: Components that a block holds at most, and points below which a node is not divided.
-BLOCK_CELLS, LEAF = 1 << 19, 16
+BLOCK_CELLS, LEAF = 1 << 19, 64
 _LARGEST_FLOAT, _LARGEST_LONG = 3.4028234663852886e38, 2**63 - 1
 _HALF = 1 << 60  # sums travel as two decimals of this base
 _LABELS = 100_000
@@ -64,7 +64,8 @@ class CoverTree:
 
 
 def _apart(points: np.ndarray, centre: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.square(points - centre).sum(axis=1))
+    gap = points - centre
+    return np.sqrt(np.einsum("ij,ij->i", gap, gap))
 
 
 def grow(points: np.ndarray) -> CoverTree:

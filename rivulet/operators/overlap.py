@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.runtime import cut_lineage
+from rivulet.runtime import cut_lineage, shuffle_width
 
 BITS = 32768  # ids per bitmap of the built-in bitmap functions
 
@@ -124,8 +124,55 @@ def most_popular_vertex(vertices: DataFrame, id: str = "id", words: str = "words
 def neighborhood_avg_words(
     vertices: DataFrame, id: str = "id", words: str = "words", count_timestamp: bool = False
 ) -> DataFrame:
-    """Average number of words of a vertex's neighbours; ``count_timestamp`` adds the line's first token."""
+    """Average number of words of a vertex's neighbours; ``count_timestamp`` adds the line's first token.
+
+    No pair is listed: each bitmap is multiplied with the lengths of the ids of its block, and the sums of
+    a vertex's blocks add up.
+    """
     extra = 1 if count_timestamp else 0
-    lengths = vertices.select(F.col(id).alias("dst"), (F.size(words) + extra).alias("_n"))
-    pairs = neighbor_bitmaps(word_sets(vertices, id, words)).mapInArrow(_unpack, "src BIGINT, dst BIGINT")
-    return pairs.join(lengths, "dst").groupBy(F.col("src").alias("id")).agg(F.avg("_n").alias("avg_words"))
+    lengths = vertices.select(F.col(id).alias("id"), (F.size(words) + extra).cast("bigint").alias("_own"))
+    sums = _block_sums(neighbor_bitmaps(word_sets(vertices, id, words)), lengths.withColumnRenamed("_own", "value"))
+    totals = sums.groupBy("id").agg(F.sum("total").alias("_total"), F.sum("n").alias("_n"))
+    others = totals.join(lengths, "id").where(F.col("_n") > 1)  # a vertex is in its own bitmaps
+    return others.select("id", ((F.col("_total") - F.col("_own")) / (F.col("_n") - 1)).alias("avg_words"))
+
+
+def _block_sums(bitmaps: DataFrame, values: DataFrame) -> DataFrame:
+    """Per row of ``bitmaps`` the sum and number of the ``values (id, value)`` of its ids: ``(id, total, n)``.
+
+    The values of a block come first among the rows of the block, as one array per salt, so that a task
+    streams its bitmaps past one array and a block with very many bitmaps is spread.
+    """
+    spark = bitmaps.sparkSession
+    width = shuffle_width(spark)
+    place = F.col("id") + 1
+    cells = F.struct(F.bitmap_bit_position(place).cast("int").alias("at"), "value")
+    packed = values.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.collect_list(cells).alias("cells"))
+    salt = F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("salt")
+    first = packed.select("block", salt, F.lit(0).alias("turn"), F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("binary").alias("bits"), "cells")
+    then = bitmaps.select(
+        "block", F.pmod(F.xxhash64("id"), F.lit(width)).cast("int").alias("salt"), F.lit(1).alias("turn"), "id", "bits",
+        F.lit(None).cast(first.schema["cells"].dataType).alias("cells"),
+    )
+    lined = first.unionByName(then).repartition(width, "block", "salt").sortWithinPartitions("block", "salt", "turn")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.zeros(BITS)
+        for batch in batches:
+            turns = batch.column(0).to_numpy()
+            for at in np.split(np.arange(len(turns)), np.flatnonzero(turns == 0)):
+                if len(at) and turns[at[0]] == 0:
+                    cells = batch.column(3)[int(at[0])].values
+                    known = np.zeros(BITS)
+                    known[cells.field("at").to_numpy()] = cells.field("value").to_numpy()
+                    at = at[1:]
+                for piece in np.array_split(at, -(-len(at) // _ROWS)) if len(at) else []:
+                    part = batch.slice(int(piece[0]), len(piece))
+                    packed_bits = np.frombuffer(b"".join(part.column(2).to_pylist()), dtype=np.uint8).reshape(len(piece), -1)
+                    bits = np.unpackbits(packed_bits, axis=1, bitorder="little")
+                    totals = (bits @ known).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(1), pa.array(totals), pa.array(bits.sum(axis=1, dtype=np.int64))], ["id", "total", "n"]
+                    )
+
+    return lined.select("turn", "id", "bits", "cells").mapInArrow(run, "id bigint, total bigint, n bigint")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.operators.linalg import nonzeros, sparse_dot
-from rivulet.runtime import BucketedCopy, cut_lineage, fresh_path, shuffle_width
+from rivulet.runtime import BucketedCopy, cut_lineage, delete_folder, fresh_path, shuffle_width
 
 
 def minibatch_assign(
@@ -26,15 +26,20 @@ def minibatch_assign(
     return examples.withColumn("batch", F.pmod(mixed, F.lit(n_batches)).cast("bigint"))
 
 
-def batched_table(examples: DataFrame) -> DataFrame:
+class BatchedTable:
     """``examples`` written once by ``batch``, so that a step reads its own batch only.
 
-    The files are balanced by size at run time: a small batch is one file, a large one many.
+    The files are balanced by size at run time: a small batch is one file, a large one many. ``drop`` deletes them.
     """
-    spark = examples.sparkSession
-    path = fresh_path(spark, "batches")
-    examples.hint("rebalance", "batch").write.partitionBy("batch").parquet(path)
-    return spark.read.schema(examples.schema).parquet(path)
+
+    def __init__(self, examples: DataFrame):
+        self.spark = examples.sparkSession
+        self.path = fresh_path(self.spark, "batches")
+        examples.hint("rebalance", "batch").write.partitionBy("batch").parquet(self.path)
+        self.table = self.spark.read.schema(examples.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        delete_folder(self.spark, self.path)
 
 
 def empty_model(spark: SparkSession) -> DataFrame:
@@ -76,11 +81,14 @@ def sync_sgd(
     ``examples`` carry ``batch``; step ``s`` takes batch ``s % n_batches``. The model is written after
     every step because the next one reads it twice.
     """
-    table = batched_table(examples)
+    batches = BatchedTable(examples)
     model = empty_model(examples.sparkSession)
-    for step in range(steps):
-        rows = table.where(F.col("batch") == step % n_batches)
-        model = cut_lineage(apply_gradient(model, gradient(rows, model, init), eta, init))
+    try:
+        for step in range(steps):
+            rows = batches.table.where(F.col("batch") == step % n_batches)
+            model = cut_lineage(apply_gradient(model, gradient(rows, model, init), eta, init))
+    finally:
+        batches.drop()
     return model
 
 

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.sgd import batched_table
+from rivulet.operators.sgd import BatchedTable
 from rivulet.runtime import cut_lineage
 
 SMALL_MODEL_CELLS = 1_000_000
@@ -124,8 +124,17 @@ def train_metrics(
     The learning rate of epoch ``T`` (from 0) is ``init_lr * lr_decay ** T``. A model of up to ``small_cells``
     numbers moves between driver and tasks in every step, whatever the row count; a larger one is a table.
     """
-    spark = examples.sparkSession
-    table = batched_table(examples)
+    batches = BatchedTable(examples)
+    try:
+        return cut_lineage(_train(batches.table, n_features, n_classes, n_batches, epochs, init_lr, lr_decay, small_cells))
+    finally:
+        batches.drop()
+
+
+def _train(
+    table: DataFrame, n_features: int, n_classes: int, n_batches: int, epochs: int, init_lr: float, lr_decay: float, small_cells: int
+) -> DataFrame:
+    spark = table.sparkSession
     small = n_features * n_classes <= small_cells
     matrix = np.zeros((n_features, n_classes))
     cells = None

@@ -59,6 +59,14 @@ overlap AS (
   FROM pairs JOIN vw s ON s.id = src JOIN vw d ON d.id = dst)"""
 
 
+def document_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as vertices; their ids have gaps and so span several bitmap blocks."""
+    return documents(spark, sf_dir).select((F.col("doc_id") * 10).alias("id"), words_of("text").alias("words"))
+
+
+SQL_DOCUMENT_OVERLAP = SQL_OVERLAP.replace("item_id AS id", "doc_id * 10 AS id").replace("FROM benchmark", "FROM documents")
+
+
 # --- text ------------------------------------------------------------------------------------------
 
 def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,12 +100,22 @@ def neighborhood_avg_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return averages.select("id", F.round("avg_words", 6).alias("avg_words"))
 
 
+def most_linked_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.most_popular_vertex(fr.document_vertices(spark, sf_dir))
+
+
+def document_neighborhood_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    averages = overlap.neighborhood_avg_words(fr.document_vertices(spark, sf_dir))
+    return averages.select("id", F.round("avg_words", 6).alias("avg_words"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         edge_list_scan, edge_vertices, adjacency_lists, graph_out_degrees, graph_triplets, aggregate_messages,
         pagerank_rdd, pagerank_range, pagerank_cached, pagerank_preview, pagerank_graph,
         word_overlap_edges, edge_compare_count, most_popular_vertex, neighborhood_avg_words,
+        most_linked_document, document_neighborhood_words,
     )
 }
 
@@ -137,6 +147,9 @@ def _pagerank_sql(iterations: int, final: str, keep: bool) -> str:
 
 
 _RANKS = "SELECT id, rank FROM ranks"
+_MOST_LINKED = """SELECT src AS id, count(*) AS degree, any_value(src_n) AS n_words FROM overlap
+  GROUP BY src ORDER BY degree DESC, n_words DESC, id LIMIT 1"""
+_AVERAGES = "SELECT src AS id, round(avg(dst_n), 6) AS avg_words FROM overlap GROUP BY src"
 _DEGREE = "degree AS (SELECT id, (SELECT count(*) FROM links WHERE src = id) AS out_degree FROM vertices)"
 
 ORACLES = {
@@ -178,12 +191,8 @@ ORACLES = {
     "edge_compare_count": with_sql(
         fr.SQL_OVERLAP, select="SELECT count(*) AS n_edges FROM overlap WHERE src_n > dst_n"
     ),
-    "most_popular_vertex": with_sql(
-        fr.SQL_OVERLAP,
-        select="""SELECT src AS id, count(*) AS degree, any_value(src_n) AS n_words FROM overlap
-          GROUP BY src ORDER BY degree DESC, n_words DESC, id LIMIT 1""",
-    ),
-    "neighborhood_avg_words": with_sql(
-        fr.SQL_OVERLAP, select="SELECT src AS id, round(avg(dst_n), 6) AS avg_words FROM overlap GROUP BY src"
-    ),
+    "most_popular_vertex": with_sql(fr.SQL_OVERLAP, select=_MOST_LINKED),
+    "neighborhood_avg_words": with_sql(fr.SQL_OVERLAP, select=_AVERAGES),
+    "most_linked_document": with_sql(fr.SQL_DOCUMENT_OVERLAP, select=_MOST_LINKED),
+    "document_neighborhood_words": with_sql(fr.SQL_DOCUMENT_OVERLAP, select=_AVERAGES),
 }

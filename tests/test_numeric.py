@@ -95,7 +95,7 @@ def test_a_wide_step_moves_partial_sums_only(spark):
 @pytest.mark.parametrize("side, limit", [(4, 1 << 20), (5, 160), (3, 1)])
 def test_traces_strip_by_strip_equal_numpy(spark, side, limit):
     matrix = np.random.default_rng(2).integers(-3, 4, (13, 13)).astype(float)
-    cells = [(i, j, matrix[i, j] / 2) for i in range(13) for j in range(13) if matrix[i, j]] * 2  # repeated cells add up
+    cells = [(i, j, float(matrix[i, j]) / 2) for i in range(13) for j in range(13) if matrix[i, j]] * 2  # repeated cells add up
     df = spark.createDataFrame(cells, "i BIGINT, j BIGINT, v DOUBLE")
     assert linalg.strip_trace(df, side, limit).first().trace == pytest.approx(np.trace(matrix @ matrix))
     assert linalg.strip_trace(df.limit(0), side).first().trace == 0

@@ -10,6 +10,7 @@ from rivulet.operators.ordering import running_max_before
 
 def burst_columns() -> list[Column]:
     interval = F.floor((F.col("end_s") - F.col("start_s")) / 60).cast("bigint")
+    # Fixed value: the text form of a window that users of burst reports parse.
     line = F.format_string(
         "TimeWindow{start=%d, end=%d} interval=%d Count: %d Type: (%s)",
         "start_s", "end_s", interval, "cnt", "action",

@@ -198,6 +198,7 @@ tagged AS (
 
 def sql_tweet_words(source: str, columns: str) -> str:
     """CTE ``tw`` with one row per kept word of ``source``."""
+    # The signs a word keeps, the mark of a mention and the beginning of a link, as in ``operators/words.py``.
     stop = ", ".join(f"'{w}'" for w in TEST_STOP_WORDS)
     return rf"""split AS (
   SELECT {columns}, string_split_regex(regexp_replace(text, '[ \t\n\x0B\f\r]+$', ''), {SQL_SPACE}) AS parts

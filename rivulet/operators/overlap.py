@@ -1,65 +1,176 @@
-"""Vertices that share a word, found through posting bitmaps instead of pairwise comparison.
+"""Vertices that share a word, found tile by tile instead of pairwise comparison.
 
-A word in few vertices is expanded to its (small) pairs. For a word in many, the vertices that hold it
-are packed into bitmaps of 32768 ids, and a vertex takes the union of the bitmaps of its words. No
-step emits more rows for a frequent word than vertices holding it times bitmap blocks.
+A tile is a block of vertices against a part of all vertices. Both come as packed lists of word numbers; the
+task turns the block's into one posting per word, a bitmap over the block for a word in many of its vertices
+and a list for one in few, and a vertex takes the union of the postings of its words. What leaves a tile is the
+number and the sum asked for, or the pairs; no bitmap is shuffled, and a list moves once per block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.runtime import cut_lineage, shuffle_width
+from rivulet.runtime import delete_folder, fresh_path, shuffle_width
 
 BITS = 32768  # ids per bitmap of the built-in bitmap functions
+BLOCK = 131072  # vertices of a block of a tile, about
 
 
 def word_sets(vertices: DataFrame, id: str = "id", words: str = "words") -> DataFrame:
     """``(id, n_words, word)``: distinct words of each vertex; the length counts repeated words."""
-    return vertices.select(
-        F.col(id).alias("id"),
-        F.size(words).cast("bigint").alias("n_words"),
-        F.explode(F.array_distinct(words)).alias("word"),
-    )
+    counted = vertices.select(F.col(id).alias("id"), F.size(words).cast("bigint").alias("n_words"), F.array_distinct(words).alias("_once"))
+    return counted.select("id", "n_words", F.explode("_once").alias("word"))
 
 
-def neighbor_bitmaps(members: DataFrame, key: str = "word", light: int = 32) -> DataFrame:
-    """Per vertex, the ids that share a ``key`` with it, itself included: ``(id, block, bits)``.
+def _numbered(members: DataFrame, key: str) -> DataFrame:
+    """``(id, nos)``: per vertex the numbers of its keys that another row holds as well; written.
 
-    ``members`` holds each (id, key) once; ids are longs from 0, best dense. A key in at most ``light``
-    vertices goes through a self-join, a more frequent one through bitmaps.
+    Numbers are small for frequent keys: the place in the key's partition, times the number of partitions, plus its own.
     """
-    frequency = members.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    keyed = cut_lineage(members.select("id", key).join(frequency, key))
-    place = F.col("other") + 1  # the bitmap functions count from 1
-    block, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
-
-    rare = keyed.where(F.col("_n") <= light).select("id", key)
-    rare_bits = (
-        rare.join(rare.withColumnRenamed("id", "other"), key)
-        .groupBy("id", block.alias("block"))
-        .agg(F.bitmap_construct_agg(bit).alias("bits"))
-    )
-    common = keyed.where(F.col("_n") > light).select("id", key)
-    postings = (
-        common.withColumnRenamed("id", "other")
-        .groupBy(key, block.alias("block"))
-        .agg(F.bitmap_construct_agg(bit).alias("bits"))
-    )
-    common_bits = common.join(postings, key).select("id", "block", "bits")
-    return (
-        rare_bits.unionByName(common_bits)
-        .groupBy("id", "block")
-        .agg(F.bitmap_or_agg("bits").alias("bits"))
-    )
+    spark = members.sparkSession
+    shared = members.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    row = F.monotonically_increasing_id()
+    number = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) * shuffle_width(spark) + F.shiftright("_row", 33)
+    placed = shared.sortWithinPartitions(F.desc("_n")).select(key, row.alias("_row")).select(key, number.cast("int").alias("_no"))
+    names, lists = fresh_path(spark, "numbers"), fresh_path(spark, "numbered")
+    placed.write.parquet(names)  # a recomputation could number them otherwise
+    packed = members.where(F.col("id").isNotNull()).select("id", key).join(spark.read.parquet(names), key).groupBy("id")
+    packed.agg(F.sort_array(F.collect_set("_no")).alias("nos")).write.parquet(lists)
+    delete_folder(spark, names)
+    return spark.read.parquet(lists)
+
+
+class _Block:
+    """The postings of a block of vertices: ``held`` maps each to its place, ``planes`` are the bits of their values."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, nos: np.ndarray, values: np.ndarray, light: int | None):
+        self.ids, self.width = ids, -(-len(ids) // 64) * 64
+        place = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        order = np.argsort(nos, kind="stable")
+        self.words, self.starts, counts = np.unique(nos[order], return_index=True, return_counts=True)
+        self.places, self.ends = place[order], self.starts + counts
+        often = np.flatnonzero(counts > (self.width // 32 if light is None else light))
+        self.row = np.full(len(self.words), -1)
+        self.row[often] = np.arange(len(often))
+        self.bits = np.zeros((len(often), self.width // 64), dtype=np.uint64)
+        for row, word in enumerate(often.tolist()):
+            self.bits[row] = self._packed(self.places[self.starts[word] : self.ends[word]])
+        self.planes = np.array([self._packed(np.flatnonzero(values >> k & 1)) for k in range(int(values.max(initial=1)).bit_length())])
+        self.weights = 1 << np.arange(len(self.planes), dtype=np.int64)
+
+    def _packed(self, places: np.ndarray) -> np.ndarray:
+        flags = np.zeros(self.width, dtype=np.uint8)
+        flags[places] = 1
+        return np.packbits(flags, bitorder="little").view(np.uint64)
+
+    def linked(self, nos: np.ndarray) -> np.ndarray:
+        """The bitmap of the block's vertices that hold one of ``nos``."""
+        at = np.searchsorted(self.words, nos)
+        at = at[at < len(self.words)] if len(at) and at[-1] == len(self.words) else at
+        at = at[self.words[at] == nos[: len(at)]]
+        rows = self.row[at]
+        found = np.bitwise_or.reduce(self.bits[rows[rows >= 0]], axis=0)
+        rare = at[rows < 0]
+        if len(rare):
+            flags = np.unpackbits(found.view(np.uint8), bitorder="little")
+            flags[np.concatenate([self.places[a:b] for a, b in zip(self.starts[rare].tolist(), self.ends[rare].tolist())])] = 1
+            found = np.packbits(flags, bitorder="little").view(np.uint64)
+        return found
+
+
+def _sums(block: _Block, ids: np.ndarray, found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    totals = [int(np.bitwise_count(block.planes & bits).sum(axis=1, dtype=np.int64) @ block.weights) for bits in found]
+    counts = [int(np.bitwise_count(bits).sum(dtype=np.int64)) for bits in found]
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(totals, pa.int64()), pa.array(counts, pa.int64())], ["id", "total", "n"])
+
+
+def _pairs(block: _Block, ids: np.ndarray, found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for id, bits in zip(ids.tolist(), found):
+        others = block.ids[np.flatnonzero(np.unpackbits(bits.view(np.uint8), bitorder="little"))]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(others), id)), pa.array(others)], ["src", "dst"])
+
+
+_ROWS = 64  # rows worked off at a time
+_SUMS = "id BIGINT, total BIGINT, n BIGINT"
+
+
+def _tiles(
+    members: DataFrame, key: str, give: Callable[[_Block, np.ndarray, list[np.ndarray]], Iterator[pa.RecordBatch]],
+    schema: str, values: DataFrame | None = None, light: int | None = None,
+) -> DataFrame:
+    """What ``give`` makes of each vertex of ``members (id, key)`` and each block of vertices: those that share a key
+    with it, itself included. ``values (id, value)`` are whole numbers from 0.
 
+    Vertices are spread over blocks by a hash of their id, and over parts by another if there are fewer blocks than tasks.
+    """
+    numbered = _numbered(members, key)
+    width = shuffle_width(members.sparkSession)
+    blocks = max(1, -(-numbered.count() // BLOCK))
+    while blocks * blocks < width and blocks < -(-width // blocks):  # few blocks and many parts would move more
+        blocks += 1
+    parts = max(1, -(-width // blocks))
+    valued = numbered.withColumn("value", F.lit(0).cast("bigint"))
+    if values is not None:
+        one = values.groupBy("id").agg(F.max("value").cast("bigint").alias("value"))
+        valued = numbered.join(one, "id", "left").withColumn("value", F.coalesce("value", F.lit(0).cast("bigint")))
+
+    def every(n: int, name: str):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+
+    def one_of(n: int, seed: int, name: str):
+        return F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(n)).cast("int").alias(name)
+
+    held = valued.select(one_of(blocks, 1, "block"), every(parts, "part"), F.lit(0).alias("turn"), "id", "nos", "value")
+    asked = valued.select(every(blocks, "block"), one_of(parts, 2, "part"), F.lit(1).alias("turn"), "id", "nos", F.lit(0).cast("bigint").alias("value"))
+    tile = F.col("block") * parts + F.col("part")
+    lined = held.unionByName(asked).select(tile.alias("tile"), "turn", "id", "nos", "value")
+    lined = lined.repartitionById(blocks * parts, "tile").sortWithinPartitions("tile", "turn")
 
-_ROWS = 64  # bitmaps unpacked at a time: 2 MB of bits
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, pieces, block = None, [], None
+        for batch in batches:
+            tiles, turns = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.flatnonzero((tiles[1:] != tiles[:-1]) | (turns[1:] != turns[:-1])) + 1
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(tiles)]):
+                part = batch.slice(low, high - low)
+                if tiles[low] != now:
+                    now, pieces, block = tiles[low], [], None
+                ids, lists = part.column(2).to_numpy(), part.column(3)
+                sizes, nos = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
+                if turns[low] == 0:
+                    pieces.append((ids, sizes, nos, part.column(4).to_numpy()))
+                    continue
+                if block is None and pieces:
+                    block, pieces = _Block(*map(np.concatenate, zip(*pieces)), light), []
+                if block is None:
+                    continue  # no vertex lies in this block
+                each = np.split(nos, np.cumsum(sizes)[:-1])
+                for at in range(0, len(ids), _ROWS):
+                    yield from give(block, ids[at : at + _ROWS], [block.linked(some) for some in each[at : at + _ROWS]])
+
+    return lined.mapInArrow(run, schema)
+
+
+def _linked_pairs(members: DataFrame, key: str = "word", light: int | None = None) -> DataFrame:
+    """``(src, dst)``: each ordered pair that shares a ``key`` once, and each vertex that shares one with itself."""
+    return _tiles(members, key, _pairs, "src BIGINT, dst BIGINT", light=light)
+
+
+def neighbor_bitmaps(members: DataFrame, key: str = "word", light: int | None = None) -> DataFrame:
+    """Per vertex, the ids that share a ``key`` with it, itself included: ``(id, block, bits)``.
+
+    ``members`` holds (id, key) rows; ids are longs from 0. A key in at most ``light`` vertices of a block of a
+    tile is kept as a list there, a more frequent one as a bitmap; by default each takes the smaller form.
+    """
+    place = F.col("dst") + 1  # the bitmap functions count from 1
+    return _linked_pairs(members, key, light).groupBy(F.col("src").alias("id"), F.bitmap_bucket_number(place).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +192,7 @@ def overlap_edges(vertices: DataFrame, id: str = "id", words: str = "words") ->
     """
     members = word_sets(vertices, id, words)
     lengths = vertices.select(F.col(id).alias("id"), F.size(words).cast("bigint").alias("n_words"))
-    pairs = neighbor_bitmaps(members).mapInArrow(_unpack, "src BIGINT, dst BIGINT")
+    pairs = _linked_pairs(members).where("src <> dst")
     attr = F.when(F.col("_src_words") > F.col("_dst_words"), 1).otherwise(2).cast("bigint")
     return (
         pairs.join(lengths.select(F.col("id").alias("src"), F.col("n_words").alias("_src_words")), "src")
@@ -92,9 +203,7 @@ def overlap_edges(vertices: DataFrame, id: str = "id", words: str = "words") ->
 
 def overlap_degrees(members: DataFrame, key: str = "word") -> DataFrame:
     """Number of other vertices sharing a ``key``, without listing the pairs; vertices with none are absent."""
-    counted = neighbor_bitmaps(members, key).groupBy("id").agg(
-        (F.sum(F.bitmap_count("bits")) - 1).alias("degree")
-    )
+    counted = _tiles(members, key, _sums, _SUMS).groupBy("id").agg((F.sum("n") - 1).alias("degree"))
     return counted.where(F.col("degree") > 0)
 
 
@@ -126,53 +235,12 @@ def neighborhood_avg_words(
 ) -> DataFrame:
     """Average number of words of a vertex's neighbours; ``count_timestamp`` adds the line's first token.
 
-    No pair is listed: each bitmap is multiplied with the lengths of the ids of its block, and the sums of
-    a vertex's blocks add up.
+    No pair is listed: in each tile the bits of the linked vertices meet the bits of their lengths, and the sums
+    of a vertex's tiles add up.
     """
     extra = 1 if count_timestamp else 0
     lengths = vertices.select(F.col(id).alias("id"), (F.size(words) + extra).cast("bigint").alias("_own"))
-    sums = _block_sums(neighbor_bitmaps(word_sets(vertices, id, words)), lengths.withColumnRenamed("_own", "value"))
+    sums = _tiles(word_sets(vertices, id, words), "word", _sums, _SUMS, lengths.withColumnRenamed("_own", "value"))
     totals = sums.groupBy("id").agg(F.sum("total").alias("_total"), F.sum("n").alias("_n"))
-    others = totals.join(lengths, "id").where(F.col("_n") > 1)  # a vertex is in its own bitmaps
+    others = totals.join(lengths, "id").where(F.col("_n") > 1)  # a vertex is in its own tiles
     return others.select("id", ((F.col("_total") - F.col("_own")) / (F.col("_n") - 1)).alias("avg_words"))
-
-
-def _block_sums(bitmaps: DataFrame, values: DataFrame) -> DataFrame:
-    """Per row of ``bitmaps`` the sum and number of the ``values (id, value)`` of its ids: ``(id, total, n)``.
-
-    The values of a block come first among the rows of the block, as one array per salt, so that a task
-    streams its bitmaps past one array and a block with very many bitmaps is spread.
-    """
-    spark = bitmaps.sparkSession
-    width = shuffle_width(spark)
-    place = F.col("id") + 1
-    cells = F.struct(F.bitmap_bit_position(place).cast("int").alias("at"), "value")
-    packed = values.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.collect_list(cells).alias("cells"))
-    salt = F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("salt")
-    first = packed.select("block", salt, F.lit(0).alias("turn"), F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("binary").alias("bits"), "cells")
-    then = bitmaps.select(
-        "block", F.pmod(F.xxhash64("id"), F.lit(width)).cast("int").alias("salt"), F.lit(1).alias("turn"), "id", "bits",
-        F.lit(None).cast(first.schema["cells"].dataType).alias("cells"),
-    )
-    lined = first.unionByName(then).repartition(width, "block", "salt").sortWithinPartitions("block", "salt", "turn")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.zeros(BITS)
-        for batch in batches:
-            turns = batch.column(0).to_numpy()
-            for at in np.split(np.arange(len(turns)), np.flatnonzero(turns == 0)):
-                if len(at) and turns[at[0]] == 0:
-                    cells = batch.column(3)[int(at[0])].values
-                    known = np.zeros(BITS)
-                    known[cells.field("at").to_numpy()] = cells.field("value").to_numpy()
-                    at = at[1:]
-                for piece in np.array_split(at, -(-len(at) // _ROWS)) if len(at) else []:
-                    part = batch.slice(int(piece[0]), len(piece))
-                    packed_bits = np.frombuffer(b"".join(part.column(2).to_pylist()), dtype=np.uint8).reshape(len(piece), -1)
-                    bits = np.unpackbits(packed_bits, axis=1, bitorder="little")
-                    totals = (bits @ known).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(1), pa.array(totals), pa.array(bits.sum(axis=1, dtype=np.int64))], ["id", "total", "n"]
-                    )
-
-    return lined.select("turn", "id", "bits", "cells").mapInArrow(run, "id bigint, total bigint, n bigint")

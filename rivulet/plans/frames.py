@@ -236,7 +236,9 @@ def word_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents as ±1 examples: a feature per word, a number made of its digest, with its share of the words."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, 1.0).otherwise(-1.0).alias("label"))
     found = F.filter(F.split(F.lower(letters_only("text")), WHITESPACE), lambda w: w != "")
-    words = documents(spark, sf_dir).join(labels, "doc_id").select("doc_id", "label", F.size(found).alias("_n"), F.explode(found).alias("word"))
+    # the words are counted before they are given out: in one step the text would be cut again for every word of it
+    cut = documents(spark, sf_dir).join(labels, "doc_id").select("doc_id", "label", found.alias("_found"))
+    words = cut.select("doc_id", "label", F.size("_found").alias("_n"), "_found").select("doc_id", "label", "_n", F.explode("_found").alias("word"))
     index = F.conv(F.substring(F.md5("word"), 1, 15), 16, 10).cast("bigint")
     counted = words.groupBy("doc_id", "label", "_n", index.alias("index")).agg(F.count(F.lit(1)).alias("_k"))
     entry = F.struct("index", (F.col("_k") / F.col("_n")).alias("value"))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.runtime import shuffle_width
+
 
 def random_matrix(spark: SparkSession, n: int, seed: int = 1024, partitions: int | None = None) -> DataFrame:
     """``(i, j, v)``: an ``n`` by ``n`` matrix, uniform in [0, 1), the same however it is partitioned."""
@@ -89,28 +92,73 @@ def strip_trace(cells: DataFrame, side: int, max_bytes: int = 16 << 20) -> DataF
     """
     rows = max(1, min(side, max_bytes // (2 * 8 * side)))
     summed = cells.groupBy(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j")).agg(F.sum("v").alias("v"))
-
-    def half(line: str, across: str, lower: bool) -> DataFrame:
-        """Cells by the block above the diagonal they belong to: as they are, or transposed."""
-        low, high = F.floor(F.col(line) / side), F.floor(F.col(across) / side)
-        inside = F.pmod(F.col(line), F.lit(side))
-        place = F.pmod(inside, F.lit(rows)) * side + F.pmod(F.col(across), F.lit(side))
-        return summed.where(low <= high).select(
-            low.alias("lo"), high.alias("hi"), F.floor(inside / rows).alias("strip"),
-            place.alias("place"), F.lit(lower).alias("lower"), "v",
-        )
-
-    def product(frame: pd.DataFrame) -> pd.DataFrame:
-        strips = np.zeros((2, rows * side))
-        strips[frame["lower"].to_numpy().astype(int), frame["place"].to_numpy()] = frame["v"].to_numpy(dtype=float)
-        twice = 2.0 if frame["lo"].iloc[0] < frame["hi"].iloc[0] else 1.0
-        return pd.DataFrame({"part": [twice * float(strips[0] @ strips[1])]})
-
-    halves = half("i", "j", False).unionByName(half("j", "i", True))
-    parts = halves.groupBy("lo", "hi", "strip").applyInPandas(product, "part DOUBLE")
+    i, j = F.col("i"), F.col("j")
+    bi, bj = F.floor(i / side), F.floor(j / side)
+
+    def half(line: Column, across: Column, lower: bool) -> Column:
+        """A cell by the block above the diagonal it belongs to: as it is, or transposed."""
+        low, high, inside = F.floor(line / side), F.floor(across / side), F.pmod(line, F.lit(side))
+        place = F.pmod(inside, F.lit(rows)) * side + F.pmod(across, F.lit(side))
+        return F.struct(low.alias("lo"), high.alias("hi"), F.floor(inside / rows).alias("strip"), place.alias("place"), F.lit(lower).alias("lower"))
+
+    halves = F.array_compact(F.array(F.when(bi <= bj, half(i, j, False)), F.when(bj <= bi, half(j, i, True))))
+    width = shuffle_width(cells.sparkSession)
+    lined = (
+        summed.select(F.explode(halves).alias("_h"), "v").select("_h.*", "v")
+        .repartition(width, "lo", "hi", "strip")
+        .sortWithinPartitions("lo", "hi", "strip")
+    )
+    parts = lined.mapInArrow(_strip_products(rows * side), "part DOUBLE")
     return parts.agg(F.coalesce(F.sum("part"), F.lit(0.0)).alias("trace"))
 
 
+def _strip_products(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The products of the pairs of strips in rows sorted by strip ``(lo, hi, strip, place, lower, v)``.
+
+    A strip with an eighth of its places filled or more is multiplied in one dense pair of arrays, used again for each.
+    The emptier ones of a batch are multiplied together, in a pair of arrays of the places that are filled.
+    """
+
+    def product(strip: np.ndarray, place: np.ndarray, lower: np.ndarray, v: np.ndarray, twice: np.ndarray, dense: np.ndarray) -> float:
+        total = 0.0
+        starts = np.flatnonzero(np.r_[True, strip[1:] != strip[:-1]])
+        counts = np.diff(np.r_[starts, len(strip)])
+        full = counts * 8 >= size
+        for at, n in zip(starts[full].tolist(), counts[full].tolist()):
+            here = slice(at, at + n)
+            dense[lower[here], place[here]] = v[here]
+            total += twice[at] * float(dense[0] @ dense[1])
+            dense[lower[here], place[here]] = 0.0
+        thin = np.repeat(~full, counts)
+        if thin.any():
+            filled, at = np.unique(strip[thin] * size + place[thin], return_inverse=True)
+            pair, factor = np.zeros((2, len(filled))), np.zeros(len(filled))
+            pair[lower[thin], at], factor[at] = v[thin], twice[thin]
+            total += float((factor * pair[0]) @ pair[1])
+        return total
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense, rest = np.zeros((2, size)), None
+        for batch in batches:
+            lo, hi, strips, place, lower, v = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            some = [lo, hi, strips, place, lower.astype(np.intp), v.astype(float)]
+            some = some if rest is None else [np.concatenate(both) for both in zip(rest, some)]
+            lo, hi, strips, place, lower, v = some
+            new = np.r_[True, (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]) | (strips[1:] != strips[:-1])]
+            number, last = np.cumsum(new) - 1, int(np.flatnonzero(new)[-1])  # the last strip may go on in the next batch
+            rest = [c[last:] for c in some]
+            if last:
+                twice = np.where(lo < hi, 2.0, 1.0)
+                done = product(number[:last], place[:last], lower[:last], v[:last], twice[:last], dense)
+                yield pa.RecordBatch.from_arrays([pa.array([done])], ["part"])
+        if rest is not None:
+            lo, hi, strips, place, lower, v = rest
+            done = product(np.zeros(len(v), dtype=np.int64), place, lower, v, np.where(lo < hi, 2.0, 1.0), dense)
+            yield pa.RecordBatch.from_arrays([pa.array([done])], ["part"])
+
+    return run
+
+
 def nonzeros(examples: DataFrame, *also: str) -> DataFrame:
     """One row ``(example_id, …, index, value)`` per stored entry of ``examples(example_id, index, value)``."""
     entries = F.explode(F.arrays_zip("index", "value"))

@@ -85,6 +85,13 @@ class RankEdges:
             self._copy = BucketedCopy(shared, *self.keys)
             self.table = self._copy.table
 
+    def keep_sources(self, ids: DataFrame) -> None:
+        """From now on only the edges whose source is in ``ids(id)``, in a smaller copy."""
+        some = self.table.join(ids.select(F.col("id").alias("src")), "src", "left_semi")
+        fewer = BucketedCopy(some, *self.keys)
+        self.close()
+        self._copy, self.table = fewer, fewer.table
+
     def close(self) -> None:
         if self._copy is not None:
             self._copy.drop()
@@ -97,7 +104,8 @@ class RankEdges:
             senders = senders.join(self.hot, "src", "left").select(
                 "src", "rank", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("salt")
             )
-        return self.table.join(senders, self.keys).select(
+        # the ranks of a bucket are fewer than its edges: hashed, so that no step sorts the edges
+        return self.table.join(senders.hint("shuffle_hash"), self.keys).select(
             "dst", (F.col("share") * F.col("rank")).alias("amount")
         )
 
@@ -149,26 +157,28 @@ def pagerank_graph(
     """PageRank in which a vertex without messages keeps its rank and keeps contributing.
 
     Only vertices without in-edges get no messages, so what they send never changes: it is summed
-    once, and the loop follows the other vertices.
+    once, and the loop follows the other vertices and reads their edges only.
     """
     prepared = RankEdges(edges, "hash", max_fanout)
     try:
         sources = prepared.table.select(F.col("src").alias("id")).distinct()
-        receivers = prepared.table.select(F.col("dst").alias("id")).distinct()
+        receivers = cut_lineage(prepared.table.select(F.col("dst").alias("id")).distinct())
         one = F.lit(1.0).alias("rank")
         constant = cut_lineage(
             prepared.contributions(sources.join(receivers, "id", "left_anti").select("id", one))
             .groupBy("dst")
             .agg(F.sum("amount").alias("amount"))
         )
-        ranks = sources.join(receivers, "id", "left_semi").select("id", one)
+        if iterations < 1:
+            targets_only = receivers.join(sources, "id", "left_anti").select("id", F.lit(0.0).alias("rank"))
+            ranks = cut_lineage(sources.join(receivers, "id", "left_semi").select("id", one).unionByName(targets_only))
+        else:
+            prepared.keep_sources(receivers)
+            ranks = prepared.table.select(F.col("src").alias("id")).distinct().select("id", one)
         for step in range(1, iterations + 1):
             ranks = _damped(prepared.contributions(ranks).unionByName(constant))
             if step % checkpoint_every == 0 or step == iterations:
                 ranks = cut_lineage(ranks)
-        if iterations < 1:
-            targets_only = receivers.join(sources, "id", "left_anti").select("id", F.lit(0.0).alias("rank"))
-            ranks = cut_lineage(ranks.unionByName(targets_only))
     finally:
         prepared.close()
     return _completed(prepared.merged, ranks)

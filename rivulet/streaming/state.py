@@ -14,6 +14,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -42,58 +43,87 @@ def _texts(values: Iterable[str | None]) -> pd.Series:
 class LatestControl(StatefulProcessor):
     """Rows of a salt wait until the watermark has passed them, and for the first control value.
 
-    Rows and values travel as JSON, so that types and nulls stay as they are. Kept are the rows that wait,
-    one packed piece per micro-batch, and of the control values the latest at or before the watermark and
-    those after it.
+    Rows and values travel as JSON, so that types and nulls stay as they are. Kept are the rows that wait, in packed
+    pieces that are read one at a time and only once a row of theirs is due, and of the control values the latest at or
+    before the watermark and those after it, as two arrays.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "rows binary")
+        self.waiting = handle.getMapState("waiting", "first bigint, number bigint", "rows binary")
+        self.number = handle.getValueState("number", "pieces bigint")
         self.controls = handle.getValueState("controls", "rows binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pieces, controls = [], self._controls()
+        ticks, held = [], []
+        number, first = self.number.get()[0] if self.number.exists() else 0, None
         for frame in rows:
+            frame = frame[frame["us"].notna()]
             marks = frame[frame["is_control"] & frame["packed"].notna()]  # without a value it is a heartbeat
-            controls.update(zip(marks["us"].tolist(), marks["packed"]))
-            pieces.append(frame[~frame["is_control"]][["us", "packed"]])
-        self.controls.update((pickle.dumps(controls),))
-        fresh = pd.concat(pieces, ignore_index=True)
-        if len(fresh):
-            self.waiting.appendValue((pickle.dumps(fresh),))
-            self._wake(int(fresh["us"].min()), timerValues)
+            if len(marks):
+                ticks.append(marks["us"].to_numpy(dtype=np.int64))
+                held.append(pa.array(marks["packed"], pa.large_string()))
+            fresh = frame[~frame["is_control"]]
+            if len(fresh):
+                earliest = self._put(fresh["us"].to_numpy(dtype=np.int64), pa.array(fresh["packed"], pa.large_string()), number)
+                first, number = earliest if first is None else min(first, earliest), number + 1
+        if ticks:
+            self._add_controls(ticks, held)
+        if first is not None:
+            self.number.update((number,))
+            self._wake(first, timerValues)
         yield pd.DataFrame({"packed": _texts([]), "generation_s": np.empty(0, dtype=np.int64), "held": _texts([])})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000  # nothing at or before this time comes any more
-        pieces = [pickle.loads(row[0]) for row in self.waiting.get()]
-        controls = self._controls()
-        ticks = np.array(sorted(controls), dtype=np.int64)
+        pieces = sorted(self.waiting.keys())
         if not pieces:
             return
-        rows = pd.concat(pieces, ignore_index=True)
+        ticks, held = self._controls()
         known = len(ticks) > 0 and ticks[0] <= now
-        due = (rows["us"] <= now) & known
-        self.waiting.clear()
-        if not due.all():
-            rest = rows[~due]
-            self.waiting.appendValue((pickle.dumps(rest),))
-            self._wake(int(rest["us"].min()), timerValues)
-        if known:
-            at = np.searchsorted(ticks, rows["us"][due].to_numpy(), side="right") - 1
-            taken = ticks[np.maximum(at, 0)]  # rows before the first control value take the first
-            latest = np.searchsorted(ticks, now, side="right") - 1
-            self.controls.update((pickle.dumps({t: controls[t] for t in ticks[latest:].tolist()}),))
+        later = [first for first, _ in pieces if first > now or not known]
+        for first, number in pieces if known else []:
+            if first > now:
+                break
+            us, packed = pickle.loads(self.waiting.getValue((first, number))[0])
+            self.waiting.removeKey((first, number))
+            due = us <= now
+            if not due.all():
+                later.append(self._put(us[~due], packed.filter(pa.array(~due)), number))
+            at = np.maximum(np.searchsorted(ticks, us[due], side="right") - 1, 0)  # rows before the first control value take the first
             yield pd.DataFrame(
                 {
-                    "packed": _texts(rows["packed"][due]), "generation_s": taken // 1_000_000,
-                    "held": _texts(controls[t] for t in taken.tolist()),
+                    "packed": _texts(packed.filter(pa.array(due)).to_pylist()), "generation_s": ticks[at] // 1_000_000,
+                    "held": _texts(held.take(pa.array(at)).to_pylist()),
                 }
             )
-
-    def _controls(self) -> dict[int, str]:
-        return pickle.loads(self.controls.get()[0]) if self.controls.exists() else {}
+        if known:
+            latest = int(np.searchsorted(ticks, now, side="right")) - 1
+            if latest:
+                self._keep_controls(ticks[latest:], held.take(pa.array(np.arange(latest, len(ticks)))))
+        if later:
+            self._wake(min(later), timerValues)
+
+    def _put(self, us: np.ndarray, packed: pa.Array, number: int) -> int:
+        """Keeps a piece of waiting rows; its earliest time."""
+        first = int(us.min())
+        self.waiting.updateValue((first, number), (pickle.dumps((us, packed)),))
+        return first
+
+    def _controls(self) -> tuple[np.ndarray, pa.Array]:
+        if self.controls.exists():
+            return pickle.loads(self.controls.get()[0])
+        return np.empty(0, dtype=np.int64), pa.array([], pa.large_string())
+
+    def _keep_controls(self, ticks: np.ndarray, held: pa.Array) -> None:
+        self.controls.update((pickle.dumps((ticks, held)),))
+
+    def _add_controls(self, ticks: list[np.ndarray], held: list[pa.Array]) -> None:
+        """Adds control values, in the order of their times; of equal times the last one counts."""
+        before, old = self._controls()
+        times, values = np.concatenate([before, *ticks]), pa.concat_arrays([old, *held])
+        distinct, behind = np.unique(times[::-1], return_index=True)
+        self._keep_controls(distinct, values.take(pa.array(len(times) - 1 - behind)))
 
     def _wake(self, us: int, timerValues) -> None:
         """A timer for the first waiting row; for one that only waits for a control value, when time moves on."""

@@ -8,6 +8,7 @@ the way a candidate is written down, and the columns it reads are no features.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -18,8 +19,9 @@ from rivulet.llm.pii import _threshold
 from rivulet.llm.spans import Generator, beside, candidates, changes, ids, share, variety
 from rivulet.runtime import fresh_path
 
-#: Labelled findings of each class that the forest may be trained on, and its size.
-SAMPLE, TREES, DEPTH = 5_000, 20, 6
+#: What the labelled findings of a class may weigh together in the forest and the threshold (all of them take part; of more,
+#: each weighs less), and the forest's size.
+WEIGHT, TREES, DEPTH = 5_000, 20, 6
 #: Share of right findings that the threshold must reach on those kept for calibration.
 PRECISION = 0.98
 _TOKEN = "[A-Za-z0-9_/+=-]"
@@ -100,7 +102,7 @@ def weak_labels(found: DataFrame) -> DataFrame:
 
 
 def find_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = None,
-                 labels: DataFrame | None = None, precision: float = PRECISION, sample: int = SAMPLE) -> DataFrame:
+                 labels: DataFrame | None = None, precision: float = PRECISION, weight: int = WEIGHT) -> DataFrame:
     """Rows ``_id, _hash, _kind, _start, _end, _value, _score, _secret`` for every candidate.
 
     ``labels`` (``_id, _start, _end, _label`` with 0 or 1) replaces the weak labels. Without findings of both
@@ -120,22 +122,28 @@ def find_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", path:
     labelled = table.where(F.col("_label").isNotNull()).dropDuplicates(["_value", "_kind", "_label"]).select(
         *names, F.col("_label").cast("double").alias("label"), F.xxhash64("_value", "_kind").alias("_order")
     )
-    parts = [labelled.where(F.col("label") == label).orderBy("_order").limit(sample) for label in (0.0, 1.0)]
+    labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("_n"))
+    pieces = -(-(sizes.agg(F.max("_n")).first()[0] or 1) // weight)
+    # laid out by label and order, so that the forest draws the same rows in every run
+    laid = labelled.repartitionById(2 * pieces, (F.col("label") * pieces + F.pmod("_order", F.lit(pieces))).cast("int")).sortWithinPartitions("label", "_order")
+    weighed = laid.join(F.broadcast(sizes), "label").withColumn("weight", F.least(F.lit(1.0), F.lit(float(weight)) / F.col("_n")))
     assemble = VectorAssembler(inputCols=names, outputCol="features")
-    bounded = assemble.transform(parts[0].union(parts[1])).select("features", "label", "_order").coalesce(2)
-    bounded.cache()
+    known = assemble.transform(weighed).select("features", "label", "weight", "_order").persist(StorageLevel.MEMORY_AND_DISK)
     calibration = F.pmod("_order", F.lit(4)) == 0
-    if bounded.where(~calibration).select("label").distinct().count() < 2:
-        bounded.unpersist()
+    two = known.where(~calibration).select("label").distinct().count() == 2
+    labelled.unpersist()
+    if not two:
+        known.unpersist()
         certain = F.coalesce(F.col("_label") == 1, F.lit(False))
         return table.withColumn("_score", certain.cast("double")).withColumn("_secret", certain).select(*result)
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=7).fit(bounded.where(~calibration))
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=7, weightCol="weight").fit(known.where(~calibration))
 
     def scored(df: DataFrame) -> DataFrame:
         return forest.transform(df).withColumn("_score", vector_to_array("probability")[1])
 
-    threshold = _threshold(scored(bounded.where(calibration)), precision)
-    bounded.unpersist()
+    threshold = _threshold(scored(known.where(calibration)), precision)
+    known.unpersist()
     return scored(assemble.transform(table.withColumn("_order", order))).withColumn("_secret", F.col("_score") >= threshold).select(*result)
 
 

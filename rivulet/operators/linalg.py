@@ -116,7 +116,8 @@ def _strip_products(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
     """The products of the pairs of strips in rows sorted by strip ``(lo, hi, strip, place, lower, v)``.
 
     A strip with an eighth of its places filled or more is multiplied in one dense pair of arrays, used again for each.
-    The emptier ones of a batch are multiplied together, in a pair of arrays of the places that are filled.
+    The emptier ones of a batch are multiplied together, in a pair of arrays of the places that are filled. A pair
+    of strips with a cell that is no number adds nothing.
     """
 
     def product(strip: np.ndarray, place: np.ndarray, lower: np.ndarray, v: np.ndarray, twice: np.ndarray, dense: np.ndarray) -> float:
@@ -127,14 +128,15 @@ def _strip_products(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
         for at, n in zip(starts[full].tolist(), counts[full].tolist()):
             here = slice(at, at + n)
             dense[lower[here], place[here]] = v[here]
-            total += twice[at] * float(dense[0] @ dense[1])
+            part = twice[at] * float(dense[0] @ dense[1])
+            total += 0.0 if np.isnan(part) else part
             dense[lower[here], place[here]] = 0.0
         thin = np.repeat(~full, counts)
         if thin.any():
             filled, at = np.unique(strip[thin] * size + place[thin], return_inverse=True)
             pair, factor = np.zeros((2, len(filled))), np.zeros(len(filled))
             pair[lower[thin], at], factor[at] = v[thin], twice[thin]
-            total += float((factor * pair[0]) @ pair[1])
+            total += float(np.nansum(np.bincount(filled // size, weights=factor * pair[0] * pair[1])))
         return total
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -52,6 +52,11 @@ def test_strips_need_no_call_each(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
+def test_a_strip_with_a_null_adds_nothing(spark):
+    df = spark.createDataFrame([(0, 0, 2.0), (5, 5, None), (5, 6, 1.0), (6, 5, 1.0), (9, 9, 3.0)], "i BIGINT, j BIGINT, v DOUBLE")
+    assert linalg.strip_trace(df, 4, 2 * 8 * 4).first().trace == pytest.approx(2.0 * 2.0 + 3.0 * 3.0 + 1.0)
+
+
 def test_a_rank_step_sorts_no_edges(spark):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
 from rivulet.functions.text import before_mention, clean_words, contains_any, flatten_newlines
 from rivulet.operators.control import pair_generations, threshold_filter
 from rivulet.operators.ordering import first_rows, with_position
 from rivulet.runtime import broadcast_if_small, cut_lineage
 
+#: Texts are cut and counted in pieces of so many bytes, which bounds what a worker holds.
+CUT_BYTES = 16 << 20
+
 
 def tag_filter(tweets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Tweets whose text contains a tag of their generation; one row each, stamped with the tag tick.
@@ -20,26 +27,93 @@ def tag_filter(tweets: DataFrame, pairs: DataFrame) -> DataFrame:
     return tagged.drop("generation_s", "tags").withColumnRenamed("tick_s", "generation_s")
 
 
-def tweet_words(tweets: DataFrame, stop: DataFrame | list[str], text: str = "text") -> DataFrame:
+def tweet_words(
+    tweets: DataFrame, stop: DataFrame | list[str], text: str = "text", times: str | None = None
+) -> DataFrame:
     """One row ``word`` per kept word, with the other columns of ``tweets``.
 
     Words from the first token that starts with ``@`` on are dropped, then stop words, words that start
-    with ``http`` and words without a letter.
+    with ``http`` and words without a letter. With ``times`` the equal words of neighbouring rows with equal other
+    columns are one row, and ``times`` says how many they are; a word may still come several times.
     """
     others = [c for c in tweets.columns if c != text]
-    split = tweets.select(*others, F.explode(clean_words(before_mention(text))).alias("word"))
-    has_letter = F.col("word") != F.upper("word")  # words are lower case by now
-    words = split.where(has_letter & ~F.startswith("word", F.lit("http")))
+    if times:
+        alike = F.struct(*others) if others else F.struct(F.lit(0))
+        cut = tweets.select(*others, _word_times(before_mention(text), alike).alias("_words"))
+        found = cut.select(*others, F.explode("_words").alias("_w"))
+        words = found.select(*others, F.col("_w.word").alias("word"), F.col("_w.times").alias(times))
+    else:
+        split = tweets.select(*others, F.explode(clean_words(before_mention(text))).alias("word"))
+        has_letter = F.col("word") != F.upper("word")  # words are lower case by now
+        words = split.where(has_letter & ~F.startswith("word", F.lit("http")))
     if isinstance(stop, list):
         return words.where(~F.col("word").isin(stop)) if stop else words
-    return words.join(broadcast_if_small(stop.select("word").distinct()), "word", "left_anti").select(
-        *others, "word"
-    )
+    return words.join(broadcast_if_small(stop.select("word").distinct()), "word", "left_anti").select(*words.columns)
+
 
+def _word_times(text: pa.Array, alike: pa.Array) -> pa.Array:
+    """Words with a letter, but none that start with ``http``, and how often they come in the rows with equal ``alike``.
 
-def generation_word_counts(words: DataFrame, *also: str) -> DataFrame:
-    """``(generation_s, word, cnt)``, optionally per further columns such as the flush they belong to."""
-    return words.groupBy("generation_s", "word", *also).agg(F.count(F.lit(1)).alias("cnt"))
+    The first of such rows in a piece carries the counts, the others get no words.
+    """
+    text = pc.fill_null(text, "")
+    piece = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)) // CUT_BYTES
+    starts = np.flatnonzero(np.diff(piece, prepend=-1)).tolist()
+    parts = [_piece_times(text[i:j], _numbers(alike[i:j])) for i, j in zip(starts, [*starts[1:], len(text)])]
+    return pa.concat_arrays(parts or [_piece_times(text, _numbers(alike))])
+
+
+# A row's words depend on the rows beside it: Spark may neither run the step twice nor drop rows before it.
+_word_times = F.arrow_udf(
+    _word_times, ArrayType(StructType().add("word", StringType()).add("times", LongType()))
+).asNondeterministic()
+
+
+def _piece_times(text: pa.Array, alike: np.ndarray) -> pa.Array:
+    """Tokens become words once per different token; what is done for every token works on its number."""
+    split = pc.ascii_split_whitespace(text)
+    tokens = split.flatten().dictionary_encode()
+    plain = pc.replace_substring_regex(tokens.dictionary.cast(pa.binary()), "[^a-zA-Z0-9-]", "").cast(pa.string())
+    lower = pc.ascii_lower(plain)
+    keep = pc.and_not(pc.match_substring_regex(lower, "[a-z]"), pc.starts_with(lower, "http"))
+    words = pc.if_else(keep, lower, pa.scalar(None, pa.string())).dictionary_encode()
+    number = pc.fill_null(words.indices, -1).to_numpy()[tokens.indices.to_numpy()]
+    _, first, group = np.unique(alike, return_index=True, return_inverse=True)
+    at, kept, width = np.repeat(group, pc.list_value_length(split).to_numpy()), number >= 0, max(len(words.dictionary), 1)
+    cells = at[kept] * width + number[kept]
+    if len(first) * width <= 4 * len(cells):  # most pairs of group and word occur
+        counts = np.bincount(cells)
+        cells = np.flatnonzero(counts)
+        counts = counts[cells]
+    else:
+        cells, counts = np.unique(cells, return_counts=True)
+    order = np.argsort(first[cells // width], kind="stable")  # lists lie in the order of the rows
+    cells, counts = cells[order], counts[order]
+    sizes = np.bincount(first[cells // width], minlength=len(text))
+    pairs = pa.StructArray.from_arrays([words.dictionary.take(pa.array(cells % width)), pa.array(counts, pa.int64())], ["word", "times"])
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pairs)
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    """A number per row, the same only for equal values: of a struct all fields; of values without an order, none are equal."""
+    if not pa.types.is_struct(column.type):
+        try:
+            return column.dictionary_encode("encode").indices.to_numpy()
+        except pa.ArrowNotImplementedError:
+            return np.arange(len(column))
+    numbers = column.is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
+    for field in column.flatten():
+        inner = _numbers(field)
+        _, numbers = np.unique(numbers * (inner.max(initial=0) + 1) + inner, return_inverse=True)
+    return numbers
+
+
+def generation_word_counts(words: DataFrame, *also: str, times: str | None = None) -> DataFrame:
+    """``(generation_s, word, cnt)``, optionally per further columns such as the flush they belong to.
+
+    A row stands for one word, or for as many as its column ``times`` says.
+    """
+    return words.groupBy("generation_s", "word", *also).agg((F.sum(times) if times else F.count(F.lit(1))).alias("cnt"))
 
 
 def generation_word_totals(partial: DataFrame, count_flushes: bool = False) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rivulet.operators import graph, linalg, overlap
 from rivulet.plans import frames as fr
+from rivulet.streaming import queries as sq
 from rivulet.streaming.state import LatestControl
 
 
@@ -114,3 +115,14 @@ def test_waiting_rows_are_read_piece_by_piece():
     assert [g["held"].tolist() for g in given] == [["new", "r1500"], ["r1500"]]
     assert [k[0] for k in state.waiting] == [900_000] and timers[-1] == 900
     assert list(state._controls()[0]) == [4000]
+
+
+def test_streams_count_words_where_they_are_cut(spark, tmp_path):
+    def stream(name, schema):
+        (tmp_path / name).mkdir()
+        return spark.readStream.schema(schema).parquet(str(tmp_path / name))
+
+    tweets = stream("tweets", "ts TIMESTAMP, text STRING")
+    for counts in (sq.generation_counts(tweets, []), sq.flushed_totals(tweets, [])):
+        plan = counts._jdf.queryExecution().analyzed().toString()
+        assert "_word_times(" in plan and "explode(split" not in plan

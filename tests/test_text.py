@@ -1,6 +1,10 @@
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rivulet.functions import text as fn
+from rivulet.operators import words
 from rivulet.operators.anagrams import anagram_groups, anagram_lines
 from rivulet.operators.words import (
     generation_word_counts, generation_word_totals, popular_lines, popular_words, tag_filter, tweet_words,
@@ -52,6 +56,33 @@ def test_stop_words_as_list_or_table_agree(spark):
     assert sorted(by_list) == sorted(by_table) and len(by_list) == 4
 
 
+def test_equal_words_of_equal_rows_come_once(spark):
+    rows = [(1, "Storm, storm! the http://x.y 42 b-2"), (2, "storm"), (1, "STORM kept @stop lost"), (None, " gap\tand\nÜnï"), (1, None), (None, "gap"), (1, "a\x1fb ab\x0bc")]
+    df = spark.createDataFrame(rows, "k INT, text STRING").coalesce(1)
+    df = df.select("k", F.struct("k", F.lit("x").alias("x")).alias("s"), "text")
+    plain = tweet_words(df, ["the"]).groupBy("k", "s", "word").count()
+    counted = tweet_words(df, ["the"], times="n")
+    assert sorted(map(tuple, counted.select("k", "s", "word", "n").collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    assert {(r.k, r.word): r.n for r in counted.collect()}[1, "storm"] == 3
+    unlike = tweet_words(df.select(F.array("k").alias("k"), "text"), ["the"], times="n")
+    assert unlike.agg(F.sum("n")).first()[0] == tweet_words(df, ["the"]).count()
+
+
+def test_a_text_longer_than_a_piece_is_whole():
+    texts = pa.array(["a b a", "c" * 50 + " a", None, "b"] * 3)
+    keys = pa.array([1, 2, 1, 1] * 3)
+    before, words.CUT_BYTES = words.CUT_BYTES, 20
+    try:
+        parts = words._word_times.func(texts, keys).to_pylist()
+    finally:
+        words.CUT_BYTES = before
+    total = Counter()
+    for key, part in zip(keys.to_pylist(), parts, strict=True):
+        for w in part:
+            total[key, w["word"]] += w["times"]
+    assert total == {(1, "a"): 6, (1, "b"): 6, (2, "c" * 50): 3, (2, "a"): 3}
+
+
 def test_keyword_filter(spark):
     df = spark.createDataFrame(
         [("Real goals, Madrid wins", "en"), ("real estate", "en"), ("USA!", "en"), ("usable", "en"), ("usa", "fr")],

@@ -148,8 +148,8 @@ def popular_words_pipeline(
     accepted = threshold_filter(tweets)
     pairs = pair_generations(accepted, tags)
     tagged = cut_lineage(tag_filter(accepted.select("generation_s", "event_id", "text"), pairs))
-    words = tweet_words(tagged.select("generation_s", "text"), stop)
-    return popular_words(generation_word_counts(words)), tagged
+    words = tweet_words(tagged.select("generation_s", "text"), stop, times="times")
+    return popular_words(generation_word_counts(words, times="times")), tagged
 
 
 def collect_first(tweets: DataFrame, n: int = 200_000, time: str = "ts", id: str = "event_id") -> DataFrame:

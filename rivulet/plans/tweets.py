@@ -74,7 +74,7 @@ def tweet_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _flushed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _accepted(spark, sf_dir).select("generation_s", F.floor(F.col("ts_s") / 21600).alias("flush"), "text")
-    return words.generation_word_counts(words.tweet_words(rows, stop_list(spark)), "flush")
+    return words.generation_word_counts(words.tweet_words(rows, stop_list(spark), times="times"), "flush", times="times")
 
 
 def generation_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,7 +87,8 @@ def generation_word_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def popular_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _accepted(spark, sf_dir).select("generation_s", "text")
-    return words.popular_words(words.generation_word_counts(words.tweet_words(rows, stop_list(spark))))
+    found = words.tweet_words(rows, stop_list(spark), times="times")
+    return words.popular_words(words.generation_word_counts(found, times="times"))
 
 
 def popular_words_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,7 +120,7 @@ def test_waiting_rows_are_read_piece_by_piece():
     assert list(state._controls()[0]) == [4000]
 
 
-@pytest.mark.parametrize("key", ["generation_word_counts", "generation_word_totals", "popular_words_pipeline"])
+@pytest.mark.parametrize("key", ["generation_word_counts", "generation_word_totals", "popular_words", "popular_words_pipeline"])
 def test_words_are_counted_where_they_are_cut(spark, tmp_path, key):
     texts = ["cli view the storm Storm", "view vie http://x @cli view", None, "cli  é b-2 cli\tview"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").selectExpr("*", "'en' AS lang").write.parquet(f"{tmp_path}/documents.parquet")

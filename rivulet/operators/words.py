@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_letters, digits
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,6 +19,15 @@ from rivulet.runtime import broadcast_if_small, cut_lineage
 #: Texts are cut and counted in pieces of so many bytes, which bounds what a worker holds.
 CUT_BYTES = 16 << 20
 
+#: What a byte of a text becomes: a sign of a word in lower case, a gap, or 0 where it is dropped.
+_CLEANED = np.zeros(256, np.uint8)
+_CLEANED[list((ascii_letters + digits + "-").encode())] = list((ascii_letters + digits + "-").lower().encode())
+_CLEANED[list(b" \t\n\v\f\r")] = ord(" ")
+_CLEANED[0xFF] = ord("\n")  # no byte of UTF-8: set after each row
+_ROW_END = pa.scalar(b"\xff", pa.large_binary())
+#: Of an integer of eight bytes, the first so many.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
 
 def tag_filter(tweets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Tweets whose text contains a tag of their generation; one row each, stamped with the tag tick.
@@ -70,16 +81,12 @@ _word_times = F.arrow_udf(
 
 
 def _piece_times(text: pa.Array, alike: np.ndarray) -> pa.Array:
-    """Tokens become words once per different token; what is done for every token works on its number."""
-    split = pc.ascii_split_whitespace(text)
-    tokens = split.flatten().dictionary_encode()
-    plain = pc.replace_substring_regex(tokens.dictionary.cast(pa.binary()), "[^a-zA-Z0-9-]", "").cast(pa.string())
-    lower = pc.ascii_lower(plain)
-    keep = pc.and_not(pc.match_substring_regex(lower, "[a-z]"), pc.starts_with(lower, "http"))
-    words = pc.if_else(keep, lower, pa.scalar(None, pa.string())).dictionary_encode()
-    number = pc.fill_null(words.indices, -1).to_numpy()[tokens.indices.to_numpy()]
+    """The bytes of a piece are cleaned together; words become numbers, and what is done for every word works on these."""
+    words, number, found = _numbered_words(text)
+    keep = pc.and_not(pc.match_substring_regex(words, "[a-z]"), pc.starts_with(words, "http")).to_numpy(zero_copy_only=False)
+    words, number = words.filter(pa.array(keep)), np.where(keep, np.cumsum(keep) - 1, -1)[number]
     _, first, group = np.unique(alike, return_index=True, return_inverse=True)
-    at, kept, width = np.repeat(group, pc.list_value_length(split).to_numpy()), number >= 0, max(len(words.dictionary), 1)
+    at, kept, width = np.repeat(group, found), number >= 0, max(len(words), 1)
     cells = at[kept] * width + number[kept]
     if len(first) * width <= 4 * len(cells):  # most pairs of group and word occur
         counts = np.bincount(cells)
@@ -90,10 +97,42 @@ def _piece_times(text: pa.Array, alike: np.ndarray) -> pa.Array:
     order = np.argsort(first[cells // width], kind="stable")  # lists lie in the order of the rows
     cells, counts = cells[order], counts[order]
     sizes = np.bincount(first[cells // width], minlength=len(text))
-    pairs = pa.StructArray.from_arrays([words.dictionary.take(pa.array(cells % width)), pa.array(counts, pa.int64())], ["word", "times"])
+    pairs = pa.StructArray.from_arrays([words.take(pa.array(cells % width)), pa.array(counts, pa.int64())], ["word", "times"])
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pairs)
 
 
+def _numbered_words(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different lower-cased words of ``text``, the number of each word in turn, and how many a row has.
+
+    A word of at most eight bytes is told by these bytes as one integer, longer ones as strings.
+    """
+    lines = pc.binary_join_element_wise(text.cast(pa.large_binary()), pa.scalar(b"", pa.large_binary()), _ROW_END)
+    edges = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset :][: len(lines) + 1]
+    if not len(lines):
+        return pa.array([], pa.string()), np.empty(0, np.int64), np.empty(0, np.int64)
+    signs = _CLEANED[np.frombuffer(lines.buffers()[2], np.uint8)[edges[0] : edges[-1]]]
+    signs = signs[signs != 0]
+    rows = np.flatnonzero(signs == ord("\n"))
+    inside = np.concatenate(([False], signs > ord(" ")))
+    borders = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, sizes = borders[::2], borders[1::2] - borders[::2]
+    found = np.diff(np.searchsorted(starts, rows), prepend=0)
+
+    eight = np.ndarray(len(signs), "<u8", np.append(signs, np.zeros(8, np.uint8)), strides=(1,))
+    long = np.flatnonzero(sizes > 8)
+    coded = eight[starts] & _FIRST_BYTES[np.minimum(sizes, 8)]
+    coded[long] = 0  # no word has no bytes
+    short = pa.array(coded).dictionary_encode()
+    number = short.indices.to_numpy().astype(np.int64)
+    ends = np.cumsum(sizes[long])
+    at = np.repeat(starts[long] - (ends - sizes[long]), sizes[long]) + np.arange(ends[-1] if len(long) else 0)
+    offsets = pa.py_buffer(np.append(0, ends).astype(np.int64))
+    strings = pa.Array.from_buffers(pa.large_string(), len(long), [None, offsets, pa.py_buffer(signs[at])]).dictionary_encode()
+    number[long] = strings.indices.to_numpy().astype(np.int64) + len(short.dictionary)
+    plain = pa.array(short.dictionary.to_numpy().view("S8")).cast(pa.string())
+    return pa.concat_arrays([plain, strings.dictionary.cast(pa.string())]), number, found
+
+
 def _numbers(column: pa.Array) -> np.ndarray:
     """A number per row, the same only for equal values: of a struct all fields; of values without an order, none are equal."""
     if not pa.types.is_struct(column.type):
@@ -111,8 +150,10 @@ def _numbers(column: pa.Array) -> np.ndarray:
 def generation_word_counts(words: DataFrame, *also: str, times: str | None = None) -> DataFrame:
     """``(generation_s, word, cnt)``, optionally per further columns such as the flush they belong to.
 
-    A row stands for one word, or for as many as its column ``times`` says.
+    A row stands for one word, or for as many as its column ``times`` says. Such rows were counted where they were cut,
+    so they go by word to the task that adds them up, also over the flushes, without being added up before.
     """
+    words = words.repartition("generation_s", "word") if times else words
     return words.groupBy("generation_s", "word", *also).agg((F.sum(times) if times else F.count(F.lit(1))).alias("cnt"))
 
 

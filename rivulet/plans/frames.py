@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import WHITESPACE, letters_only, words_of
-from rivulet.runtime import spread_if_narrow
+from rivulet.runtime import ordered_for_join, spread_if_narrow
 
 DAY = 86400
 TAG_EVERY = 100_000
+DOCUMENTS_PER_TASK = 50_000  # a task hashes the texts of about so many at once
 EVENTS_SCHEMA = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 )
@@ -130,12 +131,19 @@ seen AS (
 # --- tweets ----------------------------------------------------------------------------------------
 
 def joined_tweets(events_df: DataFrame, docs: DataFrame) -> DataFrame:
-    """Events that carry the text of document ``event_id % number of documents``; batch or stream."""
+    """Events that carry the text of document ``event_id % number of documents``; batch or stream.
+
+    In a batch the rows of a task are in order of time, as tweets come, so neighbours share their generation and flush.
+    The events are sorted, not the texts: a hash join keeps the order of the side it does not hash. Few large tasks meet a
+    word of a flush less often than many small ones would, so there are three per core unless the texts need more.
+    """
     n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    keyed = events_df.withColumn("doc_id", F.col("event_id") % n_docs)
-    return keyed.join(docs.select("doc_id", "text", "lang"), "doc_id").withColumn(
-        "friends_count", F.floor("value").cast("int")
-    )
+    keyed, texts = events_df.withColumn("doc_id", F.col("event_id") % n_docs), docs.select("doc_id", "text", "lang")
+    if not events_df.isStreaming:
+        tasks = max(3 * docs.sparkSession.sparkContext.defaultParallelism, docs.count() // DOCUMENTS_PER_TASK)
+        keyed = ordered_for_join(keyed.repartition(tasks, "doc_id"), "ts_s")
+        texts = texts.repartition(tasks, "doc_id").hint("shuffle_hash")
+    return keyed.join(texts, "doc_id").withColumn("friends_count", F.floor("value").cast("int"))
 
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,3 +144,24 @@ def test_streams_count_words_where_they_are_cut(spark, tmp_path):
     for counts in (sq.generation_counts(tweets, []), sq.flushed_totals(tweets, []), sq.tagged_words(rows, pairs, None, [])):
         plan = counts._jdf.queryExecution().analyzed().toString()
         assert "_word_times(" in plan and "explode(split" not in plan
+
+
+def test_tweets_of_a_task_come_in_order_of_time(spark, tmp_path):
+    spark.range(40).selectExpr("id AS doc_id", "concat('w', id) AS text", "'en' AS lang").write.parquet(f"{tmp_path}/documents.parquet")
+    start = dt.datetime(2024, 1, 1)
+    events = [(i, start + dt.timedelta(hours=i * 67 % 240), 1, "view", 1.0, "{}") for i in range(240)]
+    spark.createDataFrame(events, fr.EVENTS_SCHEMA).write.parquet(f"{tmp_path}/events.parquet")
+    tweets = fr.tweets(spark, str(tmp_path))
+    tasks = tweets.groupBy(F.spark_partition_id()).agg(F.collect_list("ts_s").alias("t")).collect()
+    assert sum(len(r.t) for r in tasks) == 240 and max(len(r.t) for r in tasks) > 6  # a document comes six times
+    assert all(r.t == sorted(r.t) for r in tasks)
+
+
+def test_words_of_generations_are_shuffled_once(spark, tmp_path):
+    spark.createDataFrame([(0, "storm rain storm", "en")], "doc_id BIGINT, text STRING, lang STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    events = [(i, dt.datetime(2024, 1, 1 + i), 1, "view", float(i % 2), "{}") for i in range(9)]
+    spark.createDataFrame(events, fr.EVENTS_SCHEMA).write.parquet(f"{tmp_path}/events.parquet")
+    totals = tw.generation_word_totals(spark, str(tmp_path))
+    shuffles = [line for line in plan_of(totals).splitlines() if "Exchange hashpartitioning(generation_s" in line]
+    assert len(shuffles) == 1 and "flush" not in shuffles[0]
+    assert differences(totals, connect(str(tmp_path)), tw.ORACLES["generation_word_totals"]) is None

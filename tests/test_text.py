@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 import pyarrow as pa
@@ -117,3 +118,12 @@ def test_totals_sum_or_count_flushes(spark):
     partial = generation_word_counts(words, "flush")
     assert generation_word_totals(partial).first().cnt == 3
     assert generation_word_totals(partial, count_flushes=True).first().cnt == 2
+
+
+def test_words_told_by_their_bytes_or_as_strings():
+    rows = ["", "  ", "!! 42", "a\x1fb ab\x0bc", "abcdefgh abcdefghi ABCDEFGHI abcdefg\x00h", "Ünï\u00a0x é\xff -", " httq 1234567890a a-", "tail  "]
+    distinct, number, sizes = words._numbered_words(pa.array(["q", *rows])[1:])
+    want = [[w for t in row.split() if (w := re.sub("[^a-z0-9-]", "", t.lower()))] for row in (r.replace("\u00a0", "").replace("\x1f", "") for r in rows)]
+    assert sizes.tolist() == [len(w) for w in want]
+    assert [distinct[n].as_py() for n in number] == [w for ws in want for w in ws]
+    assert len(set(w for ws in want for w in ws)) == len(set(number.tolist()))

@@ -165,3 +165,38 @@ def test_words_of_generations_are_shuffled_once(spark, tmp_path):
     shuffles = [line for line in plan_of(totals).splitlines() if "Exchange hashpartitioning(generation_s" in line]
     assert len(shuffles) == 1 and "flush" not in shuffles[0]
     assert differences(totals, connect(str(tmp_path)), tw.ORACLES["generation_word_totals"]) is None
+
+
+def test_neighbours_meet_without_a_shuffle_of_their_words(spark):
+    df = spark.createDataFrame([(i, [f"w{i % 3}", f"own{i}"]) for i in range(40)], "id BIGINT, words ARRAY<STRING>")
+    sums = plan_of(overlap._tiles(overlap.word_sets(df), "word", overlap._Sums))
+    assert "CartesianProduct" in sums and "Exchange" not in sums
+    assert {r.avg_words for r in overlap.neighborhood_avg_words(df).collect()} == {2.0}
+
+
+def test_chunks_of_any_kind_link_as_pairs_do():
+    rng = np.random.default_rng(7)
+
+    def chunk(first, size, words):
+        always = [[0, 1], [0], [2]] if first == 0 else [[0], [1]]
+        nos = [np.unique([*rng.integers(3, 4000, words), *always[i % len(always)]]) for i in range(size)]
+        ids, values = np.arange(first, first + size), rng.integers(0, 300, size)
+        batch = overlap._packed(ids, values, np.array([len(n) for n in nos]), np.concatenate(nos).astype(np.int32))
+        columns = [np.frombuffer(c[0].as_buffer(), t) for c, t in zip(batch.columns, overlap._TYPES)]
+        return overlap._Chunk(*columns), [set(n.tolist()) for n in nos]
+
+    (a, a_sets), (b, b_sets) = chunk(0, 150, 3), chunk(1000, 700, 60)
+    expected = np.array([[bool(x & y) for y in b_sets] for x in a_sets])
+    assert 0.1 < expected.mean() < 1 and expected.all(axis=1).any()
+    for light in (None, 0, 3, 10_000):
+        found = np.zeros_like(expected)
+        for places, bits in overlap._linked(a, b, light):
+            found[places] = np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little")[:, :700]
+        assert (found == expected).all()
+        sums = overlap._Sums()
+        assert not list(sums.add((1, 2), (a, b), light))
+        mine, theirs = sums.end()
+        assert mine.column("n").to_pylist() == expected.sum(axis=1).tolist()
+        assert mine.column("total").to_pylist() == (expected @ b.values).tolist()
+        assert theirs.column("n").to_pylist() == expected.sum(axis=0).tolist()
+        assert theirs.column("total").to_pylist() == (a.values @ expected).tolist()

@@ -174,6 +174,13 @@ def test_neighbours_meet_without_a_shuffle_of_their_words(spark):
     assert {r.avg_words for r in overlap.neighborhood_avg_words(df).collect()} == {2.0}
 
 
+def test_degrees_shuffle_their_sums_only(spark):
+    df = spark.createDataFrame([(i, [f"w{i % 3}", "hot", "hot"][: 1 + i % 3]) for i in range(30)], "id BIGINT, words ARRAY<STRING>")
+    degrees = overlap.overlap_degrees(overlap.word_sets(df))
+    assert "CartesianProduct" in plan_of(degrees) and plan_of(degrees).count("Exchange") == 1
+    assert overlap.most_popular_vertex(df).first()[:] == (2, 19, 3)
+
+
 def test_chunks_of_any_kind_link_as_pairs_do():
     rng = np.random.default_rng(7)
 

@@ -11,7 +11,7 @@ from rivulet.plans import tweets as tw
 from rivulet.plans.bursts import ARRIVAL, BURST_COLUMNS
 from rivulet.plans.bursts import ORACLES as BURST_ORACLES
 from rivulet.plans.frames import DAY, with_sql
-from rivulet.runtime import fresh_path
+from rivulet.runtime import delete_folder, fresh_path
 from rivulet.sources import tweets as src
 from rivulet.sources.files import parquet_stream
 from rivulet.streaming import queries as sq
@@ -20,6 +20,8 @@ from rivulet.streaming.sinks import BatchTable, CollectedLines, LateDropWindows,
 
 BURST_DELAY_H = 6
 SLICES = 4
+#: A stream whose state grows with its words takes about so many events to a micro-batch.
+EVENTS_PER_SLICE = 1_000_000
 FLUSH_S = 6 * 3600
 LATE_S = 24 * 3600
 #: The heartbeat that ends an input lies so long after its last event.
@@ -28,20 +30,27 @@ COLLECT_BYTES = 1_000_000
 _sliced: dict[tuple, tuple[str, int]] = {}
 
 
-def _slices(spark: SparkSession, sf_dir: str, label: str, rows: DataFrame, place: Column, width: int, closing_s: int, time: str) -> tuple[str, int]:
-    """``rows`` in ``SLICES`` folders by ``place``, each with ``width`` files, and a last one of heartbeats.
+def _slices(spark: SparkSession, sf_dir: str, label: str, rows: DataFrame, place: Column, width: int, closing_s: int, time: str, slices: int = SLICES) -> tuple[str, int]:
+    """``rows`` in ``slices`` folders by ``place``, each with ``width`` files, and a last one of heartbeats.
 
     The folders are written one after the other, which is the order in which a stream reads them. They are
-    made once per session and table.
+    made once per session and table. For more than ``SLICES`` the rows are dealt out once, not read for each.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, label)
+    key = (spark.sparkContext.applicationId, sf_dir, label, slices)
     if key not in _sliced:
         folder = fresh_path(spark, f"{label}-slices")
-        for k in range(SLICES):
+        dealt = fresh_path(spark, f"{label}-dealt") if slices > SLICES else None
+        if dealt:
+            rows.withColumn("_place", place).write.partitionBy("_place").parquet(dealt)
+            rows, place = spark.read.schema(f"{_schema(rows)}, _place BIGINT").parquet(dealt), F.col("_place")
+        for k in range(slices):
             path = f"{folder}/slice-{k}"
-            rows.where(place == k).repartition(width).write.parquet(path)
+            rows.where(place == k).drop("_place").repartition(width).write.parquet(path)
             for _ in range(width - _files(spark, path)):  # tasks without a row leave no file
-                rows.limit(0).coalesce(1).write.mode("append").parquet(path)
+                rows.limit(0).drop("_place").coalesce(1).write.mode("append").parquet(path)
+        if dealt:
+            rows = rows.drop("_place")
+            delete_folder(spark, dealt)
         _beats(rows, time, closing_s, width).write.parquet(f"{folder}/closing")
         _sliced[key] = folder, width
     return _sliced[key]
@@ -61,10 +70,10 @@ def _second() -> Column:
     return F.unix_seconds(F.col("ts").cast("timestamp"))
 
 
-def _place(second: Column, first: int, last: int) -> Column:
+def _place(second: Column, first: int, last: int, slices: int = SLICES) -> Column:
     """The slice of a time: equal spans from ``first`` to ``last``; no time, or an earlier one, is in the first slice."""
-    part = F.floor((second - first) * SLICES / F.lit(last - first + 1))
-    return F.greatest(F.lit(0), F.least(F.coalesce(part, F.lit(0)), F.lit(SLICES - 1)))
+    part = F.floor((second - first) * slices / F.lit(last - first + 1))
+    return F.greatest(F.lit(0), F.least(F.coalesce(part, F.lit(0)), F.lit(slices - 1)))
 
 
 def _beats(rows: DataFrame, time: str, second: int, width: int) -> DataFrame:
@@ -77,16 +86,18 @@ def _beats(rows: DataFrame, time: str, second: int, width: int) -> DataFrame:
     )
 
 
-def event_stream(spark: SparkSession, sf_dir: str, closing: bool = False) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, closing: bool = False, per_slice: int | None = None) -> DataFrame:
     """The events in ``SLICES`` equal spans of time, each a micro-batch of its own; those without a time are in the first.
 
     A slice is written by as many tasks as read the table, and a trigger takes a slice. With ``closing`` a
-    last batch holds heartbeats: rows without an id, long after the last event.
+    last batch holds heartbeats: rows without an id, long after the last event. There are more slices where the
+    events would come to more than ``per_slice`` each.
     """
     rows = fr.table(spark, sf_dir, "events")
     first, last = _span(rows, _second())
-    place, width = _place(_second(), first, last), rows.rdd.getNumPartitions()
-    folder, width = _slices(spark, sf_dir, "event", rows, place, width, last + CLOSING_S, "ts")
+    slices = max(SLICES, -(-rows.count() // per_slice)) if per_slice else SLICES
+    place, width = _place(_second(), first, last, slices), rows.rdd.getNumPartitions()
+    folder, width = _slices(spark, sf_dir, "event", rows, place, width, last + CLOSING_S, "ts", slices)
     stream = parquet_stream(
         spark, f"{folder}/*" if closing else f"{folder}/slice-*", fr.EVENTS_SCHEMA, files_per_trigger=width
     )
@@ -244,7 +255,7 @@ def stream_generation_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_generation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts per six hours, and of these the totals per day."""
-    timed = event_stream(spark, sf_dir, closing=True).withWatermark("ts", "0 seconds")  # before heartbeats go
+    timed = event_stream(spark, sf_dir, True, EVENTS_PER_SLICE).withWatermark("ts", "0 seconds")  # before heartbeats go
     texts = fr.table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = timed.withColumn("doc_id", _doc_id(spark, sf_dir)).join(texts, "doc_id").select("ts", "text")
     totals = sq.flushed_totals(rows, tw.stop_list(spark), f"{FLUSH_S} seconds", "1 day", delay=None)

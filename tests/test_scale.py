@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from oracle import connect, differences
 from rivulet.operators import graph, linalg, overlap
 from rivulet.plans import frames as fr
+from rivulet.plans import streams
 from rivulet.plans import tweets as tw
+from rivulet.runtime import fresh_path, shared_folder, subfolders
 from rivulet.streaming import queries as sq
+from rivulet.streaming.sinks import BatchTable
 from rivulet.streaming.state import LatestControl
 
 
@@ -207,3 +210,20 @@ def test_chunks_of_any_kind_link_as_pairs_do():
         assert mine.column("total").to_pylist() == (expected @ b.values).tolist()
         assert theirs.column("n").to_pylist() == expected.sum(axis=0).tolist()
         assert theirs.column("total").to_pylist() == (a.values @ expected).tolist()
+
+
+def test_a_stream_run_to_its_end_leaves_no_state(spark, tmp_path):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(hours=i), 1, "view", 1.0, "{}") for i in range(60)]
+    spark.createDataFrame(rows, fr.EVENTS_SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    stream = streams.event_stream(spark, str(tmp_path), True, per_slice=8)
+    before = set(subfolders(spark, shared_folder(spark)))
+    keys = ["spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.streaming.minBatchesToRetain"]
+    held = [spark.conf.get(key) for key in keys]
+    counts = stream.withWatermark("ts", "0 seconds").groupBy(F.window("ts", "1 day").alias("w")).count().select("count")
+    sink = sq.run(counts, "append", BatchTable(fresh_path(spark, "rows"), "count BIGINT"))
+    assert sorted(r["count"] for r in sink.rows(spark).collect()) == [12, 24, 24]
+    assert len(sink.batches(spark)) >= 9  # eight slices of eight events at most, and the heartbeats
+    left = set(subfolders(spark, shared_folder(spark))) - before
+    assert not [name for name in left if name.startswith(("stream-state", "event-dealt"))]
+    assert [spark.conf.get(key) for key in keys] == held
